@@ -11,7 +11,7 @@ LITERAL_NAMES = 1_000
 
 def missing_from(registered: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Keys of ``registered`` that ``existing`` does not have, each once."""
-    return registered.select(key).distinct().join(existing, key, "left_anti")
+    return registered.select(key).distinct().join(existing.select(key).distinct(), key, "left_anti")
 
 
 def succeeded_only(tables: DataFrame, tasks: DataFrame, key: str) -> DataFrame:

@@ -18,8 +18,7 @@ from tidemark.sinks import (
     write_serving,
     write_snapshot,
 )
-from tidemark.sources import scan_csv
-from tidemark.sources.tables import read_partition
+from tidemark.sources import read_partition, scan_csv
 from tidemark.storage import move_into, new_folder, remove_folder
 
 Clock = Callable[[], datetime]

@@ -4,7 +4,7 @@ from tidemark.sinks.registries import log_metric, log_run, log_snapshot
 from tidemark.sinks.tables import (
     append_jdbc,
     drop_partition,
-    write_counted,
+    write_runs,
     write_serving,
     write_snapshot,
 )
@@ -15,7 +15,7 @@ __all__ = [
     "log_metric",
     "log_run",
     "log_snapshot",
-    "write_counted",
+    "write_runs",
     "write_serving",
     "write_snapshot",
 ]

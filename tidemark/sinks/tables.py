@@ -10,38 +10,37 @@ from tidemark.operators.projections import stamp
 from tidemark.storage import remove_folder
 
 
-def write_counted(df: DataFrame, save) -> int:
-    """Run ``save(df)``, one write, and return the rows it wrote.
-
-    The count rides on the write itself, as its last operator, so it costs no second pass
-    and a retried task is counted once.
-    """
-    written = Observation()
-    save(df.observe(written, F.count(F.lit(1)).alias("rows")))
-    return written.get["rows"]
-
-
 def partition_folder(path: str, partition_name: str) -> str:
     return f"{path.rstrip('/')}/partition_name={check_name(partition_name)}"
 
 
-def write_serving(df: DataFrame, path: str, partition_name: str) -> int:
-    """Write one run to the serving table; return its number of rows.
+def write_runs(df: DataFrame, path: str) -> None:
+    """Write rows that carry their ``partition_name`` to the serving table.
 
-    A new name is added, the same name is replaced, all others stay: a rerun leaves no
-    duplicates, also a rerun without rows.
+    A new name is added, a name already there is replaced, all others stay. Rows are not
+    shuffled: every task writes its own files, so a name with most of the rows is no
+    bottleneck.
     """
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("partition_name")
+        .parquet(path)
+    )
+
 
-    def save(counted: DataFrame) -> None:
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("partition_name")
-            .parquet(path)
-        )
+def write_serving(df: DataFrame, path: str, partition_name: str) -> int:
+    """Write one run to the serving table and return its number of rows.
 
+    A rerun leaves no duplicates, and one without rows leaves none. The count rides on the
+    write, in its last stage, so it costs no second pass and a retried task counts once.
+    It comes before the stamp: a constant last column needs no sort by partition.
+    """
     folder = partition_folder(path, partition_name)
-    rows = write_counted(stamp(df, partition_name), save)
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    write_runs(stamp(counted, partition_name), path)
+    rows = written.get["rows"]
     if rows == 0:
         remove_folder(df.sparkSession, folder)
     return rows

@@ -5,6 +5,7 @@ from tidemark.sources.tables import (
     existing_snapshots,
     read_jdbc,
     read_metrics,
+    read_partition,
     read_runs,
     read_serving,
     read_snapshots,
@@ -15,6 +16,7 @@ __all__ = [
     "header_of",
     "read_jdbc",
     "read_metrics",
+    "read_partition",
     "read_runs",
     "read_serving",
     "read_snapshots",
