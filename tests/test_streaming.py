@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from conftest import START, rows
+
+from tidemark.plans.jobs import BATSMEN, DELIVERIES
+from tidemark.sources import read_metrics, read_runs, read_serving, read_snapshots
+from tidemark.streaming import ingest
+
+HEADER = "match_id,inning,over,batter,total_runs"
+
+
+def run(spark, job, tmp_path, layout, **options):
+    query = ingest(
+        spark, job, str(tmp_path / "files"), layout, str(tmp_path / "checkpoint"),
+        clock=lambda: START, **options,
+    )
+    query.awaitTermination()
+
+
+def test_files_are_loaded_once_and_archived(spark, landing, layout, tmp_path):
+    landing("a.csv", HEADER, "1,1,1, A ,1", "1,1,1,B,4")
+    run(spark, DELIVERIES, tmp_path, layout)
+    run(spark, DELIVERIES, tmp_path, layout)
+    landing("b.csv", HEADER, "1,1,1,C,7")
+    run(spark, DELIVERIES, tmp_path, layout)
+    table = read_serving(spark, layout.table("deliveries"))
+    assert table.columns == [*HEADER.split(","), "runs_per_over", "partition_name"]
+    assert rows(table.select("batter", "runs_per_over", "partition_name")) == [
+        ("A", 5, "deliveries_0"), ("B", 5, "deliveries_0"), ("C", 7, "deliveries_1"),
+    ]
+    assert spark.read.csv(f"{layout.snapshots}/deliveries_0").count() == 2
+    assert read_snapshots(spark, layout.snapshot_log).count() == 2
+    assert sorted(r["inserted_rows"] for r in read_metrics(spark, layout.metrics).collect()) == [1, 2]
+    assert {r["status"] for r in read_runs(spark, layout.run_log).collect()} == {"Success"}
+    assert [p.name for p in Path(layout.archive).rglob("*.csv")] == ["a.csv"]
+
+
+def test_total_stays_within_a_file_or_covers_the_batch(spark, landing, layout, tmp_path):
+    landing("a.csv", HEADER, "1,1,1,A,1", "1,1,1,B,4")
+    landing("b.csv", HEADER, "1,1,1,C,7")
+    run(spark, DELIVERIES, tmp_path, layout)
+    totals = read_serving(spark, layout.table("deliveries")).select("batter", "runs_per_over")
+    assert rows(totals) == [("A", 5), ("B", 5), ("C", 7)]
+    other = type(layout).below(str(tmp_path / "other"))
+    ingest(
+        spark, DELIVERIES, str(tmp_path / "files"), other, str(tmp_path / "checkpoint2"),
+        per_file=False, clock=lambda: START,
+    ).awaitTermination()
+    totals = read_serving(spark, other.table("deliveries")).select("batter", "runs_per_over")
+    assert rows(totals) == [("A", 12), ("B", 12), ("C", 12)]
+
+
+def test_repeated_batch_replaces_its_rows(spark, landing, layout, tmp_path):
+    """A lost checkpoint makes batch 0 run again: same name, no duplicates."""
+    landing("a.csv", HEADER, "1,1,1,A,1")
+    for attempt in ("c1", "c2"):
+        ingest(
+            spark, DELIVERIES, str(tmp_path / "files"), layout, str(tmp_path / attempt),
+            clock=lambda: START,
+        ).awaitTermination()
+    assert read_serving(spark, layout.table("deliveries")).count() == 1
+
+
+def test_reordered_header_fails_and_is_logged(spark, landing, layout, tmp_path):
+    landing("a.csv", HEADER, "1,1,1,A,1")
+    run(spark, DELIVERIES, tmp_path, layout)
+    landing("b.csv", "inning,match_id,over,batter,total_runs", "1,2,1,A,1")
+    with pytest.raises(Exception, match="(?i)header"):
+        run(spark, DELIVERIES, tmp_path, layout, columns=HEADER.split(","))
+    statuses = sorted(r["status"] for r in read_runs(spark, layout.run_log).collect())
+    assert statuses == ["Failed", "Success"]
+    assert read_serving(spark, layout.table("deliveries")).count() == 1
+
+
+def test_job_without_total(spark, landing, layout, tmp_path):
+    header = ",".join(BATSMEN.declared.names)
+    landing("a.csv", header, "Ruturaj ,368,14,14,0,26,291,126.46,0,3,33,14")
+    run(spark, BATSMEN, tmp_path, layout)
+    table = read_serving(spark, layout.table("batsmen"))
+    assert rows(table.select("player_name", "average", "partition_name")) == [
+        ("Ruturaj", 26, "batsmen_0")
+    ]
