@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType, StringType
 
 from tidemark.functions import (
     capitalise,
@@ -15,6 +16,7 @@ from tidemark.functions import (
     run_duration,
     run_name,
     run_name_column,
+    safe_cast,
     safe_int,
     safe_numeric,
     season_of,
@@ -28,32 +30,76 @@ def apply(spark, kind, values, function):
     return [row[0] for row in frame.orderBy("i").select(function(F.col("v"))).collect()]
 
 
-def test_safe_int_from_text(spark, ansi):
+TEXT, DOUBLE = StringType(), DoubleType()
+
+
+@pytest.mark.parametrize("source", [None, TEXT], ids=["plain", "guarded"])
+def test_safe_int_from_text(spark, ansi, source):
     texts = ["9.7", " 12 ", "NA", "1e2", "", "-5", "+6", "3000000000", None]
-    assert apply(spark, "string", texts, safe_int) == [
+    assert apply(spark, "string", texts, lambda c: safe_int(c, source)) == [
         None, 12, None, None, None, -5, 6, None, None,
     ]
 
 
-def test_safe_int_from_double(spark, ansi):
-    values = [9.7, -9.7, 3e9, float("nan"), float("inf"), None]
-    assert apply(spark, "double", values, safe_int) == [9, -9, None, None, None, None]
+@pytest.mark.parametrize("source", [None, DOUBLE], ids=["plain", "guarded"])
+def test_safe_int_from_double(spark, ansi, source):
+    values = [9.7, -9.7, 3e9, float("nan"), float("inf"), None, 2147483647.9, -2147483648.9]
+    assert apply(spark, "double", values, lambda c: safe_int(c, source)) == [
+        9, -9, None, None, None, None, 2147483647, -2147483648,
+    ]
 
 
 def test_safe_int_via_double_keeps_decimals(spark, ansi):
     texts = ["9.7", "NULL", "38.86", "1e2", "7"]
-    kept = apply(spark, "string", texts, lambda c: safe_int(c, via_double=True))
-    assert kept == [9, None, 38, 100, 7]
+    for source in (None, TEXT):
+        kept = apply(spark, "string", texts, lambda c: safe_int(c, source, via_double=True))
+        assert kept == [9, None, 38, 100, 7]
+
+
+ODD_TEXTS = [
+    "\t7\n", "7\r\n", "\x007", "7\x7f", "\u00a07", "7\u2028", "\u20037", "+", "-", "- 7", "--7", "07",
+    "000000000000000000000000007", "2147483647", "2147483648", "-2147483648", "-2147483649",
+    "9999999999", "99999999999", "9223372036854775807", "9223372036854775808", "7.", ".7",
+    "7.0", "7f", "0x7", "\u0667", "7 7", "1_000", "1,000", "Infinity", "NaN", "7L", "\x1c7",
+]
+
+
+@pytest.mark.parametrize("target", [IntegerType(), LongType()], ids=str)
+def test_guarded_text_cast_equals_try_cast(spark, ansi, target):
+    plain = apply(spark, "string", ODD_TEXTS, lambda c: c.try_cast(target))
+    assert apply(spark, "string", ODD_TEXTS, lambda c: safe_cast(c, TEXT, target)) == plain
+
+
+ODD_NUMBERS = [
+    0.0, -0.0, 0.5, -0.5, 2147483647.0, 2147483647.5, 2147483648.0, -2147483648.0,
+    -2147483648.5, -2147483649.0, 9999999999.0, 9999999999.4, 9999999999.5, 1e10, -9999999999.4,
+    -9999999999.5, -1e10, 1e300, -1e300, float("nan"), float("inf"), float("-inf"), 4.9e-324, None,
+]
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(30,4)", "bigint"])
+def test_guarded_number_cast_equals_try_cast(spark, ansi, kind):
+    values = [
+        row[0]
+        for row in spark.createDataFrame([(v,) for v in ODD_NUMBERS], "v double")
+        .select(F.col("v").try_cast(kind))
+        .collect()
+    ]
+    source = spark.createDataFrame([], f"v {kind}").schema[0].dataType
+    for target in (IntegerType(), DecimalType(10, 0), DecimalType(8, 2)):
+        plain = apply(spark, kind, values, lambda c: c.try_cast(target))
+        assert apply(spark, kind, values, lambda c: safe_cast(c, source, target)) == plain
 
 
-def test_safe_numeric_rounds_half_away_from_zero(spark, ansi):
+@pytest.mark.parametrize("source", [None, DOUBLE], ids=["plain", "guarded"])
+def test_safe_numeric_rounds_half_away_from_zero(spark, ansi, source):
     values = [2.5, 3.5, -2.5, -0.5, 12.25, 1e12, None]
     expected = [3, 4, -3, -1, 12, None, None]
-    assert apply(spark, "double", values, safe_numeric) == [
+    assert apply(spark, "double", values, lambda c: safe_numeric(c, source)) == [
         None if v is None else Decimal(v) for v in expected
     ]
     assert apply(spark, "string", ["2.5", "x"], safe_numeric) == [Decimal(3), None]
-    tenth = apply(spark, "double", [2.55], lambda c: safe_numeric(c, scale=1))
+    tenth = apply(spark, "double", [2.55], lambda c: safe_numeric(c, source, scale=1))
     assert tenth == [Decimal("2.6")]
 
 

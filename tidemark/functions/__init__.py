@@ -1,6 +1,6 @@
 """Column functions with the exact cast, text and naming rules of the loads."""
 
-from tidemark.functions.casts import parse_int, safe_int, safe_numeric
+from tidemark.functions.casts import parse_int, safe_cast, safe_int, safe_numeric
 from tidemark.functions.naming import (
     check_name,
     run_date,
@@ -20,6 +20,7 @@ __all__ = [
     "run_duration",
     "run_name",
     "run_name_column",
+    "safe_cast",
     "safe_int",
     "safe_numeric",
     "season_of",

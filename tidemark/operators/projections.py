@@ -38,11 +38,21 @@ def trim_strings(df: DataFrame) -> DataFrame:
 
 
 def to_int(*names: str, via_double: bool = False) -> Step:
-    return lambda df: replace(df, {n: safe_int(column(n), via_double) for n in names})
+    def step(df: DataFrame) -> DataFrame:
+        types = {name: df.select(column(name)).schema[0].dataType for name in names}
+        return replace(df, {n: safe_int(column(n), t, via_double) for n, t in types.items()})
+
+    return step
 
 
 def to_numeric(*names: str, precision: int = 10, scale: int = 0) -> Step:
-    return lambda df: replace(df, {n: safe_numeric(column(n), precision, scale) for n in names})
+    def step(df: DataFrame) -> DataFrame:
+        types = {name: df.select(column(name)).schema[0].dataType for name in names}
+        return replace(
+            df, {n: safe_numeric(column(n), t, precision, scale) for n, t in types.items()}
+        )
+
+    return step
 
 
 def add_season(date_column: str, out: str = "season") -> Step:

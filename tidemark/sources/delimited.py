@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.functions.casts import safe_cast
 from tidemark.operators.projections import column, replace
 
 
@@ -35,7 +36,9 @@ def cast_declared(df: DataFrame, declared: StructType) -> DataFrame:
         raise ValueError(f"columns not in the header: {', '.join(absent)}")
     typed = [f for f in declared.fields if not isinstance(f.dataType, StringType)]
     casts = {present[f.name.lower()]: f.dataType for f in typed}
-    return replace(df, {name: column(name).try_cast(to) for name, to in casts.items()})
+    return replace(
+        df, {name: safe_cast(column(name), StringType(), to) for name, to in casts.items()}
+    )
 
 
 def scan_csv(

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from tidemark.functions import (
     capitalise,
@@ -28,6 +29,7 @@ from tidemark.operators import (
 from workload.inputs import given
 
 RUN_START = datetime(2025, 4, 18, 9, 30, 0)
+DOUBLE = DoubleType()
 
 
 def window_total_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,16 +99,16 @@ def safe_int_from_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        safe_int(price).alias("price"),
-        safe_int(-price).alias("negative_price"),
-        safe_int(price * 100_000).alias("price_or_null"),
+        safe_int(price, DOUBLE).alias("price"),
+        safe_int(-price, DOUBLE).alias("negative_price"),
+        safe_int(price * 100_000, DOUBLE).alias("price_or_null"),
     )
 
 
 def safe_int_via_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("l_extendedprice").cast("string")
     return given(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", safe_int(text, via_double=True).alias("price")
+        "l_orderkey", "l_linenumber", safe_int(text, StringType(), via_double=True).alias("price")
     )
 
 
@@ -115,11 +117,11 @@ def safe_numeric_from_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        safe_numeric(price).alias("price"),
-        safe_numeric(F.col("l_quantity") + 0.5).alias("tie"),
-        safe_numeric(-F.col("l_quantity") - 0.5).alias("negative_tie"),
-        safe_numeric(price * 1_000_000).alias("price_or_null"),
-        safe_numeric(price, precision=12, scale=1).alias("price_tenths"),
+        safe_numeric(price, DOUBLE).alias("price"),
+        safe_numeric(F.col("l_quantity") + 0.5, DOUBLE).alias("tie"),
+        safe_numeric(-F.col("l_quantity") - 0.5, DOUBLE).alias("negative_tie"),
+        safe_numeric(price * 1_000_000, DOUBLE).alias("price_or_null"),
+        safe_numeric(price, DOUBLE, precision=12, scale=1).alias("price_tenths"),
     )
 
 
