@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+
+from tidemark.__main__ import main
+from tidemark.plans.jobs import BATSMEN
+from tidemark.session import MB, sizing
+from tidemark.sinks import Relational
+
+HEADER = ",".join(BATSMEN.declared.names)
+ROW = "Ruturaj ,368,14,14,0,26,291,126.46,0,3,33,14"
+
+
+def test_load_report_reconcile(spark, landing, tmp_path, capsys):
+    root = str(tmp_path)
+    path = landing("batsmen.csv", HEADER, ROW)
+    main(["load", "batsmen", "--root", root, "--landing", path, "--run-id", "run_1",
+          "--started-at", "2025-04-18T09:30:00"])
+    main(["report", "--root", root, "--run-id", "run_1"])
+    main(["reconcile", "--root", root])
+    out = capsys.readouterr().out.splitlines()
+    assert out == ["batsmen: 1 rows inserted", "Batsmen Table: Total Rows: 1, Inserted Rows: 1"]
+    (tmp_path / "partitions" / "batsmen_20250418_093000").rename(tmp_path / "gone")
+    main(["reconcile", "--root", root, "--prune-log"])
+    assert "batsmen_20250418_093000" in capsys.readouterr().out
+    assert not list(Path(root, "serving", "batsmen").glob("partition_name=*"))
+
+
+def test_ingest(spark, landing, tmp_path):
+    root, folder = str(tmp_path), str(tmp_path / "files")
+    args = ["ingest", "batsmen", "--root", root, "--landing", folder,
+            "--checkpoint", str(tmp_path / "checkpoint")]
+    with pytest.raises(ValueError, match="columns"):
+        main(args)
+    main([*args, "--columns", HEADER])
+    landing("batsmen.csv", HEADER, ROW)
+    main(args)
+    assert Path(root, "partitions", "batsmen_0").is_dir()
+
+
+def test_failed_load_raises(spark, landing, tmp_path):
+    path = landing("batsmen.csv", "other", "1")
+    with pytest.raises(ValueError):
+        main(["load", "batsmen", "--root", str(tmp_path), "--landing", path])
+
+
+def test_database_options_come_from_a_file(spark, landing, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr("tidemark.plans.load.append_jdbc", lambda df, table, to: seen.append(to))
+    (tmp_path / "db.json").write_text(json.dumps({"user": "u", "password": "p"}))
+    main(["load", "batsmen", "--root", str(tmp_path), "--landing",
+          landing("b.csv", HEADER, ROW), "--jdbc-url", "jdbc:x:y",
+          "--jdbc-options", str(tmp_path / "db.json")])
+    assert seen == [Relational("jdbc:x:y", {"user": "u", "password": "p"})]
+
+
+def test_sizing_follows_the_input():
+    small, large = sizing(10 * 1024 * MB, 16), sizing(100 * 1024 * 1024 * MB, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "80"
+    assert sizing(1, 16)["spark.sql.shuffle.partitions"] == "16"
+    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * MB

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.jobs import BATSMEN, BOWLERS, DELIVERIES, JOBS, MATCHES
 from tidemark.plans.load import run_load
+from tidemark.sinks import Relational
 from tidemark.sources import read_metrics, read_runs, read_serving, read_snapshots
 from tidemark.storage import shared_root
 
@@ -166,3 +167,19 @@ def test_same_file_name_in_the_archive_is_an_error(spark, landing, layout):
     again = landing("b.csv", BATSMEN_HEADER, *BATSMEN_ROWS)
     with pytest.raises(FileExistsError):
         load(spark, BATSMEN, again, layout)
+
+
+def test_database_gets_the_written_rows_before_the_registry(spark, landing, layout, monkeypatch):
+    appended = {}
+
+    def record(rows_written, table, target):
+        appended[table] = (rows(rows_written.select("player_name", "partition_name")), target)
+        appended["registered"] = read_snapshots(spark, layout.snapshot_log).count()
+
+    monkeypatch.setattr("tidemark.plans.load.append_jdbc", record)
+    target = Relational("jdbc:x:y")
+    path = landing("b.csv", BATSMEN_HEADER, BATSMEN_ROWS[3])
+    load(spark, BATSMEN, path, layout, relational=target)
+    assert appended == {
+        "batsmen": ([("Whole Number", "batsmen_20250418_093000")], target), "registered": 0,
+    }

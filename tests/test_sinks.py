@@ -7,6 +7,7 @@ import pytest
 from conftest import END, START, rows
 
 from tidemark.sinks import (
+    Relational,
     append_jdbc,
     drop_partition,
     log_metric,
@@ -150,13 +151,14 @@ def test_jdbc_append_takes_everything_as_options():
     class Frame:
         write = RecordingWriter()
 
-    append_jdbc(Frame, "jdbc:x:y", "bowlers", {"user": "u", "password": "p", "driver": "d"}, 4)
+    options = {"user": "u", "password": "p", "driver": "d", "batchsize": "500"}
+    append_jdbc(Frame, "bowlers", Relational("jdbc:x:y", options, connections=4))
     assert Frame.write.calls == {
         "format": "jdbc",
         "mode": "append",
         "saved": True,
         "options": {
             "url": "jdbc:x:y", "dbtable": "bowlers", "user": "u", "password": "p",
-            "driver": "d", "batchsize": "10000", "numPartitions": "4",
+            "driver": "d", "batchsize": "500", "numPartitions": "4",
         },
     }

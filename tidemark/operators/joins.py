@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Up to this many names a filter on literals is used, which prunes partition folders.
 LITERAL_NAMES = 1_000
 
+# Up to this size, with so much for each entry besides its text, a list is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ENTRY_BYTES = 32
+
 
 def missing_from(registered: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Keys of ``registered`` that ``existing`` does not have, each once."""
@@ -38,14 +42,19 @@ def delete_rows(facts: DataFrame, missing: DataFrame, key: str = "partition_name
     """``facts`` without the rows whose key is in ``missing``; a NULL key stays.
 
     A short list becomes a filter on literals, so a table partitioned by ``key`` does not
-    read the folders to be deleted. A longer list is joined, and Spark picks the join from
-    the size of ``missing``; an oversized key of ``facts`` is then split by the adaptive
-    skew join.
+    read the folders to be deleted. A longer one is broadcast if its measured size allows,
+    and ``facts`` is not shuffled. Beyond that both sides are shuffled, and an oversized key
+    of ``facts`` is left to the adaptive skew join.
     """
     names = missing.select(key).where(F.col(key).isNotNull()).distinct()
-    listed = [row[0] for row in names.take(LITERAL_NAMES + 1)]
-    if not listed:
+    width = F.octet_length(F.col(key).cast("string"))
+    count, size = names.agg(F.count(key), F.coalesce(F.sum(width), F.lit(0))).first()
+    if count == 0:
         return facts
-    if len(listed) <= LITERAL_NAMES:
+    if count <= LITERAL_NAMES:
+        listed = [row[0] for row in names.take(count)]
         return facts.where(F.col(key).isNull() | ~F.col(key).isin(listed))
-    return facts.join(names, key, "left_anti").select(*facts.columns)
+    small = size + count * ENTRY_BYTES <= BROADCAST_BYTES
+    return facts.join(F.broadcast(names) if small else names, key, "left_anti").select(
+        *facts.columns
+    )

@@ -9,13 +9,19 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.projections import column
+
 # At most this many groups can each hold more than 1/HOT_GROUPS of the rows, so the
 # broadcast list of hot totals never has more entries, whatever the size of the input.
 HOT_GROUPS = 100_000
 
 
+def _fact(name: str) -> Column:
+    return F.col(f"facts.`{name}`")
+
+
 def _same_group(keys: Sequence[str]) -> Column:
-    pairs = (F.col(f"facts.{key}").eqNullSafe(F.col(f"hot._key{i}")) for i, key in enumerate(keys))
+    pairs = (_fact(key).eqNullSafe(F.col(f"hot._key{i}")) for i, key in enumerate(keys))
     return reduce(and_, pairs)
 
 
@@ -28,8 +34,8 @@ def hot_totals(df: DataFrame, keys: Sequence[str], measure: str, hot_rows: int)
     all_rows = df.agg(F.count(F.lit(1))).scalar()
     rows = F.col("_rows")
     return (
-        df.groupBy(*[F.col(key).alias(f"_key{i}") for i, key in enumerate(keys)])
-        .agg(F.sum(measure).alias("_total"), F.count(F.lit(1)).alias("_rows"))
+        df.groupBy(*[column(key).alias(f"_key{i}") for i, key in enumerate(keys)])
+        .agg(F.sum(column(measure)).alias("_total"), F.count(F.lit(1)).alias("_rows"))
         .where((rows > hot_rows) & (rows * HOT_GROUPS > all_rows))
     )
 
@@ -44,16 +50,16 @@ def window_total(
     other groups are small and go through one window. ``df`` is scanned more than once
     (once narrow, once or twice whole), so hand over a stored table, not a long lineage.
     """
-    kept = [F.col(f"facts.{name}") for name in df.columns if name != out]
+    kept = [_fact(name) for name in df.columns if name != out]
     hot = F.broadcast(hot_totals(df, keys, measure, hot_rows)).alias("hot")
     matched = df.alias("facts").join(hot, _same_group(keys), "left")
 
     # Both branches name both columns of the list, so Spark aggregates it only once.
     total, rows = F.col("hot._total"), F.col("hot._rows")
     listed = matched.where(rows.isNotNull()).select(*kept, total.alias(out))
-    group = Window.partitionBy(*[F.col(f"facts.{key}") for key in keys])
+    group = Window.partitionBy(*[_fact(key) for key in keys])
     unlisted = matched.where(rows.isNull() & total.isNull()).select(
-        *kept, F.sum(F.col(f"facts.{measure}")).over(group).alias(out)
+        *kept, F.sum(_fact(measure)).over(group).alias(out)
     )
     order = df.columns if out in df.columns else [*df.columns, out]
-    return unlisted.unionByName(listed).select(*order)
+    return unlisted.unionByName(listed).select(*[column(name) for name in order])

@@ -11,6 +11,8 @@ from tidemark.functions import run_name
 from tidemark.plans.jobs import Job
 from tidemark.plans.layout import Layout
 from tidemark.sinks import (
+    Relational,
+    append_jdbc,
     drop_partition,
     log_metric,
     log_run,
@@ -33,6 +35,7 @@ def publish(
     run_id: str,
     moment: datetime,
     drop: tuple[str, ...] = (),
+    relational: Relational | None = None,
 ) -> int:
     """Clean ``rows`` and write them to every sink of ``job``; return how many there were.
 
@@ -40,7 +43,7 @@ def publish(
 
     Data comes first and the registry last, so a registered run is complete; a rerun is
     taken off the registry while it replaces its rows. The work of the plan is done once:
-    the snapshot copies the rows just written.
+    the snapshot and the database, if there is one, copy the rows just written.
     """
     staging = new_folder(spark, "staging")
     try:
@@ -48,6 +51,8 @@ def publish(
         result = job.result(rows, staging).drop(*drop)
         count = write_serving(result, layout.table(job.table), partition_name)
         written = read_partition(spark, layout.table(job.table), partition_name, result.schema)
+        if relational:
+            append_jdbc(written, job.table, relational)
         write_snapshot(written, f"{layout.snapshots}/{partition_name}")
         log_metric(spark, layout.metrics, run_id, job.table, count)
         log_snapshot(
@@ -67,6 +72,7 @@ def run_load(
     run_id: str | None = None,
     infer: bool = False,
     clock: Clock = datetime.now,
+    relational: Relational | None = None,
 ) -> int:
     """Load one landing file or folder and archive it; return the rows inserted.
 
@@ -78,7 +84,7 @@ def run_load(
     status = "Failed"
     try:
         rows = scan_csv(spark, landing, job.declared, infer=infer)
-        count = publish(spark, job, rows, layout, name, run_id, started_at)
+        count = publish(spark, job, rows, layout, name, run_id, started_at, relational=relational)
         status = "Success"
     finally:
         log_run(spark, layout.run_log, run_id, job.script, started_at, clock(), status)

@@ -66,9 +66,8 @@ def row_count_report(counts: DataFrame, runs: DataFrame, metrics: DataFrame) ->
 def report_for(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
     """The report of one run over the tables of all jobs, in report order."""
     tables = {job.table: layout.table(job.table) for job in JOBS}
-    in_run = F.col("run_id") == run_id
     return row_count_report(
         table_counts(spark, tables),
-        read_runs(spark, layout.run_log).where(in_run),
-        read_metrics(spark, layout.metrics).where(in_run),
+        read_runs(spark, layout.run_log, run_id),
+        read_metrics(spark, layout.metrics, run_id),
     ).orderBy("position")

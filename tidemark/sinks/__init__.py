@@ -2,6 +2,7 @@
 
 from tidemark.sinks.registries import log_metric, log_run, log_snapshot
 from tidemark.sinks.tables import (
+    Relational,
     append_jdbc,
     drop_partition,
     write_runs,
@@ -10,6 +11,7 @@ from tidemark.sinks.tables import (
 )
 
 __all__ = [
+    "Relational",
     "append_jdbc",
     "drop_partition",
     "log_metric",

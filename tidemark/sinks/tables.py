@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import check_name
@@ -56,19 +59,21 @@ def write_snapshot(df: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").csv(folder)
 
 
-def jdbc_writer(
-    df: DataFrame, url: str, table: str, options: dict[str, str], connections: int = 16
-) -> DataFrameWriter:
-    """Writer for a relational table. ``connections`` bounds the open database sessions."""
-    settings = {"batchsize": "10000", "numPartitions": str(connections), **options}
-    return df.write.format("jdbc").options(**settings, url=url, dbtable=table)
+@dataclass(frozen=True)
+class Relational:
+    """A database; driver, user and password come in ``options``, never in code."""
+
+    url: str
+    options: Mapping[str, str] = field(default_factory=dict)
+    connections: int = 16
 
 
-def append_jdbc(
-    df: DataFrame, url: str, table: str, options: dict[str, str], connections: int = 16
-) -> None:
-    """Append to a relational table, columns by name; driver and credentials are options.
+def append_jdbc(df: DataFrame, table: str, target: Relational) -> None:
+    """Append to a relational table, columns by name.
 
-    Unlike `write_serving` this is a plain append: a rerun adds the rows again.
+    ``connections`` bounds the open database sessions. Unlike `write_serving` this is a
+    plain append: a rerun, or a task retried after its commit, adds the rows again.
     """
-    jdbc_writer(df, url, table, options, connections).mode("append").save()
+    settings = {"batchsize": "10000", "numPartitions": str(target.connections)}
+    options = {**settings, **target.options, "url": target.url, "dbtable": table}
+    df.write.format("jdbc").options(**options).mode("append").save()

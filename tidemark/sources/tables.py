@@ -6,20 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
+from tidemark.functions import check_name
 from tidemark.operators.projections import stamp
 from tidemark.storage import exists, folder_names
 
+PARTITION = StructField("partition_name", StringType())
+
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
     """A serving table, ``partition_name`` last and always a string.
 
-    The schema comes from the stored files; only the partition column is fixed, because a
-    folder value that looks like a number would else be read as one.
+    Folder values that all look like numbers or dates would be read as such; only then is
+    the table opened a second time, with the type fixed.
     """
-    stored = spark.read.parquet(path).schema
-    fields = [f for f in stored.fields if f.name != "partition_name"]
-    table = StructType([*fields, StructField("partition_name", StringType())])
-    return spark.read.schema(table).parquet(path)
+    table = spark.read.parquet(path)
+    guessed = dict(table.dtypes).get("partition_name", "string")
+    if guessed == "string":
+        return table
+    fields = [f for f in table.schema.fields if f.name != "partition_name"]
+    return spark.read.schema(StructType([*fields, PARTITION])).parquet(path)
 
 
 def read_partition(
@@ -40,22 +45,27 @@ def read_jdbc(spark: SparkSession, url: str, table: str, options: dict[str, str]
     return spark.read.format("jdbc").options(**options, url=url, dbtable=table).load()
 
 
-def _registry(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    if not exists(spark, path):
+def _registry(
+    spark: SparkSession, path: str, schema: StructType, run_id: str | None = None
+) -> DataFrame:
+    """A registry, or one run of it: then only that run's folder is listed."""
+    folder = f"{path}/run_id={check_name(run_id)}" if run_id else path
+    if not exists(spark, folder):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(folder).select(*schema.names)
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return _registry(spark, path, schemas.SNAPSHOTS)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return _registry(spark, path, schemas.RUNS)
+def read_runs(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    return _registry(spark, path, schemas.RUNS, run_id)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return _registry(spark, path, schemas.METRICS)
+def read_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    return _registry(spark, path, schemas.METRICS, run_id)
 
 
 def existing_snapshots(spark: SparkSession, root: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.jobs import Job
 from tidemark.plans.layout import Layout
 from tidemark.plans.load import publish
-from tidemark.sinks import log_run
+from tidemark.sinks import Relational, log_run
 from tidemark.sources import header_of
 from tidemark.sources.delimited import cast_declared, stream_csv
 
@@ -27,6 +28,13 @@ def per_file_total(job: Job) -> Job:
     return replace(job, total=replace(job.total, keys=(FILE, *job.total.keys)))
 
 
+def _first_header(spark: SparkSession, landing: str) -> list[str]:
+    try:
+        return header_of(spark, landing)[0]
+    except AnalysisException as error:
+        raise ValueError(f"no file in {landing} to read the header from; give columns") from error
+
+
 def ingest(
     spark: SparkSession,
     job: Job,
@@ -36,6 +44,7 @@ def ingest(
     per_file: bool = True,
     columns: list[str] | None = None,
     clock: Callable[[], datetime] = datetime.now,
+    relational: Relational | None = None,
 ) -> StreamingQuery:
     """Load all files that are new in ``landing``, then stop; start it again for later ones.
 
@@ -44,7 +53,7 @@ def ingest(
     file; otherwise it covers the batch. ``columns`` is the header, read from the files
     present if not given; a file with another header fails the batch.
     """
-    names = columns or header_of(spark, landing)[0]
+    names = columns or _first_header(spark, landing)
     files = stream_csv(spark, landing, names, layout.archive)
     with_file = job.total is not None and per_file
     if with_file:
@@ -58,7 +67,9 @@ def ingest(
         status = "Failed"
         try:
             rows = cast_declared(batch, job.declared)
-            publish(session, work, rows, layout, name, name, started_at, drop=(FILE,))
+            publish(
+                session, work, rows, layout, name, name, started_at, (FILE,), relational
+            )
             status = "Success"
         finally:
             log_run(session, layout.run_log, name, job.script, started_at, clock(), status)
