@@ -83,3 +83,14 @@ def test_job_without_total(spark, landing, layout, tmp_path):
     assert rows(table.select("player_name", "average", "partition_name")) == [
         ("Ruturaj", 26, "batsmen_0")
     ]
+
+
+def test_backlog_can_be_split_into_runs(spark, landing, layout, tmp_path):
+    for name in ("a", "b", "c"):
+        landing(f"{name}.csv", HEADER, f"1,1,1,{name},1", f"1,1,1,{name},2")
+    run(spark, DELIVERIES, tmp_path, layout, files_per_batch=1)
+    table = read_serving(spark, layout.table("deliveries"))
+    assert {r["runs_per_over"] for r in table.collect()} == {3}
+    assert rows(table.groupBy("partition_name").count()) == [
+        ("deliveries_0", 2), ("deliveries_1", 2), ("deliveries_2", 2),
+    ]

@@ -98,6 +98,23 @@ def test_few_groups_need_no_shuffle_of_rows(spark, tmp_path):
     assert "Window" not in plan
 
 
+def test_keys_equal_but_not_in_bytes(spark):
+    zeros = [(-0.0, 1), (0.0, 2), (float("nan"), 4), (float("nan"), 8), (None, 16)]
+    frame = spark.createDataFrame(zeros, "k double, v int")
+    totals = window_total(frame, ["k"], "v", "t", hot_rows=1).select("v", "t")
+    assert rows(totals) == [(1, 3), (16, 16), (2, 3), (4, 12), (8, 12)]
+    names = spark.createDataFrame([("a", 1), ("A", 2), ("b", 4)], "k string, v int")
+    folded = names.withColumn("k", F.collate("k", "UTF8_LCASE"))
+    assert rows(window_total(folded, ["k"], "v", "t", hot_rows=1).select("v", "t")) == [
+        (1, 3), (2, 3), (4, 4),
+    ]
+
+
+def test_column_names_with_dots(spark):
+    frame = spark.createDataFrame([(1, 2), (1, 3)], "`k.x` int, `v.y` int")
+    assert rows(window_total(frame, ["k.x"], "v.y", "t.z")) == [(1, 2, 5), (1, 3, 5)]
+
+
 def test_replaces_an_existing_column_in_place(spark):
     frame = spark.createDataFrame([(1, 7, 2), (1, 7, 3)], "k int, t long, v int")
     assert window_total(frame, ["k"], "v", "t").columns == ["k", "t", "v"]

@@ -8,12 +8,28 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tidemark.operators.projections import column
 
-# At most this many groups can each hold more than 1/HOT_GROUPS of the rows, so the
-# broadcast list of hot totals never has more entries, whatever the size of the input.
-HOT_GROUPS = 100_000
+# At most this many groups, or buckets, can each hold more than 1/HOT_GROUPS of the rows, so
+# a broadcast list of them never has more entries, whatever the size of the input.
+HOT_GROUPS = 10_000
+
+# Rows are first counted in this many buckets of key hashes. There are several times as many
+# as hot groups, so that a bucket without a hot group stays below the limit.
+BUCKETS = 65_536
+
+# Key types whose equal values always have equal hashes, besides plain strings.
+HASHED = (IntegralType, DecimalType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 
 def _fact(name: str) -> Column:
@@ -25,18 +41,37 @@ def _same_group(keys: Sequence[str]) -> Column:
     return reduce(and_, pairs)
 
 
+def _limit(df: DataFrame, rows: Column, hot_rows: int) -> Column:
+    all_rows = df.agg(F.count(F.lit(1))).scalar()
+    return (rows > hot_rows) & (rows * HOT_GROUPS > all_rows)
+
+
+def _crowded_only(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """The rows whose bucket of key hashes is large enough to hold a hot group.
+
+    Counting buckets is cheap: a task passes on at most BUCKETS rows. Where no bucket is
+    crowded, which adaptive execution sees, nothing is left to be aggregated by key.
+    """
+    types = [df.select(column(key)).schema[0].dataType for key in keys]
+    if not all(isinstance(kind, HASHED) or kind == StringType() for kind in types):
+        return df
+    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*map(column, keys)), F.lit(BUCKETS)))
+    rows = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    crowded = rows.where(_limit(df, F.col("_rows"), hot_rows)).select("_bucket")
+    return bucketed.join(F.broadcast(crowded), "_bucket", "left_semi").drop("_bucket")
+
+
 def hot_totals(df: DataFrame, keys: Sequence[str], measure: str, hot_rows: int) -> DataFrame:
     """Totals of the groups too large for one window task: ``_key0.., _total, _rows``.
 
     A group is hot when it has more than ``hot_rows`` rows *and* more than 1/HOT_GROUPS of
     all rows. The sums are combined map-side before their shuffle.
     """
-    all_rows = df.agg(F.count(F.lit(1))).scalar()
-    rows = F.col("_rows")
     return (
-        df.groupBy(*[column(key).alias(f"_key{i}") for i, key in enumerate(keys)])
+        _crowded_only(df, keys, hot_rows)
+        .groupBy(*[column(key).alias(f"_key{i}") for i, key in enumerate(keys)])
         .agg(F.sum(column(measure)).alias("_total"), F.count(F.lit(1)).alias("_rows"))
-        .where((rows > hot_rows) & (rows * HOT_GROUPS > all_rows))
+        .where(_limit(df, F.col("_rows"), hot_rows))
     )
 
 
@@ -48,7 +83,8 @@ def window_total(
     NULL keys form one group, NULL measures are skipped, an all-NULL group gives NULL.
     Rows of hot groups take their total from a broadcast list and are not shuffled; all
     other groups are small and go through one window. ``df`` is scanned more than once
-    (once narrow, once or twice whole), so hand over a stored table, not a long lineage.
+    (its keys, then all of it; both again where there are hot groups), so hand over a stored
+    table, not a long lineage.
     """
     kept = [_fact(name) for name in df.columns if name != out]
     hot = F.broadcast(hot_totals(df, keys, measure, hot_rows)).alias("hot")

@@ -54,8 +54,8 @@ def performance_by(
     """`performance` over ``keys`` of which some are columns of ``dimension``.
 
     ``dimension`` must hold each key at most once. The rows are aggregated on the foreign
-    key before the join: a key that holds a third of all rows enters it as one row per
-    group, and the join reuses the shuffle of that aggregation.
+    key before the join: a key that holds a third of all rows is combined map-side and
+    enters the join as one row per group, so only such partial results are shuffled.
     """
     own = [key for key in keys if key in df.columns]
     partial = performance(df.where(F.col(foreign_key).isNotNull()), [foreign_key, *own], measures)

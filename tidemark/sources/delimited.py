@@ -64,15 +64,23 @@ def scan_csv(
 
 
 def stream_csv(
-    spark: SparkSession, folder: str, names: list[str], archive: str, sep: str = ","
+    spark: SparkSession,
+    folder: str,
+    names: list[str],
+    archive: str,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream the headed files of a landing folder as text; used files go to ``archive``."""
-    return (
+    """Stream the headed files of a landing folder as text; used files go to ``archive``.
+
+    A file whose header differs from ``names`` fails its batch.
+    """
+    reader = (
         spark.readStream.schema(_text_schema(names))
         .option("header", True)
-        .option("sep", sep)
         .option("enforceSchema", False)
         .option("cleanSource", "archive")
         .option("sourceArchiveDir", archive)
-        .csv(folder)
     )
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(folder)

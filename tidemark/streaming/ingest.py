@@ -43,6 +43,7 @@ def ingest(
     checkpoint: str,
     per_file: bool = True,
     columns: list[str] | None = None,
+    files_per_batch: int | None = None,
     clock: Callable[[], datetime] = datetime.now,
     relational: Relational | None = None,
 ) -> StreamingQuery:
@@ -51,10 +52,11 @@ def ingest(
     Each micro-batch is one run named ``<table>_<batch id>``. A batch that is retried keeps
     its id and so replaces its own rows. With ``per_file`` a group's total stays within one
     file; otherwise it covers the batch. ``columns`` is the header, read from the files
-    present if not given; a file with another header fails the batch.
+    present if not given; a file with another header fails the batch. ``files_per_batch``
+    splits a large backlog into several runs; totals per file do not depend on it.
     """
     names = columns or _first_header(spark, landing)
-    files = stream_csv(spark, landing, names, layout.archive)
+    files = stream_csv(spark, landing, names, layout.archive, files_per_batch)
     with_file = job.total is not None and per_file
     if with_file:
         files = files.select("*", F.col("_metadata.file_path").alias(FILE))
