@@ -132,7 +132,7 @@ def test_every_sink_gets_the_run(spark, landing, layout):
     assert (run["run_id"], run["script_name"], run["status"]) == (
         "run_1", "batsmen_script", "Success",
     )
-    assert (Path(layout.archive) / "batsmen.csv").exists() and not Path(path).exists()
+    assert (Path(layout.archive) / name / "batsmen.csv").exists() and not Path(path).exists()
 
 
 def test_rerun_replaces_its_rows_everywhere(spark, landing, layout):
@@ -162,11 +162,41 @@ def test_failure_is_logged_and_keeps_the_input(spark, landing, layout):
     assert read_snapshots(spark, layout.snapshot_log).count() == 0
 
 
-def test_same_file_name_in_the_archive_is_an_error(spark, landing, layout):
+def test_archived_file_is_never_overwritten(spark, landing, layout):
     load(spark, BATSMEN, landing("b.csv", BATSMEN_HEADER, *BATSMEN_ROWS), layout)
-    again = landing("b.csv", BATSMEN_HEADER, *BATSMEN_ROWS)
+    again = landing("b.csv", BATSMEN_HEADER, BATSMEN_ROWS[0])
     with pytest.raises(FileExistsError):
         load(spark, BATSMEN, again, layout)
+    assert read_serving(spark, layout.table("batsmen")).count() == 4
+    assert Path(again).exists()
+    next_day = datetime(2025, 4, 19, 9, 30)
+    run_load(spark, BATSMEN, again, layout, next_day, clock=lambda: END)
+    assert read_serving(spark, layout.table("batsmen")).count() == 5
+
+
+def test_folder_keeps_the_files_that_came_too_late(spark, landing, layout, tmp_path, monkeypatch):
+    from tidemark.plans import load as module
+
+    landing("a b.csv", BATSMEN_HEADER, BATSMEN_ROWS[0])
+    landing("c.csv", BATSMEN_HEADER, BATSMEN_ROWS[1])
+    publish = module.publish
+
+    def slow_publish(*args, **options):
+        count = publish(*args, **options)
+        landing("late.csv", BATSMEN_HEADER, BATSMEN_ROWS[2])
+        return count
+
+    monkeypatch.setattr(module, "publish", slow_publish)
+    assert load(spark, BATSMEN, str(tmp_path / "files"), layout) == 2
+    assert [p.name for p in (tmp_path / "files").glob("*.csv")] == ["late.csv"]
+    archived = Path(layout.archive, "batsmen_20250418_093000").glob("*.csv")
+    assert sorted(p.name for p in archived) == ["a b.csv", "c.csv"]
+
+
+@pytest.mark.parametrize("job", JOBS, ids=lambda job: job.table)
+def test_file_without_rows(spark, landing, layout, job):
+    path = landing("x.csv", ",".join(job.declared.names))
+    assert load(spark, job, path, layout) == 0
 
 
 def test_database_gets_the_written_rows_before_the_registry(spark, landing, layout, monkeypatch):

@@ -48,6 +48,35 @@ def test_name_like_a_number_stays_text(spark, tmp_path):
     assert rows(read_serving(spark, path)) == [(1, "20250101")]
 
 
+def test_columns_are_matched_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_serving(spark.createDataFrame([(1, "a")], "i int, s string"), path, "x_1")
+    write_serving(spark.createDataFrame([("b", 2)], "s string, I int"), path, "x_2")
+    write_serving(spark.createDataFrame([("c",)], "s string"), path, "x_3")
+    assert rows(read_serving(spark, path)) == [
+        (1, "a", "x_1"), (2, "b", "x_2"), (None, "c", "x_3"),
+    ]
+    with pytest.raises(ValueError, match="extra"):
+        write_serving(spark.createDataFrame([(1, 2)], "i int, extra int"), path, "x_4")
+    with pytest.raises(ValueError, match="types"):
+        write_serving(spark.createDataFrame([(1.0,)], "i double"), path, "x_4")
+    assert read_serving(spark, path).count() == 3
+
+
+def test_narrower_numbers_are_widened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_serving(spark.createDataFrame([(1.5, 2**40)], "d double, l long"), path, "x_1")
+    write_serving(spark.createDataFrame([(7, 8)], "d int, l int"), path, "x_2")
+    assert rows(read_serving(spark, path)) == [(1.5, 2**40, "x_1"), (7.0, 8, "x_2")]
+
+
+def test_the_only_run_may_change_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_serving(spark.createDataFrame([(1,)], "i int"), path, "x_1")
+    write_serving(spark.createDataFrame([("a",)], "s string"), path, "x_1")
+    assert rows(read_serving(spark, path)) == [("a", "x_1")]
+
+
 def test_drop_partition(spark, tmp_path):
     path = str(tmp_path / "t")
     write_serving(frame(spark, 1), path, "x_1")

@@ -21,7 +21,13 @@ from tidemark.sinks import (
     write_snapshot,
 )
 from tidemark.sources import read_partition, scan_csv
-from tidemark.storage import move_into, new_folder, remove_folder
+from tidemark.storage import (
+    check_absent,
+    input_files,
+    move_into,
+    new_folder,
+    remove_folder,
+)
 
 Clock = Callable[[], datetime]
 
@@ -77,16 +83,21 @@ def run_load(
     """Load one landing file or folder and archive it; return the rows inserted.
 
     ``started_at`` names the partition, so a retry of the same run replaces its rows. A
-    failure is logged as ``Failed``, raised, and leaves the input where it is.
+    failure is logged as ``Failed``, raised, and leaves the input where it is. Exactly the
+    files that were read go to the archive, into a folder named after the run.
     """
     name = run_name(job.table, started_at)
     run_id = run_id or name
+    archive = f"{layout.archive}/{name}"
     status = "Failed"
     try:
         rows = scan_csv(spark, landing, job.declared, infer=infer)
+        files = input_files(rows)
+        check_absent(spark, files, archive)
         count = publish(spark, job, rows, layout, name, run_id, started_at, relational=relational)
         status = "Success"
     finally:
         log_run(spark, layout.run_log, run_id, job.script, started_at, clock(), status)
-    move_into(spark, landing, layout.archive)
+    for file in files:
+        move_into(spark, file, archive)
     return count

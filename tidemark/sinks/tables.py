@@ -7,10 +7,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
 
 from tidemark.functions import check_name
-from tidemark.operators.projections import stamp
-from tidemark.storage import remove_folder
+from tidemark.operators.projections import column, stamp
+from tidemark.storage import exists, folder_names, remove_folder
 
 
 def partition_folder(path: str, partition_name: str) -> str:
@@ -32,21 +33,69 @@ def write_runs(df: DataFrame, path: str) -> None:
     )
 
 
+def _columns_of(spark: SparkSession, path: str, except_for: str) -> StructType | None:
+    """Columns of a serving table, from any one of its other runs; None without one."""
+    if not exists(spark, path):
+        return None
+    own = partition_folder("", except_for).lstrip("/")
+    runs = (n for n in folder_names(spark, path) if n.startswith("partition_name=") and n != own)
+    run = next(runs, None)
+    return spark.read.parquet(f"{path.rstrip('/')}/{run}").schema if run else None
+
+
+# Type changes that keep every value; guessed types differ in this way between files.
+WIDENED = {(IntegerType(), LongType()), (IntegerType(), DoubleType()), (FloatType(), DoubleType())}
+
+
+def fit_columns(df: DataFrame, table: StructType) -> DataFrame:
+    """``df`` with the columns of ``table``, matched by name.
+
+    A column that ``df`` lacks becomes NULL, a narrower number is widened. A column that the
+    table lacks, or of another type, is an error: the rows could not be read back together
+    with the others.
+    """
+    present = {name.lower(): name for name in df.columns}
+    extra = present.keys() - {f.name.lower() for f in table.fields}
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    other = [
+        f.name
+        for f in table.fields
+        if f.name.lower() in present
+        and kinds[f.name.lower()] != f.dataType
+        and (kinds[f.name.lower()], f.dataType) not in WIDENED
+    ]
+    if extra or other:
+        raise ValueError(f"table lacks {sorted(extra)}, has other types for {other}")
+    return df.select(
+        *[
+            column(present[f.name.lower()]).cast(f.dataType).alias(f.name)
+            if f.name.lower() in present
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.fields
+        ]
+    )
+
+
 def write_serving(df: DataFrame, path: str, partition_name: str) -> int:
     """Write one run to the serving table and return its number of rows.
 
-    A rerun leaves no duplicates, and one without rows leaves none. The count rides on the
-    write, in its last stage, so it costs no second pass and a retried task counts once.
-    It comes before the stamp: a constant last column needs no sort by partition.
+    Columns must fit those of the other runs. A rerun leaves no duplicates, and one without
+    rows leaves none. The count rides on the write, in its last stage, so it costs no second
+    pass and a retried task counts once. It comes before the stamp: a constant last column
+    needs no sort by partition.
     """
-    folder = partition_folder(path, partition_name)
+    spark = df.sparkSession
+    rows = df.drop("partition_name")
+    table = _columns_of(spark, path, partition_name)
+    if table:
+        rows = fit_columns(rows, table)
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     write_runs(stamp(counted, partition_name), path)
-    rows = written.get["rows"]
-    if rows == 0:
-        remove_folder(df.sparkSession, folder)
-    return rows
+    count = written.get["rows"]
+    if count == 0:
+        remove_folder(spark, partition_folder(path, partition_name))
+    return count
 
 
 def drop_partition(spark: SparkSession, path: str, partition_name: str) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,15 +50,32 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def input_files(df: DataFrame) -> list[str]:
+    """Paths of the files ``df`` reads, as they were listed when it was opened."""
+    return [unquote(file) for file in df.inputFiles()]
+
+
+def _target(spark: SparkSession, path: str, folder: str) -> str:
+    return f"{folder.rstrip('/')}/{_path(spark, path).getName()}"
+
+
+def check_absent(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Raise if ``folder`` already has something by the name of one of ``paths``."""
+    if not exists(spark, folder):
+        return
+    for path in paths:
+        if exists(spark, _target(spark, path, folder)):
+            raise FileExistsError(f"{_target(spark, path, folder)} is there already")
+
+
 def move_into(spark: SparkSession, path: str, folder: str) -> str:
     """Move a file or folder below ``folder``; raises unless the move took place."""
     files = _file_system(spark, path)
     if not files.exists(_path(spark, path)):
         raise FileNotFoundError(path)
-    target = f"{folder.rstrip('/')}/{_path(spark, path).getName()}"
-    if files.exists(_path(spark, target)):
-        raise FileExistsError(f"{target} is there already, {path} was not moved")
     make_folder(spark, folder)
+    check_absent(spark, [path], folder)
+    target = _target(spark, path, folder)
     if not files.rename(_path(spark, path), _path(spark, target)):
         raise OSError(f"could not move {path} to {target}")
     return target
