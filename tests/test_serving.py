@@ -38,6 +38,13 @@ def test_performance_over_a_dimension_equals_the_plain_join(spark):
     assert rows(early) == rows(plain)
 
 
+def test_facts_come_first_for_a_column_in_both(spark):
+    facts = spark.createDataFrame([(1, "a", 5), (1, "b", 7)], "k int, name string, v int")
+    teams = spark.createDataFrame([(1, "x")], "k int, name string")
+    result = performance_by(facts, "k", teams, "k", ["name"], {"total": ("sum", "v")})
+    assert rows(result) == [("a", 5), ("b", 7)]
+
+
 def test_unknown_aggregate_is_refused(spark):
     with pytest.raises(ValueError, match="avg"):
         performance(spark.range(1), ["id"], {"x": ("avg", "id")})

@@ -110,6 +110,15 @@ def test_keys_equal_but_not_in_bytes(spark):
     ]
 
 
+def test_long_keys_stay_in_the_window(spark):
+    data = [("x" * 2000, 1), ("x" * 2000, 2), ("y", 4), ("y", 8), (None, 16), (None, 32)]
+    frame = spark.createDataFrame(data, "k string, v int")
+    assert rows(hot_totals(frame, ["k"], "v", 1).select("_key0")) == [("y",), (None,)]
+    assert rows(window_total(frame, ["k"], "v", "t", hot_rows=1).select("v", "t")) == [
+        (1, 3), (16, 48), (2, 3), (32, 48), (4, 12), (8, 12),
+    ]
+
+
 def test_column_names_with_dots(spark):
     frame = spark.createDataFrame([(1, 2), (1, 3)], "`k.x` int, `v.y` int")
     assert rows(window_total(frame, ["k.x"], "v.y", "t.z")) == [(1, 2, 5), (1, 3, 5)]

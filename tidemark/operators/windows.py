@@ -9,11 +9,13 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DateType,
     DecimalType,
     IntegralType,
     StringType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -24,6 +26,9 @@ from tidemark.operators.projections import column
 # a broadcast list of them never has more entries, whatever the size of the input.
 HOT_GROUPS = 10_000
 
+# Longer text keys are not listed, but stay in the window; so the list is bounded in bytes too.
+KEY_BYTES = 1_024
+
 # Rows are first counted in this many buckets of key hashes. There are several times as many
 # as hot groups, so that a bucket without a hot group stays below the limit.
 BUCKETS = 65_536
@@ -46,19 +51,20 @@ def _limit(df: DataFrame, rows: Column, hot_rows: int) -> Column:
     return (rows > hot_rows) & (rows * HOT_GROUPS > all_rows)
 
 
-def _crowded_only(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+def _crowded_only(narrow: DataFrame, keys: StructType, hot_rows: int) -> DataFrame:
     """The rows whose bucket of key hashes is large enough to hold a hot group.
 
     Counting buckets is cheap: a task passes on at most BUCKETS rows. Where no bucket is
     crowded, which adaptive execution sees, nothing is left to be aggregated by key.
     """
-    types = [df.select(column(key)).schema[0].dataType for key in keys]
-    if not all(isinstance(kind, HASHED) or kind == StringType() for kind in types):
-        return df
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*map(column, keys)), F.lit(BUCKETS)))
+    kinds = [field.dataType for field in keys.fields]
+    if not all(isinstance(kind, HASHED) or kind == StringType() for kind in kinds):
+        return narrow
+    bucket = F.pmod(F.xxhash64(*keys.names), F.lit(BUCKETS))
+    bucketed = narrow.withColumn("_bucket", bucket)
     rows = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    crowded = rows.where(_limit(df, F.col("_rows"), hot_rows)).select("_bucket")
-    return bucketed.join(F.broadcast(crowded), "_bucket", "left_semi").drop("_bucket")
+    crowded = rows.where(_limit(narrow, F.col("_rows"), hot_rows)).select("_bucket")
+    return bucketed.join(F.broadcast(crowded), "_bucket", "left_semi")
 
 
 def hot_totals(df: DataFrame, keys: Sequence[str], measure: str, hot_rows: int) -> DataFrame:
@@ -67,11 +73,21 @@ def hot_totals(df: DataFrame, keys: Sequence[str], measure: str, hot_rows: int)
     A group is hot when it has more than ``hot_rows`` rows *and* more than 1/HOT_GROUPS of
     all rows. The sums are combined map-side before their shuffle.
     """
+    key_columns = df.select(*[column(key).alias(f"_key{i}") for i, key in enumerate(keys)]).schema
+    narrow = df.select(
+        *[column(key).alias(name) for key, name in zip(keys, key_columns.names)],
+        column(measure).alias("_measure"),
+    )
+    short = [
+        F.coalesce(F.octet_length(field.name), F.lit(0)) <= KEY_BYTES
+        for field in key_columns.fields
+        if isinstance(field.dataType, (StringType, BinaryType))
+    ]
     return (
-        _crowded_only(df, keys, hot_rows)
-        .groupBy(*[column(key).alias(f"_key{i}") for i, key in enumerate(keys)])
-        .agg(F.sum(column(measure)).alias("_total"), F.count(F.lit(1)).alias("_rows"))
-        .where(_limit(df, F.col("_rows"), hot_rows))
+        _crowded_only(narrow, key_columns, hot_rows)
+        .groupBy(*key_columns.names)
+        .agg(F.sum("_measure").alias("_total"), F.count(F.lit(1)).alias("_rows"))
+        .where(reduce(and_, short, _limit(narrow, F.col("_rows"), hot_rows)))
     )
 
 

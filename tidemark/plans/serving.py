@@ -51,7 +51,7 @@ def performance_by(
     keys: Sequence[str],
     measures: Mapping[str, tuple[str, str]],
 ) -> DataFrame:
-    """`performance` over ``keys`` of which some are columns of ``dimension``.
+    """`performance` over ``keys``: columns of ``df`` and, failing that, of ``dimension``.
 
     ``dimension`` must hold each key at most once. The rows are aggregated on the foreign
     key before the join: a key that holds a third of all rows is combined map-side and
@@ -59,7 +59,9 @@ def performance_by(
     """
     own = [key for key in keys if key in df.columns]
     partial = performance(df.where(F.col(foreign_key).isNotNull()), [foreign_key, *own], measures)
-    joined = partial.join(dimension, F.col(foreign_key) == F.col(dimension_key))
+    wanted = [F.col(key) for key in keys if key not in own]
+    looked_up = dimension.select(F.col(dimension_key).alias("_dimension_key"), *wanted)
+    joined = partial.join(looked_up, F.col(foreign_key) == F.col("_dimension_key"))
     return joined.groupBy(*keys).agg(
         *[COMBINE[function](out).alias(out) for out, (function, _) in measures.items()]
     )
