@@ -81,14 +81,14 @@ def trim_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def safe_int_from_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("p_partkey") % 5
+    size = F.col("p_size")
     mixed = given(spark, sf_dir, "part").select(
         "p_partkey",
-        F.when(kind == 0, F.lit("NULL"))
-        .when(kind == 1, F.concat("p_size", F.lit(".7")))
-        .when(kind == 2, F.concat(F.lit(" "), "p_size", F.lit(" ")))
-        .when(kind == 3, F.concat("p_size", F.lit("e2")))
-        .otherwise(F.concat(F.lit("-"), "p_size"))
+        F.when(size <= 10, F.lit("NULL"))
+        .when(size <= 20, F.concat(size, F.lit(".7")))
+        .when(size <= 30, F.concat(F.lit(" "), size, F.lit(" ")))
+        .when(size <= 40, F.concat(size, F.lit("e2")))
+        .otherwise(F.concat(F.lit("-"), size))
         .alias("size"),
     )
     return to_int("size")(mixed)
@@ -224,8 +224,9 @@ ORACLE = {
     "safe_int_from_string": """
         WITH mixed AS (
             SELECT p_partkey,
-                   CASE p_partkey % 5 WHEN 0 THEN 'NULL' WHEN 1 THEN p_size || '.7'
-                        WHEN 2 THEN ' ' || p_size || ' ' WHEN 3 THEN p_size || 'e2'
+                   CASE WHEN p_size <= 10 THEN 'NULL' WHEN p_size <= 20 THEN p_size || '.7'
+                        WHEN p_size <= 30 THEN ' ' || p_size || ' '
+                        WHEN p_size <= 40 THEN p_size || 'e2'
                         ELSE '-' || p_size END AS size
             FROM part)
         SELECT p_partkey,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions import run_name
 from tidemark.operators import trim_strings
 from tidemark.plans.jobs import BATSMEN, BOWLERS, DELIVERIES, MATCHES, GroupTotal, Job
 from tidemark.plans.layout import Layout
@@ -70,21 +71,25 @@ def insert_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_metrics(spark, f"{root}/metrics")
 
 
-def _loaded(spark: SparkSession, job: Job, landed: DataFrame) -> DataFrame:
+def _load(spark: SparkSession, job: Job, landed: DataFrame) -> Layout:
     root = new_folder(spark, f"load_{job.table}")
     layout = Layout.below(root)
     land(landed, f"{root}/files/{job.table}")
     run_load(
         spark, job, f"{root}/files/{job.table}", layout, RUN_START, clock=lambda: RUN_END
     )
-    return read_serving(spark, layout.table(job.table))
+    return layout
+
+
+def _loaded(spark: SparkSession, job: Job, landed: DataFrame) -> DataFrame:
+    return read_serving(spark, _load(spark, job, landed).table(job.table))
 
 
 def load_batsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size, kind = F.col("p_size"), F.col("p_partkey") % 3
+    size = F.col("p_size")
     average = (
-        F.when(kind == 0, F.lit("NULL"))
-        .when(kind == 1, F.concat("p_size", F.lit(".25")))
+        F.when(size <= 5, F.lit("NULL"))
+        .when(size <= 35, F.concat(size, F.lit(".25")))
         .otherwise(size.cast("string"))
     )
     landed = given(spark, sf_dir, "part").select(
@@ -104,9 +109,9 @@ def load_batsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, BATSMEN, landed)
 
 
-def load_bowlers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bowlers(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance, nation = F.col("c_acctbal"), F.col("c_nationkey")
-    landed = given(spark, sf_dir, "customer").select(
+    return given(spark, sf_dir, "customer").select(
         F.concat("c_name", F.lit(" ")).alias("player_name"),
         nation.alias("total_wkts"),
         nation.alias("total_matches"),
@@ -119,7 +124,27 @@ def load_bowlers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("total_4w"),
         F.lit(0).alias("total_5w"),
     )
-    return _loaded(spark, BOWLERS, landed)
+
+
+def load_bowlers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(spark, BOWLERS, _bowlers(spark, sf_dir))
+
+
+def load_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot a load leaves: columns by position, the run's name last."""
+    layout = _load(spark, BOWLERS, _bowlers(spark, sf_dir))
+    name = run_name("bowlers", RUN_START)
+    columns = read_serving(spark, layout.table("bowlers")).schema
+    return spark.read.schema(columns).csv(f"{layout.snapshots}/{name}")
+
+
+def archived_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The input of a load, read back from the archive."""
+    supplier = given(spark, sf_dir, "supplier")
+    job = Job("supplier", supplier.schema, (trim_strings,))
+    layout = _load(spark, job, supplier)
+    folder = f"{layout.archive}/{run_name('supplier', RUN_START)}"
+    return scan_csv(spark, folder, supplier.schema)
 
 
 def load_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +228,8 @@ QUERIES = {
     "insert_metric": insert_metric,
     "load_batsmen": load_batsmen,
     "load_bowlers": load_bowlers,
+    "load_snapshot": load_snapshot,
+    "archived_input": archived_input,
     "load_matches": load_matches,
     "load_deliveries": load_deliveries,
     "stream_ingest": stream_ingest,
@@ -229,7 +256,7 @@ ORACLE = {
     "load_batsmen": """
         SELECT p_name || ' #' || p_partkey AS player_name, p_size * 100 AS total_runs,
                p_size AS total_matches, p_size AS total_innings, 1 AS total_not_outs,
-               CASE WHEN p_partkey % 3 = 2 THEN p_size END AS average,
+               CASE WHEN p_size > 35 THEN p_size END AS average,
                p_size * 60 AS total_balls_faced, p_retailprice AS strike_rate,
                0 AS hundreds, 0 AS fifties, p_size AS fours, p_size AS sixes,
                'batsmen_20250418_093000' AS partition_name
@@ -243,6 +270,16 @@ ORACLE = {
                CAST(c_acctbal + CAST(0.25 AS DOUBLE) AS DECIMAL(10,0)) AS strike_rate,
                0 AS total_4w, 0 AS total_5w, 'bowlers_20250418_093000' AS partition_name
         FROM customer""",
+    "load_snapshot": """
+        SELECT c_name AS player_name, c_nationkey AS total_wkts, c_nationkey AS total_matches,
+               c_nationkey AS total_inns,
+               CAST(CAST(c_nationkey + 0.5 AS DOUBLE) AS DECIMAL(10,0)) AS total_overs,
+               c_nationkey AS runs, CAST(c_acctbal AS DECIMAL(10,0)) AS bowling_avg,
+               CAST(-c_acctbal AS DECIMAL(10,0)) AS economy_rate,
+               CAST(c_acctbal + CAST(0.25 AS DOUBLE) AS DECIMAL(10,0)) AS strike_rate,
+               0 AS total_4w, 0 AS total_5w, 'bowlers_20250418_093000' AS partition_name
+        FROM customer""",
+    "archived_input": "SELECT * FROM supplier",
     "load_matches": """
         SELECT 'm' || o_orderkey AS id, strftime(o_orderdate, '%d-%m-%Y') AS date,
                CASE o_orderstatus WHEN 'F' THEN 'D/L' WHEN 'O' THEN 'D/L' ELSE 'NA' END AS method,
