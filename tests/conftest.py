@@ -56,4 +56,4 @@ def ansi(spark, request):
 
 
 def rows(df):
-    return sorted((tuple(row) for row in df.collect()), key=lambda r: [(v is None, str(v)) for v in r])
+    return sorted(map(tuple, df.collect()), key=lambda row: [(v is None, str(v)) for v in row])

@@ -57,7 +57,8 @@ def test_safe_int_via_double_keeps_decimals(spark, ansi):
 
 
 ODD_TEXTS = [
-    "\t7\n", "7\r\n", "\x007", "7\x7f", "\u00a07", "7\u2028", "\u20037", "+", "-", "- 7", "--7", "07",
+    "\t7\n", "7\r\n", "\x007", "7\x7f", "\u00a07", "7\u2028", "\u20037",
+    "+", "-", "- 7", "--7", "07",
     "000000000000000000000000007", "2147483647", "2147483648", "-2147483648", "-2147483649",
     "9999999999", "99999999999", "9223372036854775807", "9223372036854775808", "7.", ".7",
     "7.0", "7f", "0x7", "\u0667", "7 7", "1_000", "1,000", "Infinity", "NaN", "7L", "\x1c7",

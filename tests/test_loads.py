@@ -6,7 +6,6 @@ from pathlib import Path
 
 import pytest
 from conftest import END, START, rows
-from pyspark.sql import functions as F
 
 from tidemark.plans.jobs import BATSMEN, BOWLERS, DELIVERIES, JOBS, MATCHES
 from tidemark.plans.load import run_load
@@ -122,9 +121,8 @@ def test_every_sink_gets_the_run(spark, landing, layout):
     name = "batsmen_20250418_093000"
     snapshot = spark.read.csv(f"{layout.snapshots}/{name}")
     assert snapshot.count() == 4
-    assert snapshot.select(F.col("_c5"), F.col("_c12")).where("_c0 = 'Whole Number'").first()[:] == (
-        "10", name,
-    )
+    whole = snapshot.where("_c0 = 'Whole Number'").select("_c5", "_c12")
+    assert rows(whole) == [("10", name)]
     entry = read_snapshots(spark, layout.snapshot_log).first()
     assert entry[:3] == ("batsmen", name, f"{layout.snapshots}/{name}")
     assert rows(read_metrics(spark, layout.metrics)) == [("run_1", "batsmen", 4)]

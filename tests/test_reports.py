@@ -79,7 +79,8 @@ def runs_of(spark, layout, gone=(), names=("matches_1", "matches_2", "batsmen_1"
 
 
 def names_in(spark, layout, table):
-    return [r[0] for r in rows(read_serving(spark, layout.table(table)).select("partition_name").distinct())]
+    names = read_serving(spark, layout.table(table)).select("partition_name").distinct()
+    return [row[0] for row in rows(names)]
 
 
 def test_reconcile_with_nothing_missing(spark, layout):

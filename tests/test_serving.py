@@ -33,8 +33,9 @@ def test_performance_over_a_dimension_equals_the_plain_join(spark):
         "n": ("count", "runs"), "total": ("sum", "runs"), "low": ("min", "runs"),
         "high": ("max", "runs"),
     }
-    plain = performance(facts.join(teams, F.col("team") == F.col("key")), ["city", "inning"], measures)
-    early = performance_by(facts, "team", teams, "key", ["city", "inning"], measures)
+    keys = ["city", "inning"]
+    plain = performance(facts.join(teams, F.col("team") == F.col("key")), keys, measures)
+    early = performance_by(facts, "team", teams, "key", keys, measures)
     assert rows(early) == rows(plain)
 
 

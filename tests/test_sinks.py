@@ -139,14 +139,14 @@ def test_timestamps_follow_the_session_time_zone(spark, tmp_path):
 def test_move_is_checked(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a\n1\n")
     archive = str(tmp_path / "archives")
-    move_into(spark, str(tmp_path / "x.csv"), archive)
+    move_into(spark, [str(tmp_path / "x.csv")], archive)
     assert (tmp_path / "archives" / "x.csv").exists() and not (tmp_path / "x.csv").exists()
     (tmp_path / "x.csv").write_text("a\n2\n")
     with pytest.raises(FileExistsError):
-        move_into(spark, str(tmp_path / "x.csv"), archive)
+        move_into(spark, [str(tmp_path / "x.csv")], archive)
     assert (tmp_path / "x.csv").exists()
     with pytest.raises(OSError):
-        move_into(spark, str(tmp_path / "absent.csv"), archive)
+        move_into(spark, [str(tmp_path / "absent.csv")], archive)
 
 
 def test_shared_folder_is_the_configured_one(spark):

@@ -33,7 +33,8 @@ def test_files_are_loaded_once_and_archived(spark, landing, layout, tmp_path):
     ]
     assert spark.read.csv(f"{layout.snapshots}/deliveries_0").count() == 2
     assert read_snapshots(spark, layout.snapshot_log).count() == 2
-    assert sorted(r["inserted_rows"] for r in read_metrics(spark, layout.metrics).collect()) == [1, 2]
+    inserted = read_metrics(spark, layout.metrics).select("inserted_rows")
+    assert rows(inserted) == [(1,), (2,)]
     assert {r["status"] for r in read_runs(spark, layout.run_log).collect()} == {"Success"}
     assert [p.name for p in Path(layout.archive).rglob("*.csv")] == ["a.csv"]
 
@@ -54,14 +55,27 @@ def test_total_stays_within_a_file_or_covers_the_batch(spark, landing, layout, t
 
 
 def test_repeated_batch_replaces_its_rows(spark, landing, layout, tmp_path):
-    """A lost checkpoint makes batch 0 run again: same name, no duplicates."""
+    """Without its commit, a batch runs again after a restart: same name, no duplicates."""
+    landing("a.csv", HEADER, "1,1,1,A,1", "1,1,1,B,2")
+    run(spark, DELIVERIES, tmp_path, layout)
+    for name in ("0", ".0.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).rename(tmp_path / f"lost{name}")
+    run(spark, DELIVERIES, tmp_path, layout)
+    assert read_runs(spark, layout.run_log).count() == 2
+    assert read_serving(spark, layout.table("deliveries")).count() == 2
+    assert read_snapshots(spark, layout.snapshot_log).count() == 1
+    assert rows(read_metrics(spark, layout.metrics)) == [("deliveries_0", "deliveries", 2)]
+
+
+def test_new_checkpoint_does_not_replace_older_runs(spark, landing, layout, tmp_path):
     landing("a.csv", HEADER, "1,1,1,A,1")
-    for attempt in ("c1", "c2"):
-        ingest(
-            spark, DELIVERIES, str(tmp_path / "files"), layout, str(tmp_path / attempt),
-            clock=lambda: START,
-        ).awaitTermination()
-    assert read_serving(spark, layout.table("deliveries")).count() == 1
+    run(spark, DELIVERIES, tmp_path, layout)
+    files, other = str(tmp_path / "files"), str(tmp_path / "other")
+    with pytest.raises(ValueError, match="prefix"):
+        ingest(spark, DELIVERIES, files, layout, other)
+    ingest(spark, DELIVERIES, files, layout, other, prefix="again").awaitTermination()
+    table = read_serving(spark, layout.table("deliveries"))
+    assert rows(table.select("partition_name")) == [("again_0",), ("deliveries_0",)]
 
 
 def test_reordered_header_fails_and_is_logged(spark, landing, layout, tmp_path):

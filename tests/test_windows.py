@@ -29,7 +29,9 @@ def test_nulls(spark, hot_rows):
 
 
 values = st.tuples(
-    st.sampled_from([None, 1, 2]), st.sampled_from([None, "a", ""]), st.sampled_from([None, 0, 5, -3])
+    st.sampled_from([None, 1, 2]),
+    st.sampled_from([None, "a", ""]),
+    st.sampled_from([None, 0, 5, -3]),
 )
 
 

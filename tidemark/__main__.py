@@ -69,7 +69,8 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _reconcile(spark: SparkSession, args: argparse.Namespace) -> None:
-    for row in reconcile(spark, Layout.below(args.root), prune_log=args.prune_log).toLocalIterator():
+    missing = reconcile(spark, Layout.below(args.root), prune_log=args.prune_log)
+    for row in missing.toLocalIterator():
         print(f"deleted rows of missing snapshot: {row['partition_name']}")
 
 

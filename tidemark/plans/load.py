@@ -98,6 +98,5 @@ def run_load(
         status = "Success"
     finally:
         log_run(spark, layout.run_log, run_id, job.script, started_at, clock(), status)
-    for file in files:
-        move_into(spark, file, archive)
+    move_into(spark, files, archive)
     return count

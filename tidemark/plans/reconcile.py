@@ -11,7 +11,6 @@ from tidemark.plans.jobs import JOBS
 from tidemark.plans.layout import Layout
 from tidemark.sinks import drop_partition
 from tidemark.sources import existing_snapshots, read_snapshots
-from tidemark.storage import new_folder, stored
 
 
 def missing_snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -32,14 +31,15 @@ def reconcile(
 ) -> DataFrame:
     """Drop the missing runs from all tables and return their names.
 
-    A run is a partition folder, so no row is read or rewritten. Registry rows stay, unless
-    ``prune_log`` is set; then they go after the data.
+    A run is a partition folder, so no row is read or rewritten; the driver handles the
+    names of missing runs only. Registry rows stay, unless ``prune_log`` is set; then they
+    go after the data.
     """
-    missing = stored(missing_snapshots(spark, layout), new_folder(spark, "missing"))
+    names = [row[0] for row in missing_snapshots(spark, layout).toLocalIterator()]
     targets = [layout.table(table) for table in tables]
     if prune_log:
         targets.append(layout.snapshot_log)
-    for row in missing.toLocalIterator():
+    for name in names:
         for path in targets:
-            drop_partition(spark, path, row["partition_name"])
-    return missing
+            drop_partition(spark, path, name)
+    return spark.createDataFrame([(name,) for name in names], "partition_name string")

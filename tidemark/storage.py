@@ -68,17 +68,16 @@ def check_absent(spark: SparkSession, paths: list[str], folder: str) -> None:
             raise FileExistsError(f"{_target(spark, path, folder)} is there already")
 
 
-def move_into(spark: SparkSession, path: str, folder: str) -> str:
-    """Move a file or folder below ``folder``; raises unless the move took place."""
-    files = _file_system(spark, path)
-    if not files.exists(_path(spark, path)):
-        raise FileNotFoundError(path)
+def move_into(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Move files below ``folder``; raises unless every move took place."""
+    check_absent(spark, paths, folder)
     make_folder(spark, folder)
-    check_absent(spark, [path], folder)
-    target = _target(spark, path, folder)
-    if not files.rename(_path(spark, path), _path(spark, target)):
-        raise OSError(f"could not move {path} to {target}")
-    return target
+    for path in paths:
+        files, target = _file_system(spark, path), _target(spark, path, folder)
+        if not files.exists(_path(spark, path)):
+            raise FileNotFoundError(path)
+        if not files.rename(_path(spark, path), _path(spark, target)):
+            raise OSError(f"could not move {path} to {target}")
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -15,8 +15,10 @@ from tidemark.plans.jobs import Job
 from tidemark.plans.layout import Layout
 from tidemark.plans.load import publish
 from tidemark.sinks import Relational, log_run
+from tidemark.sinks.tables import partition_folder
 from tidemark.sources import header_of
 from tidemark.sources.delimited import cast_declared, stream_csv
+from tidemark.storage import exists
 
 FILE = "_source_file"
 
@@ -35,6 +37,12 @@ def _first_header(spark: SparkSession, landing: str) -> list[str]:
         raise ValueError(f"no file in {landing} to read the header from; give columns") from error
 
 
+def _check_prefix(spark: SparkSession, table: str, prefix: str, checkpoint: str) -> None:
+    is_new = not exists(spark, f"{checkpoint}/metadata")
+    if is_new and exists(spark, partition_folder(table, f"{prefix}_0")):
+        raise ValueError(f"an earlier stream wrote {prefix}_0; give another prefix")
+
+
 def ingest(
     spark: SparkSession,
     job: Job,
@@ -44,17 +52,23 @@ def ingest(
     per_file: bool = True,
     columns: list[str] | None = None,
     files_per_batch: int | None = None,
+    prefix: str | None = None,
     clock: Callable[[], datetime] = datetime.now,
     relational: Relational | None = None,
 ) -> StreamingQuery:
     """Load all files that are new in ``landing``, then stop; start it again for later ones.
 
-    Each micro-batch is one run named ``<table>_<batch id>``. A batch that is retried keeps
-    its id and so replaces its own rows. With ``per_file`` a group's total stays within one
-    file; otherwise it covers the batch. ``columns`` is the header, read from the files
-    present if not given; a file with another header fails the batch. ``files_per_batch``
-    splits a large backlog into several runs; totals per file do not depend on it.
+    Each micro-batch is one run named ``<prefix>_<batch id>``, by default the table's name. A
+    batch that is retried keeps its id and so replaces its own rows. A new checkpoint counts
+    from 0 again and needs another ``prefix``, so as not to replace older runs.
+
+    With ``per_file`` a group's total stays within one file; otherwise it covers the batch.
+    ``columns`` is the header, read from the files present if not given; a file with another
+    header fails the batch. ``files_per_batch`` splits a large backlog into several runs;
+    totals per file do not depend on it.
     """
+    prefix = prefix or job.table
+    _check_prefix(spark, layout.table(job.table), prefix, checkpoint)
     names = columns or _first_header(spark, landing)
     files = stream_csv(spark, landing, names, layout.archive, files_per_batch)
     with_file = job.total is not None and per_file
@@ -64,14 +78,12 @@ def ingest(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        name = f"{job.table}_{batch_id}"
+        name = f"{prefix}_{batch_id}"
         started_at = clock()
         status = "Failed"
         try:
             rows = cast_declared(batch, job.declared)
-            publish(
-                session, work, rows, layout, name, name, started_at, (FILE,), relational
-            )
+            publish(session, work, rows, layout, name, name, started_at, (FILE,), relational)
             status = "Success"
         finally:
             log_run(session, layout.run_log, name, job.script, started_at, clock(), status)

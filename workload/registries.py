@@ -318,8 +318,9 @@ ORACLE = {
         SELECT 3, 'Bowlers Table', 'bowlers', count(*), CAST(count(*) AS VARCHAR), 'OK'
         FROM part""",
     "load_registries": """
-        SELECT 'run_1' AS run_id, t || '_script' AS script_name, DATE '2025-04-18' AS execution_date,
-               CAST(90 AS DOUBLE) AS run_seconds, 'Success' AS status, t AS table_name,
+        SELECT 'run_1' AS run_id, t || '_script' AS script_name,
+               DATE '2025-04-18' AS execution_date, CAST(90 AS DOUBLE) AS run_seconds,
+               'Success' AS status, t AS table_name,
                t || '_20250418_093000' AS partition_name, DATE '2025-04-18' AS date,
                (SELECT count(*) FROM part) AS inserted_rows
         FROM (VALUES ('batsmen'), ('bowlers')) AS v(t)""",

@@ -149,7 +149,9 @@ def label_before_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = given(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        F.when(F.col("l_linestatus") == "O", F.concat(F.lit(" "), flag)).otherwise(flag).alias("flag"),
+        F.when(F.col("l_linestatus") == "O", F.concat(F.lit(" "), flag))
+        .otherwise(flag)
+        .alias("flag"),
     )
     return trim_strings(add_label("flag", match="R", label="returned", out="label")(lines))
 
