@@ -97,6 +97,15 @@ def test_inference_changes_which_decimals_survive(spark, landing, layout):
     assert rows(table.select("target_runs", "target_overs")) == [(3, None), (9, None)]
 
 
+def test_inferred_dates_have_no_season(spark, landing, layout):
+    header = "date,method,player_id,result_margin,target_runs,target_overs"
+    path = landing("a.csv", header, "2008-04-18,NA,1,1,1,1")
+    load(spark, MATCHES, path, layout, infer=True)
+    table = read_serving(spark, layout.table("matches"))
+    assert dict(table.dtypes)["date"] == "date"
+    assert rows(table.select("season")) == [("4-18",)]
+
+
 def test_deliveries_total_covers_this_load_only(spark, landing, layout):
     header = "match_id,inning,over,batter,total_runs"
     first = landing("d1.csv", header, "1,1,1, A ,1", "1,1,1,B,4", "1,1,2,B,6", "1,1,3,C,")

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from tidemark import schemas
-from tidemark.sources import existing_snapshots, header_of, read_runs, scan_csv
+from tidemark.sources import existing_snapshots, header_of, read_jdbc, read_runs, scan_csv
 
 ABC = schemas.table(a=schemas.INT, b=schemas.INT, c=schemas.INT)
 
@@ -71,6 +71,30 @@ def test_absent_registry_is_empty(spark, tmp_path):
     assert read_runs(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_relational_scan_takes_everything_as_options():
+    """No database is started here; only what is handed to Spark's reader is checked."""
+    calls = {}
+
+    class Reader:
+        def format(self, name):
+            calls["format"] = name
+            return self
+
+        def options(self, **options):
+            calls.update(options)
+            return self
+
+        def load(self):
+            return "rows"
+
+    class Session:
+        read = Reader()
+
+    options = {"user": "u", "numPartitions": "8", "partitionColumn": "match_id"}
+    assert read_jdbc(Session, "jdbc:x:y", "deliveries", options) == "rows"
+    assert calls == {"format": "jdbc", "url": "jdbc:x:y", "dbtable": "deliveries", **options}
+
+
 def test_snapshot_listing(spark, tmp_path):
     (tmp_path / "p" / "x_1").mkdir(parents=True)
     (tmp_path / "p" / "file").write_text("")
