@@ -7,7 +7,7 @@ import pytest
 
 from tidemark.__main__ import main
 from tidemark.plans.jobs import BATSMEN
-from tidemark.session import MB, sizing
+from tidemark.session import MB, TB, sizing
 from tidemark.sinks import Relational
 
 HEADER = ",".join(BATSMEN.declared.names)
@@ -58,8 +58,9 @@ def test_database_options_come_from_a_file(spark, landing, tmp_path, monkeypatch
 
 
 def test_sizing_follows_the_input():
-    small, large = sizing(10 * 1024 * MB, 16), sizing(100 * 1024 * 1024 * MB, 8000)
+    small, large = sizing(10 * 1024 * MB, 16), sizing(100 * TB, 8000)
     assert small["spark.sql.shuffle.partitions"] == "80"
     assert sizing(1, 16)["spark.sql.shuffle.partitions"] == "16"
-    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * MB
+    assert int(large["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * MB
+    assert int(sizing(5 * TB, 16)["spark.sql.files.maxPartitionBytes"]) == 512 * MB

@@ -200,6 +200,16 @@ def test_folder_keeps_the_files_that_came_too_late(spark, landing, layout, tmp_p
     assert sorted(p.name for p in archived) == ["a b.csv", "c.csv"]
 
 
+def test_files_of_one_name_are_refused_before_loading(spark, landing, layout, tmp_path):
+    for day in ("day=1", "day=2"):
+        (tmp_path / "files" / day).mkdir(parents=True)
+        text = "\n".join([BATSMEN_HEADER, BATSMEN_ROWS[0]])
+        (tmp_path / "files" / day / "b.csv").write_text(text)
+    with pytest.raises(FileExistsError):
+        load(spark, BATSMEN, str(tmp_path / "files"), layout)
+    assert not Path(layout.table("batsmen")).exists()
+
+
 @pytest.mark.parametrize("job", JOBS, ids=lambda job: job.table)
 def test_file_without_rows(spark, landing, layout, job):
     path = landing("x.csv", ",".join(job.declared.names))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import joins
 from tidemark.operators import (
     add_label,
     add_season,
@@ -78,3 +79,35 @@ def test_facts_are_aggregated_before_the_dimension_join(spark, lines):
     # The aggregation's shuffle is the join's: scan -> partial -> exchange -> final -> join.
     left = text[join : text.index("partial_count(v")]
     assert left.count("Exchange hashpartitioning(k") == 1
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+}
+
+
+def test_hot_key_of_a_shuffled_delete_is_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "LITERAL_NAMES", 1)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
+    facts = spark.range(0, 600_000, 1, 8).select(key.alias("k"), F.col("id").alias("v"))
+    facts.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    missing = spark.range(1000, 3000).select(F.col("id").alias("k"))
+    before = {name: spark.conf.get(name) for name in SKEW}
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    try:
+        kept = joins.delete_rows(facts, missing, "k")
+        count = kept.count()
+        counted = kept.groupBy().count()
+        counted.collect()
+        text = plan(counted)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in text, text
+    assert count == facts.where("k < 1000 or k >= 3000").count()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.projections import column
+
 # Up to this many names a filter on literals is used, which prunes partition folders.
 LITERAL_NAMES = 1_000
 
@@ -55,6 +57,5 @@ def delete_rows(facts: DataFrame, missing: DataFrame, key: str = "partition_name
         listed = [row[0] for row in names.take(count)]
         return facts.where(F.col(key).isNull() | ~F.col(key).isin(listed))
     small = size + count * ENTRY_BYTES <= BROADCAST_BYTES
-    return facts.join(F.broadcast(names) if small else names, key, "left_anti").select(
-        *facts.columns
-    )
+    kept = facts.join(F.broadcast(names) if small else names, key, "left_anti")
+    return kept.select(*[column(name) for name in facts.columns])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
+TB = 1024 * 1024 * MB
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,17 +19,18 @@ DEFAULTS = {
 
 
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
-    """Shuffle width and split size for an input of ``input_bytes`` on ``cores``.
+    """Split size and shuffle width for an input of ``input_bytes`` on ``cores``.
 
-    Splits grow from 128 MB to 512 MB so that a very large scan does not become millions
-    of tasks; a shuffle partition then holds about one advisory size of data. Adaptive
-    execution merges the partitions that turn out small.
+    A shuffle partition holds about 128 MB and adaptive execution merges those that turn
+    out small. For very large inputs tasks grow instead of their number: the blocks of a
+    shuffle are map tasks times partitions, and the driver keeps track of all of them. At
+    100 TB there are 100,000 scan tasks and 50,000 partitions of 2 GB, sorted by spilling.
     """
-    split = 128 * MB if input_bytes <= 10 * 1024**4 else 512 * MB
+    split = 128 * MB if input_bytes <= TB else 512 * MB if input_bytes <= 20 * TB else 1024 * MB
     width = max(cores, -(-input_bytes // (128 * MB)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(min(width, 200_000)),
+        "spark.sql.shuffle.partitions": str(min(width, MAX_SHUFFLE_PARTITIONS)),
     }
 
 

@@ -60,12 +60,15 @@ def _target(spark: SparkSession, path: str, folder: str) -> str:
 
 
 def check_absent(spark: SparkSession, paths: list[str], folder: str) -> None:
-    """Raise if ``folder`` already has something by the name of one of ``paths``."""
+    """Raise unless all ``paths`` can go below ``folder`` under names of their own."""
+    targets = {_target(spark, path, folder) for path in paths}
+    if len(targets) < len(paths):
+        raise FileExistsError(f"files of the same name can not all go to {folder}")
     if not exists(spark, folder):
         return
-    for path in paths:
-        if exists(spark, _target(spark, path, folder)):
-            raise FileExistsError(f"{_target(spark, path, folder)} is there already")
+    for target in targets:
+        if exists(spark, target):
+            raise FileExistsError(f"{target} is there already")
 
 
 def move_into(spark: SparkSession, paths: list[str], folder: str) -> None:
