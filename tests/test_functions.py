@@ -126,7 +126,7 @@ def test_capitalise(spark):
 
 
 def test_parse_int(spark, ansi):
-    assert apply(spark, "string", [" 668 ", "x", "", None], parse_int) == [668, None, None, None]
+    assert apply(spark, "string", [" 668 ", "7\n", "x", None], parse_int) == [668, 7, None, None]
 
 
 def test_run_names_agree(spark):

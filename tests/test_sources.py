@@ -64,6 +64,8 @@ def test_scan_reads_only_the_columns_asked_for(spark, landing):
     frame = scan_csv(spark, landing("x.csv", "a,b,c", "1,2,3"), ABC).select("b")
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<b:string>" in plan
+    assert rows(frame) == [(2,)]
+    assert frame.count() == 1
 
 
 def test_absent_registry_is_empty(spark, tmp_path):

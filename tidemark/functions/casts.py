@@ -1,9 +1,9 @@
 """Casts that give NULL instead of failing, with ANSI mode on or off.
 
 ``try_cast`` alone gives the right values, but every value it refuses costs a caught
-exception, about twenty times an accepted one. Where the source type is known, a cheap test
-that all accepted values pass goes first, so a column of mostly unusable values is as fast
-as a clean one.
+exception, more than ten times an accepted one. Where the source type is known, a cheap test
+that all accepted values pass goes first, so a column of mostly unusable values is about as
+fast as a clean one.
 """
 
 from __future__ import annotations

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,10 +38,7 @@ from tidemark.sources import (
     read_snapshots,
 )
 from tidemark.storage import folder_names, new_folder
-from workload.inputs import given, land
-
-RUN_START = datetime(2025, 4, 18, 9, 30, 0)
-RUN_END = RUN_START + timedelta(seconds=90)
+from workload.inputs import RUN_END, RUN_START, given, land
 
 
 def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

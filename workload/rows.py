@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -26,9 +24,8 @@ from tidemark.operators import (
     trim_strings,
     window_total,
 )
-from workload.inputs import given
+from workload.inputs import RUN_START, given
 
-RUN_START = datetime(2025, 4, 18, 9, 30, 0)
 DOUBLE = DoubleType()
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import replace as changed
-from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +17,7 @@ from tidemark.sinks import log_metric, write_serving, write_snapshot
 from tidemark.sources import read_metrics, read_serving, scan_csv
 from tidemark.storage import new_folder
 from tidemark.streaming import ingest
-from workload.inputs import given, land
-
-RUN_START = datetime(2025, 4, 18, 9, 30, 0)
-RUN_END = RUN_START + timedelta(seconds=90)
+from workload.inputs import RUN_END, RUN_START, given, land
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
