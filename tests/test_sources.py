@@ -41,6 +41,8 @@ def test_another_header_order_fails_instead_of_swapping(spark, landing, tmp_path
     landing("b.csv", "b,a", "2,1")
     with pytest.raises(Exception, match="(?i)header"):
         scan_csv(spark, str(tmp_path / "files")).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path / "files")).select("a").collect()
 
 
 def test_missing_declared_column_is_an_error(spark, landing):
