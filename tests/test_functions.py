@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -71,6 +72,26 @@ def test_guarded_text_cast_equals_try_cast(spark, ansi, target):
     assert apply(spark, "string", ODD_TEXTS, lambda c: safe_cast(c, TEXT, target)) == plain
 
 
+def test_guarded_casts_equal_try_cast_on_random_values(spark):
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("0123456789+- .eE\t\x00\x7f\u00a0", k=draw.randint(0, 12)))
+             for _ in range(20_000)]
+    numbers = [draw.choice([1, -1]) * 10 ** draw.uniform(-3, 14) for _ in range(20_000)]
+    numbers += [2**31 + d / 8 for d in range(-16, 17)] + [-(2**31) + d / 8 for d in range(-16, 17)]
+    numbers += [1e10 + d / 8 for d in range(-16, 17)] + [-1e10 + d / 8 for d in range(-16, 17)]
+    for kind, values, targets in (
+        ("string", texts, (IntegerType(), LongType())),
+        ("double", numbers, (IntegerType(), DecimalType(10, 0), DecimalType(12, 2))),
+    ):
+        frame = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+        source = frame.schema[0].dataType
+        for target in targets:
+            plain = F.col("v").try_cast(target)
+            same = safe_cast(F.col("v"), source, target).eqNullSafe(plain)
+            seen = frame.agg(F.count_if(~same), F.count(plain)).first()
+            assert seen[0] == 0 and seen[1] > 500
+
+
 ODD_NUMBERS = [
     0.0, -0.0, 0.5, -0.5, 2147483647.0, 2147483647.5, 2147483648.0, -2147483648.0,
     -2147483648.5, -2147483649.0, 9999999999.0, 9999999999.4, 9999999999.5, 1e10, -9999999999.4,

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from conftest import END, START, rows
+from pyspark.sql import functions as F
 
 from tidemark.plans.jobs import BATSMEN, BOWLERS, DELIVERIES, JOBS, MATCHES
 from tidemark.plans.load import run_load
@@ -124,6 +126,18 @@ def test_deliveries_total_covers_this_load_only(spark, landing, layout):
     assert not list(Path(shared_root(spark)).glob("tidemark/staging-*"))
 
 
+def test_hot_groups_of_a_load(spark, landing, layout):
+    """Half of the rows in one over, taken from the broadcast list; the others windowed."""
+    job = replace(DELIVERIES, total=replace(DELIVERIES.total, hot_rows=10))
+    lines = [f"1,1,1,A,{i % 7}" for i in range(200)] + [f"2,1,{i},B,{i % 7}" for i in range(200)]
+    path = landing("d.csv", "match_id,inning,over,batter,total_runs", *lines)
+    assert load(spark, job, path, layout) == 400
+    table = read_serving(spark, layout.table("deliveries"))
+    totals = table.groupBy("match_id").agg(F.sum("runs_per_over"), F.count("*"))
+    runs = sum(i % 7 for i in range(200))
+    assert rows(totals) == [(1, 200 * runs, 200), (2, runs, 200)]
+
+
 def test_every_sink_gets_the_run(spark, landing, layout):
     path = landing("batsmen.csv", BATSMEN_HEADER, *BATSMEN_ROWS)
     load(spark, BATSMEN, path, layout, run_id="run_1")

@@ -26,6 +26,9 @@ from tidemark.operators.projections import column
 # a broadcast list of them never has more entries, whatever the size of the input.
 HOT_GROUPS = 10_000
 
+# Groups up to this size are never hot: one window task takes them easily.
+HOT_ROWS = 100_000
+
 # Longer text keys are not listed, but stay in the window; so the list is bounded in bytes too.
 KEY_BYTES = 1_024
 
@@ -92,7 +95,7 @@ def hot_totals(df: DataFrame, keys: Sequence[str], measure: str, hot_rows: int)
 
 
 def window_total(
-    df: DataFrame, keys: Sequence[str], measure: str, out: str, hot_rows: int = 100_000
+    df: DataFrame, keys: Sequence[str], measure: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``out``: the sum of ``measure`` over all rows with equal ``keys``.
 

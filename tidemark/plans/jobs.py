@@ -17,7 +17,7 @@ from tidemark.operators.projections import (
     to_numeric,
     trim_strings,
 )
-from tidemark.operators.windows import window_total
+from tidemark.operators.windows import HOT_ROWS, window_total
 from tidemark.storage import stored
 
 
@@ -28,6 +28,7 @@ class GroupTotal:
     keys: tuple[str, ...]
     measure: str
     out: str
+    hot_rows: int = HOT_ROWS
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,8 @@ class Job:
         cleaned = self.clean(df)
         if self.total is None:
             return cleaned
-        rows = stored(cleaned, staging)
-        return window_total(rows, self.total.keys, self.total.measure, self.total.out)
+        rows, total = stored(cleaned, staging), self.total
+        return window_total(rows, total.keys, total.measure, total.out, total.hot_rows)
 
 
 # Batsmen and bowlers cast before they trim; matches compares the method before it trims
