@@ -174,7 +174,7 @@ def test_paths_and_dates(spark):
     )
 
 
-@pytest.mark.parametrize("name", ["", "../x", "a/b", "a b", "a=b", ".hidden", "x\n"])
+@pytest.mark.parametrize("name", ["", "../x", "a/b", "a b", "a=b", ".hidden", "_hidden", "x\n"])
 def test_unsafe_names_are_refused(name):
     with pytest.raises(ValueError):
         check_name(name)

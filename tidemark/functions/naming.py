@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FOLDER_SAFE = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_.-]*")
+_FOLDER_SAFE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
 
 def check_name(name: str) -> str:

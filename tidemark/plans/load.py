@@ -13,7 +13,7 @@ from tidemark.plans.layout import Layout
 from tidemark.sinks import (
     Relational,
     append_jdbc,
-    drop_partition,
+    forget_snapshot,
     log_metric,
     log_run,
     log_snapshot,
@@ -53,7 +53,7 @@ def publish(
     """
     staging = new_folder(spark, "staging")
     try:
-        drop_partition(spark, layout.snapshot_log, partition_name)
+        forget_snapshot(spark, layout.snapshot_log, partition_name)
         result = job.result(rows, staging).drop(*drop)
         count = write_serving(result, layout.table(job.table), partition_name)
         written = read_partition(spark, layout.table(job.table), partition_name, result.schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators import missing_from
 from tidemark.plans.jobs import JOBS
 from tidemark.plans.layout import Layout
-from tidemark.sinks import drop_partition
+from tidemark.sinks import drop_partition, forget_snapshot
 from tidemark.sources import existing_snapshots, read_snapshots
 
 
@@ -36,10 +36,9 @@ def reconcile(
     go after the data.
     """
     names = [row[0] for row in missing_snapshots(spark, layout).toLocalIterator()]
-    targets = [layout.table(table) for table in tables]
-    if prune_log:
-        targets.append(layout.snapshot_log)
     for name in names:
-        for path in targets:
-            drop_partition(spark, path, name)
+        for table in tables:
+            drop_partition(spark, layout.table(table), name)
+        if prune_log:
+            forget_snapshot(spark, layout.snapshot_log, name)
     return spark.createDataFrame([(name,) for name in names], "partition_name string")

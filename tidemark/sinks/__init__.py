@@ -1,6 +1,6 @@
 """Sinks: serving table, snapshot, registries, relational append, archive."""
 
-from tidemark.sinks.registries import log_metric, log_run, log_snapshot
+from tidemark.sinks.registries import forget_snapshot, log_metric, log_run, log_snapshot
 from tidemark.sinks.tables import (
     Relational,
     append_jdbc,
@@ -14,6 +14,7 @@ __all__ = [
     "Relational",
     "append_jdbc",
     "drop_partition",
+    "forget_snapshot",
     "log_metric",
     "log_run",
     "log_snapshot",

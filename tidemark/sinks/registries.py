@@ -1,7 +1,9 @@
 """Registries of snapshots, runs and inserted rows.
 
-Every writer has a folder of its own, so loads that end at the same time do not share an
-output folder, and a rerun replaces its own rows only.
+Every writer has a file or folder of its own, so loads that end at the same time do not
+meet, and a rerun replaces its own rows only. The snapshot registry is one flat folder of
+files, because reconcile reads all of it; the others have a folder per run, because the
+report reads a single run.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import check_name, run_date, run_duration, snapshot_path
+from tidemark.storage import remove_folder, write_as_file
 
 
 def _moment(moment: datetime):
@@ -62,8 +65,16 @@ def log_snapshot(
         partition_name=F.lit(partition_name),
         started_at=_moment(moment),
     )
-    entry = snapshot_entries(run, root).drop("partition_name")
-    entry.write.mode("overwrite").parquet(f"{path}/partition_name={check_name(partition_name)}")
+    write_as_file(snapshot_entries(run, root), snapshot_entry_file(path, partition_name))
+
+
+def snapshot_entry_file(path: str, partition_name: str) -> str:
+    return f"{path}/{check_name(partition_name)}.parquet"
+
+
+def forget_snapshot(spark: SparkSession, path: str, partition_name: str) -> bool:
+    """Take a run off the snapshot registry; False if it is not on it."""
+    return remove_folder(spark, snapshot_entry_file(path, partition_name))
 
 
 def log_run(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,18 +22,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 
 
-def folder_names(spark: SparkSession, root: str) -> list[str]:
-    """Names of the folders directly below ``root``, from one listing.
+def folder_names(spark: SparkSession, root: str) -> Iterator[str]:
+    """Names of the folders directly below ``root``, from one listing, page by page.
 
     A listing that fails raises: it must never look like an empty folder.
     """
     listing = _file_system(spark, root).listStatusIterator(_path(spark, root))
-    names = []
     while listing.hasNext():
         entry = listing.next()
         if entry.isDirectory():
-            names.append(entry.getPath().getName())
-    return names
+            yield entry.getPath().getName()
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -40,8 +39,25 @@ def make_folder(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not create {path}")
 
 
+def write_as_file(df: DataFrame, target: str) -> None:
+    """Write a one-row frame as the single Parquet file ``target``, replacing an older one.
+
+    It is written to a hidden folder beside and moved, so writers to one folder do not meet
+    and a reader sees the whole file or none.
+    """
+    spark, (folder, _, name) = df.sparkSession, target.rpartition("/")
+    beside = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(beside)
+    files = _file_system(spark, beside)
+    (part,) = files.globStatus(_path(spark, f"{beside}/part-*.parquet"))
+    remove_folder(spark, target)
+    if not files.rename(part.getPath(), _path(spark, target)):
+        raise OSError(f"could not write {target}")
+    remove_folder(spark, beside)
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
-    """Delete a folder with its content; False if there was none."""
+    """Delete a folder with its content, or a file; False if there was none."""
     files = _file_system(spark, path)
     if not files.exists(_path(spark, path)):
         return False

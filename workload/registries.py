@@ -189,7 +189,7 @@ def _yearly_runs(spark: SparkSession, sf_dir: str, root: str) -> Layout:
     orders = given(spark, sf_dir, "orders")
     table = layout.table("orders")
     write_runs(orders.withColumn("partition_name", name), table)
-    for folder in folder_names(spark, table):
+    for folder in sorted(folder_names(spark, table)):
         run = folder.removeprefix("partition_name=")
         if run >= "orders_1998":
             rows = read_partition(spark, table, run, orders.schema)
