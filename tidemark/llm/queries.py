@@ -252,7 +252,7 @@ WITH docs AS (
   FROM documents
 ), cut AS (
   SELECT row, doc_id, i, s[i] AS raw, list_filter(
-      string_split_regex({_LOWER.format("s[i]")}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+      string_split_regex({_LOWER.format("s[i]")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM (SELECT *, regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+') AS s FROM docs),
     unnest(range(1, len(s) + 1)) AS t(i)
 ), summed AS (
