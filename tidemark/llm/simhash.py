@@ -10,7 +10,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 from tidemark.llm.common import kept, popcount, texts, utf8
 
@@ -20,17 +20,18 @@ HALF = 32
 # Depth down to which fingerprints are counted to cut the trie into subtrees for tasks.
 TOP = 16
 # A subtree of fewer fingerprints is not cut further.
-SUBTREE = 16_384
+SUBTREE = 32_768
 # Pairs of nodes held at once, and pairs of fingerprints at which a pair of nodes is resolved.
 FRONTIER = 1 << 18
 RESOLVED = 64
 
 LINKS = StructType([StructField("_a", LongType()), StructField("_b", LongType())])
+PLACED = StructType([StructField("_subtree", LongType()), StructField("_print", LongType())])
 ROUTED = StructType(
     [
         StructField("_pair", LongType()),
-        StructField("_side", LongType()),
-        StructField("_print", LongType()),
+        StructField("_second", BooleanType()),
+        StructField("_block", BinaryType()),
     ]
 )
 
@@ -239,9 +240,10 @@ def near_links(prints: DataFrame, budget: int, subtree: int = SUBTREE) -> DataFr
     Two joins: with up to ``budget`` // 2 differing bits in the upper half; and, halves
     swapped, with fewer than the rest there. One of the two holds for every near pair. For
     each, the trie is cut into subtrees of about ``subtree`` fingerprints by the counts of its
-    prefixes, at most 2**16 numbers; pairs of subtrees that are near enough go to tasks,
-    which descend further. A subtree reaches as many tasks as it has near partners, so tasks
-    hold two subtrees and no group of documents.
+    prefixes, at most 2**16 numbers. A subtree is gathered once, as one sorted block of 8
+    bytes a fingerprint; a copy of the block goes to every pair of subtrees that is near
+    enough, where a task descends further. So tasks hold two subtrees, never a group of
+    documents.
     """
     spark = prints.sparkSession
     joins = [(0, budget // 2), (HALF, budget - budget // 2 - 1)]
@@ -260,11 +262,9 @@ def near_links(prints: DataFrame, budget: int, subtree: int = SUBTREE) -> DataFr
         cut = _subtrees(counts, subtree)
         pairs = _subtree_pairs(cut, first)
         routes = spark.sparkContext.broadcast(_routes(cut, pairs))
-        found = (
-            rows.mapInPandas(_route(routes), ROUTED)
-            .groupBy("_pair")
-            .applyInPandas(_join(first, budget), LINKS)
-        )
+        blocks = rows.mapInPandas(_place(routes), PLACED)
+        blocks = blocks.groupBy("_subtree").applyInPandas(_gather(routes), ROUTED)
+        found = blocks.groupBy("_pair").applyInPandas(_join(first, budget), LINKS)
         if turned:
             found = found.select(
                 *[
@@ -291,32 +291,33 @@ def _routes(cut, pairs) -> tuple[np.ndarray, list[np.ndarray]]:
     return node, [np.array(numbers, dtype=np.int64) for numbers in own]
 
 
-def _route(routes: Broadcast):
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        node, own = routes.value
+def _place(routes: Broadcast):
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        node, _ = routes.value
         for batch in batches:
-            values = batch["_print"].to_numpy()
-            nodes = node[values.view(np.uint64) >> np.uint64(BITS - TOP)]
-            for k in np.unique(nodes):
-                there = values[nodes == k]
-                numbers = np.repeat(own[k], len(there))
-                yield pd.DataFrame(
-                    {
-                        "_pair": numbers >> 1,
-                        "_side": numbers & 1,
-                        "_print": np.tile(there, len(own[k])),
-                    }
-                )
-
-    return route
+            prefix = batch["_print"].to_numpy().view(np.uint64) >> np.uint64(BITS - TOP)
+            yield pd.DataFrame({"_subtree": node[prefix], "_print": batch["_print"]})
+
+    return place
+
+
+def _gather(routes: Broadcast):
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        _, own = routes.value
+        numbers = own[group["_subtree"].iloc[0]]
+        block = np.unique(group["_print"].to_numpy().view(np.uint64)).tobytes()
+        return pd.DataFrame(
+            {"_pair": numbers >> 1, "_second": numbers % 2 == 1, "_block": [block] * len(numbers)}
+        )
+
+    return gather
 
 
 def _join(first: int, budget: int):
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        values = group["_print"].to_numpy().view(np.uint64)
-        second = group["_side"].to_numpy() == 1
-        left, right = np.unique(values[~second]), np.unique(values[second])
-        links = linked(left, right if len(right) else None, first, budget).astype(np.uint64)
+        blocks = [np.frombuffer(b, np.uint64) for b in group.sort_values("_second")["_block"]]
+        right = blocks[1] if len(blocks) > 1 else None
+        links = linked(blocks[0], right, first, budget).astype(np.uint64)
         return pd.DataFrame({"_a": links[:, 0].view(np.int64), "_b": links[:, 1].view(np.int64)})
 
     return join
