@@ -84,14 +84,13 @@ def test_facts_are_aggregated_before_the_dimension_join(spark, lines):
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.shuffle.partitions": "64",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
 }
 
 
-def test_hot_key_of_a_shuffled_delete_is_split(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(joins, "LITERAL_NAMES", 1)
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+def test_hot_key_of_a_shuffled_delete_is_split(spark, tmp_path):
     key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
     facts = spark.range(0, 600_000, 1, 8).select(key.alias("k"), F.col("id").alias("v"))
     facts.write.parquet(str(tmp_path / "facts"))

@@ -9,16 +9,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import window_total
-from tidemark.operators.windows import hot_totals
 
 SCHEMA = "match_id int, inning int, over int, total_runs int"
 KEYS = ["match_id", "inning", "over"]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 100_000])
-def test_nulls(spark, hot_rows):
+def test_nulls(spark):
     data = [(1, 1, 1, 1), (1, 1, 1, None), (1, 1, 2, None), (None, 1, 1, 4), (None, 1, 1, 6)]
-    totals = window_total(spark.createDataFrame(data, SCHEMA), KEYS, "total_runs", "t", hot_rows)
+    totals = window_total(spark.createDataFrame(data, SCHEMA), KEYS, "total_runs", "t")
     assert totals.schema["t"].dataType.simpleString() == "bigint"
     assert totals.columns == [*KEYS, "total_runs", "t"]
     assert rows(totals) == sorted(
@@ -36,15 +34,15 @@ values = st.tuples(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(data=st.lists(values, min_size=1, max_size=40), hot_rows=st.sampled_from([0, 2, 1000]))
-def test_equals_brute_force(spark, data, hot_rows):
+@given(data=st.lists(values, min_size=1, max_size=40))
+def test_equals_brute_force(spark, data):
     sums = defaultdict(list)
     for a, b, v in data:
         sums[a, b] += [] if v is None else [v]
     expected = [(a, b, v, sum(sums[a, b]) if sums[a, b] else None) for a, b, v in data]
     frame = spark.createDataFrame(data, "a int, b string, v int")
     order = lambda r: [(x is None, str(x)) for x in r]
-    assert rows(window_total(frame, ["a", "b"], "v", "t", hot_rows)) == sorted(expected, key=order)
+    assert rows(window_total(frame, ["a", "b"], "v", "t")) == sorted(expected, key=order)
 
 
 def test_total_spread_over_its_group_gives_the_sum(spark):
@@ -75,48 +73,59 @@ def final_plan(df):
     return text.split("\n+- == Initial Plan ==")[0]
 
 
-def test_hot_key_avoids_the_window(spark, tmp_path):
-    skewed(spark).write.parquet(str(tmp_path / "t"))
-    frame = spark.read.parquet(str(tmp_path / "t"))
-    assert hot_totals(frame, ["k"], "v", 1000).select("_key0").collect()[0][0] == -1
-    assert hot_totals(frame, ["k"], "v", 1000).count() == 1
-    plain = frame.withColumn("t", F.sum("v").over(_by("k")))
-    assert rows(window_total(frame, ["k"], "v", "t", hot_rows=1000)) == rows(plain)
-    plan = final_plan(window_total(frame, ["k"], "v", "t", hot_rows=1000))
-    assert "Window" in plan and "Inner, BuildRight" in plan and "ReusedExchange" in plan
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
 
 
-def test_without_hot_key_only_the_window_is_left(spark, tmp_path):
-    skewed(spark).write.parquet(str(tmp_path / "t"))
-    plan = final_plan(window_total(spark.read.parquet(str(tmp_path / "t")), ["k"], "v", "t"))
-    assert "Window" in plan and "Join" not in plan and "Union" not in plan
-
-
-def test_few_groups_need_no_shuffle_of_rows(spark, tmp_path):
-    frame = skewed(spark).withColumn("k", F.col("v") % 3)
-    frame.write.parquet(str(tmp_path / "t"))
+@pytest.mark.parametrize("width", [0, 2000], ids=["number", "long text"])
+def test_a_hot_key_is_split(spark, tmp_path, width):
+    frame = skewed(spark)
+    if width:
+        frame = frame.withColumn("k", F.lpad(F.col("k").cast("string"), width, "x"))
+    frame.repartition(16).write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
-    plan = final_plan(window_total(stored, ["k"], "v", "t", hot_rows=0))
-    assert "Window" not in plan
+    before = {name: spark.conf.get(name, None) for name in SKEW}
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    try:
+        totals = window_total(stored, ["k"], "v", "t")
+        plan = final_plan(totals)
+        assert "SortMergeJoin(skew=true)" in plan and "Window" not in plan, plan
+        assert plan.count("Scan parquet") <= 2
+        plain = stored.groupBy("k").agg(F.sum("v").alias("t"))
+        assert totals.select("k", "t").distinct().exceptAll(plain).count() == 0
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_replaces_a_column_in_another_case(spark):
+    frame = spark.createDataFrame([(1, 7, 2), (1, 7, 3)], "k int, TOTAL long, v int")
+    assert window_total(frame, ["k"], "v", "total").columns == ["k", "total", "v"]
+    assert rows(window_total(frame, ["k"], "v", "total")) == [(1, 5, 2), (1, 5, 3)]
 
 
 def test_keys_equal_but_not_in_bytes(spark):
     zeros = [(-0.0, 1), (0.0, 2), (float("nan"), 4), (float("nan"), 8), (None, 16)]
     frame = spark.createDataFrame(zeros, "k double, v int")
-    totals = window_total(frame, ["k"], "v", "t", hot_rows=1).select("v", "t")
+    totals = window_total(frame, ["k"], "v", "t").select("v", "t")
     assert rows(totals) == [(1, 3), (16, 16), (2, 3), (4, 12), (8, 12)]
     names = spark.createDataFrame([("a", 1), ("A", 2), ("b", 4)], "k string, v int")
     folded = names.withColumn("k", F.collate("k", "UTF8_LCASE"))
-    assert rows(window_total(folded, ["k"], "v", "t", hot_rows=1).select("v", "t")) == [
+    assert rows(window_total(folded, ["k"], "v", "t").select("v", "t")) == [
         (1, 3), (2, 3), (4, 4),
     ]
 
 
-def test_long_keys_stay_in_the_window(spark):
+def test_long_keys(spark):
     data = [("x" * 2000, 1), ("x" * 2000, 2), ("y", 4), ("y", 8), (None, 16), (None, 32)]
     frame = spark.createDataFrame(data, "k string, v int")
-    assert rows(hot_totals(frame, ["k"], "v", 1).select("_key0")) == [("y",), (None,)]
-    assert rows(window_total(frame, ["k"], "v", "t", hot_rows=1).select("v", "t")) == [
+    assert rows(window_total(frame, ["k"], "v", "t").select("v", "t")) == [
         (1, 3), (16, 48), (2, 3), (32, 48), (4, 12), (8, 12),
     ]
 

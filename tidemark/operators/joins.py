@@ -7,13 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.projections import column
 
-# Up to this many names a filter on literals is used, which prunes partition folders.
-LITERAL_NAMES = 1_000
-
-# Up to this size, with so much for each entry besides its text, a list is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-ENTRY_BYTES = 32
-
 
 def missing_from(registered: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Keys of ``registered`` that ``existing`` does not have, each once."""
@@ -43,19 +36,10 @@ def lookup(
 def delete_rows(facts: DataFrame, missing: DataFrame, key: str = "partition_name") -> DataFrame:
     """``facts`` without the rows whose key is in ``missing``; a NULL key stays.
 
-    A short list becomes a filter on literals, so a table partitioned by ``key`` does not
-    read the folders to be deleted. A longer one is broadcast if its measured size allows,
-    and ``facts`` is not shuffled. Beyond that both sides are shuffled, and an oversized key
-    of ``facts`` is left to the adaptive skew join.
+    One plan at every size: an anti join on the distinct names, without a hint. Adaptive
+    execution broadcasts a short list and splits an oversized key of ``facts``. To drop whole
+    runs of a partitioned table use `drop_partition`, which reads nothing.
     """
     names = missing.select(key).where(F.col(key).isNotNull()).distinct()
-    width = F.octet_length(F.col(key).cast("string"))
-    count, size = names.agg(F.count(key), F.coalesce(F.sum(width), F.lit(0))).first()
-    if count == 0:
-        return facts
-    if count <= LITERAL_NAMES:
-        listed = [row[0] for row in names.take(count)]
-        return facts.where(F.col(key).isNull() | ~F.col(key).isin(listed))
-    small = size + count * ENTRY_BYTES <= BROADCAST_BYTES
-    kept = facts.join(F.broadcast(names) if small else names, key, "left_anti")
+    kept = facts.join(names, key, "left_anti")
     return kept.select(*[column(name) for name in facts.columns])

@@ -6,115 +6,45 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType,
-    BooleanType,
-    DateType,
-    DecimalType,
-    IntegralType,
-    StringType,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import StringType
 
 from tidemark.operators.projections import column
 
-# At most this many groups, or buckets, can each hold more than 1/HOT_GROUPS of the rows, so
-# a broadcast list of them never has more entries, whatever the size of the input.
-HOT_GROUPS = 10_000
-
-# Groups up to this size are never hot: one window task takes them easily.
-HOT_ROWS = 100_000
-
-# Longer text keys are not listed, but stay in the window; so the list is bounded in bytes too.
-KEY_BYTES = 1_024
-
-# Rows are first counted in this many buckets of key hashes. There are several times as many
-# as hot groups, so that a bucket without a hot group stays below the limit.
-BUCKETS = 65_536
-
-# Key types whose equal values always have equal hashes, besides plain strings.
-HASHED = (IntegralType, DecimalType, BooleanType, DateType, TimestampType, TimestampNTZType)
-
 
 def _fact(name: str) -> Column:
     return F.col(f"facts.`{name}`")
 
 
-def _same_group(keys: Sequence[str]) -> Column:
-    pairs = (_fact(key).eqNullSafe(F.col(f"hot._key{i}")) for i, key in enumerate(keys))
-    return reduce(and_, pairs)
-
-
-def _limit(df: DataFrame, rows: Column, hot_rows: int) -> Column:
-    all_rows = df.agg(F.count(F.lit(1))).scalar()
-    return (rows > hot_rows) & (rows * HOT_GROUPS > all_rows)
-
-
-def _crowded_only(narrow: DataFrame, keys: StructType, hot_rows: int) -> DataFrame:
-    """The rows whose bucket of key hashes is large enough to hold a hot group.
-
-    Counting buckets is cheap: a task passes on at most BUCKETS rows. Where no bucket is
-    crowded, which adaptive execution sees, nothing is left to be aggregated by key.
-    """
-    kinds = [field.dataType for field in keys.fields]
-    if not all(isinstance(kind, HASHED) or kind == StringType() for kind in kinds):
-        return narrow
-    bucket = F.pmod(F.xxhash64(*keys.names), F.lit(BUCKETS))
-    bucketed = narrow.withColumn("_bucket", bucket)
-    rows = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    crowded = rows.where(_limit(narrow, F.col("_rows"), hot_rows)).select("_bucket")
-    return bucketed.join(F.broadcast(crowded), "_bucket", "left_semi")
-
+def window_total(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``measure`` over all rows with equal ``keys``.
 
-def hot_totals(df: DataFrame, keys: Sequence[str], measure: str, hot_rows: int) -> DataFrame:
-    """Totals of the groups too large for one window task: ``_key0.., _total, _rows``.
+    NULL keys form one group, NULL measures are skipped, an all-NULL group gives NULL. An
+    existing column ``out``, in any case, is replaced in its place.
 
-    A group is hot when it has more than ``hot_rows`` rows *and* more than 1/HOT_GROUPS of
-    all rows. The sums are combined map-side before their shuffle.
+    The sums are combined map-side, so a group enters the shuffle as one row for each task,
+    and are joined back to the rows. No hint and no threshold: adaptive execution broadcasts
+    few sums and splits a partition of rows that one key fills. For the split both sides of
+    the join have to be shuffled for it, so the hash of the keys is a join key of its own: it
+    adds nothing to their equality, but the sums' partitioning by the keys alone then does not
+    do. ``df`` is scanned twice, its keys and measure and all of it; hand over a stored table.
     """
-    key_columns = df.select(*[column(key).alias(f"_key{i}") for i, key in enumerate(keys)]).schema
+    names = [f"_key{i}" for i in range(len(keys))]
     narrow = df.select(
-        *[column(key).alias(name) for key, name in zip(keys, key_columns.names)],
+        *[column(key).alias(name) for key, name in zip(keys, names)],
         column(measure).alias("_measure"),
     )
-    short = [
-        F.coalesce(F.octet_length(field.name), F.lit(0)) <= KEY_BYTES
-        for field in key_columns.fields
-        if isinstance(field.dataType, (StringType, BinaryType))
-    ]
-    return (
-        _crowded_only(narrow, key_columns, hot_rows)
-        .groupBy(*key_columns.names)
-        .agg(F.sum("_measure").alias("_total"), F.count(F.lit(1)).alias("_rows"))
-        .where(reduce(and_, short, _limit(narrow, F.col("_rows"), hot_rows)))
-    )
-
-
-def window_total(
-    df: DataFrame, keys: Sequence[str], measure: str, out: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add ``out``: the sum of ``measure`` over all rows with equal ``keys``.
-
-    NULL keys form one group, NULL measures are skipped, an all-NULL group gives NULL.
-    Rows of hot groups take their total from a broadcast list and are not shuffled; all
-    other groups are small and go through one window. ``df`` is scanned more than once
-    (its keys, then all of it; both again where there are hot groups), so hand over a stored
-    table, not a long lineage.
-    """
-    kept = [_fact(name) for name in df.columns if name != out]
-    hot = F.broadcast(hot_totals(df, keys, measure, hot_rows)).alias("hot")
-    matched = df.alias("facts").join(hot, _same_group(keys), "left")
-
-    # Both branches name both columns of the list, so Spark aggregates it only once.
-    total, rows = F.col("hot._total"), F.col("hot._rows")
-    listed = matched.where(rows.isNotNull()).select(*kept, total.alias(out))
-    group = Window.partitionBy(*[_fact(key) for key in keys])
-    unlisted = matched.where(rows.isNull() & total.isNull()).select(
-        *kept, F.sum(_fact(measure)).over(group).alias(out)
-    )
-    order = df.columns if out in df.columns else [*df.columns, out]
-    return unlisted.unionByName(listed).select(*[column(name) for name in order])
+    kinds = [narrow.schema[name].dataType for name in names]
+    # Texts that are equal under their collation may differ in bytes, and so in their hash.
+    hashed = [i for i, k in enumerate(kinds) if not isinstance(k, StringType) or k == StringType()]
+    sums = narrow.groupBy(*names).agg(F.sum("_measure").alias("_total"))
+    same = [_fact(key).eqNullSafe(F.col(f"sums.{name}")) for key, name in zip(keys, names)]
+    if hashed:
+        sums = sums.withColumn("_hash", F.xxhash64(*[names[i] for i in hashed]))
+        same.append(F.xxhash64(*[_fact(keys[i]) for i in hashed]) == F.col("sums._hash"))
+    joined = df.alias("facts").join(sums.alias("sums"), reduce(and_, same), "left")
+    total = F.col("sums._total").alias(out)
+    replaced = [name for name in df.columns if name.lower() == out.lower()]
+    columns = [total if name in replaced else _fact(name) for name in df.columns]
+    return joined.select(*columns, *([] if replaced else [total]))

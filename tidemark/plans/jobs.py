@@ -17,7 +17,7 @@ from tidemark.operators.projections import (
     to_numeric,
     trim_strings,
 )
-from tidemark.operators.windows import HOT_ROWS, window_total
+from tidemark.operators.windows import window_total
 from tidemark.storage import stored
 
 
@@ -28,7 +28,6 @@ class GroupTotal:
     keys: tuple[str, ...]
     measure: str
     out: str
-    hot_rows: int = HOT_ROWS
 
 
 @dataclass(frozen=True)
@@ -49,12 +48,12 @@ class Job:
 
     def result(self, df: DataFrame, staging: str) -> DataFrame:
         """Cleaned rows with their total. With a total they are stored in ``staging``
-        first, since `window_total` passes over them more than once."""
+        first, since `window_total` passes over them twice."""
         cleaned = self.clean(df)
         if self.total is None:
             return cleaned
         rows, total = stored(cleaned, staging), self.total
-        return window_total(rows, total.keys, total.measure, total.out, total.hot_rows)
+        return window_total(rows, total.keys, total.measure, total.out)
 
 
 # Batsmen and bowlers cast before they trim; matches compares the method before it trims

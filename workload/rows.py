@@ -52,7 +52,7 @@ def window_total_few_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = given(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").cast("int").alias("qty")
     )
-    return window_total(lines, ["l_returnflag"], "qty", "flag_qty", hot_rows=0)
+    return window_total(lines, ["l_returnflag"], "qty", "flag_qty")
 
 
 def window_total_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
