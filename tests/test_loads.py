@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
@@ -8,8 +7,9 @@ from pathlib import Path
 import pytest
 from conftest import END, START, rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.plans.jobs import BATSMEN, BOWLERS, DELIVERIES, JOBS, MATCHES
+from tidemark.plans.jobs import BATSMEN, BOWLERS, DELIVERIES, JOBS, MATCHES, Job
 from tidemark.plans.load import run_load
 from tidemark.sinks import Relational
 from tidemark.sources import read_metrics, read_runs, read_serving, read_snapshots
@@ -17,15 +17,15 @@ from tidemark.storage import shared_root
 
 BATSMEN_HEADER = ",".join(BATSMEN.declared.names)
 BATSMEN_ROWS = (
-    "Aakash Chopra,53,7,6,0,9.7,71,69.33,0,0,7,0",
-    "Akash Madhwal,4,5,1,1,NULL,5,80,0,0,0,0",
-    "Ruturaj ,368,14,14,0,26.29,291,126.46,0,3,33,14",
+    "Adam Example,53,7,6,0,9.7,71,69.33,0,0,7,0",
+    "Ben Example,4,5,1,1,NULL,5,80,0,0,0,0",
+    "Spaced ,368,14,14,0,26.29,291,126.46,0,3,33,14",
     "Whole Number,50,5,5,0,10,40,125,0,0,5,1",
 )
 BOWLERS_HEADER = ",".join(BOWLERS.declared.names)
 BOWLERS_ROWS = (
-    "Aaron Finch ,1,14,3,4,49,49,12.25,24,0,0",
-    "Akash Deep ,7,8,8,26.8,319,51.67,12.8,24.53,0,0",
+    "Cara Example ,1,14,3,4,49,49,12.25,24,0,0",
+    "Dan Example ,7,8,8,26.8,319,51.67,12.8,24.53,0,0",
     "Tie ,1,1,1,2.5,1,3.5,0.5,x,0,0",
 )
 
@@ -48,9 +48,9 @@ def test_batsmen(spark, landing, layout, infer):
     assert table.columns == [*BATSMEN.declared.names, "partition_name"]
     assert dict(table.dtypes)["average"] == "int"
     assert rows(table.select("player_name", "average", "strike_rate", "partition_name")) == [
-        ("Aakash Chopra", None, 69.33, "batsmen_20250418_093000"),
-        ("Akash Madhwal", None, 80.0, "batsmen_20250418_093000"),
-        ("Ruturaj", None, 126.46, "batsmen_20250418_093000"),
+        ("Adam Example", None, 69.33, "batsmen_20250418_093000"),
+        ("Ben Example", None, 80.0, "batsmen_20250418_093000"),
+        ("Spaced", None, 126.46, "batsmen_20250418_093000"),
         ("Whole Number", 10, 125.0, "batsmen_20250418_093000"),
     ]
 
@@ -64,8 +64,8 @@ def test_bowlers(spark, landing, layout, infer):
     rounded = ["total_overs", "bowling_avg", "economy_rate", "strike_rate"]
     assert {kinds[name] for name in rounded} == {"decimal(10,0)"}
     assert rows(table.select("player_name", *rounded)) == [
-        ("Aaron Finch", *map(Decimal, (4, 49, 12, 24))),
-        ("Akash Deep", *map(Decimal, (27, 52, 13, 25))),
+        ("Cara Example", *map(Decimal, (4, 49, 12, 24))),
+        ("Dan Example", *map(Decimal, (27, 52, 13, 25))),
         ("Tie", *map(Decimal, (3, 4, 1)), None),
     ]
 
@@ -128,7 +128,7 @@ def test_deliveries_total_covers_this_load_only(spark, landing, layout):
 
 def test_hot_groups_of_a_load(spark, landing, layout):
     """Half of the rows in one over, taken from the broadcast list; the others windowed."""
-    job = replace(DELIVERIES, total=replace(DELIVERIES.total, hot_rows=10))
+    job = DELIVERIES
     lines = [f"1,1,1,A,{i % 7}" for i in range(200)] + [f"2,1,{i},B,{i % 7}" for i in range(200)]
     path = landing("d.csv", "match_id,inning,over,batter,total_runs", *lines)
     assert load(spark, job, path, layout) == 400
@@ -159,7 +159,7 @@ def test_every_sink_gets_the_run(spark, landing, layout):
 def test_rerun_replaces_its_rows_everywhere(spark, landing, layout):
     for lines in (BATSMEN_ROWS, BATSMEN_ROWS[:1]):
         path = landing(f"b{len(lines)}.csv", BATSMEN_HEADER, *lines)
-        load(spark, BATSMEN, path, layout, run_id="run_1")
+        load(spark, BATSMEN, path, layout, run_id="run_1", replace=True)
     assert read_serving(spark, layout.table("batsmen")).count() == 1
     assert spark.read.csv(f"{layout.snapshots}/batsmen_20250418_093000").count() == 1
     assert read_snapshots(spark, layout.snapshot_log).count() == 1
@@ -244,3 +244,40 @@ def test_database_gets_the_written_rows_before_the_registry(spark, landing, layo
     assert appended == {
         "batsmen": ([("Whole Number", "batsmen_20250418_093000")], target), "registered": 0,
     }
+
+
+def test_a_second_file_of_a_finished_run_is_refused(spark, landing, layout):
+    load(spark, BATSMEN, landing("a.csv", BATSMEN_HEADER, *BATSMEN_ROWS), layout)
+    second = landing("b.csv", BATSMEN_HEADER, *BATSMEN_ROWS[:1])
+    with pytest.raises(FileExistsError, match="replace=True"):
+        load(spark, BATSMEN, second, layout)
+    assert read_serving(spark, layout.table("batsmen")).count() == len(BATSMEN_ROWS)
+    assert Path(second).exists()
+
+
+def test_snapshot_has_the_columns_of_the_table(spark, tmp_path, landing, layout):
+    job = Job("t", StructType(), ())
+    path = landing("a.csv", "k,v,w", "1,2.5,3")
+    run_load(spark, job, path, layout, START, infer=True, clock=lambda: END)
+    narrow = landing("b.csv", "k,w", "4,5")
+    later = datetime(2025, 4, 19, 9, 30)
+    run_load(spark, job, narrow, layout, later, infer=True, clock=lambda: END)
+    snapshot = spark.read.csv(f"{layout.snapshots}/t_20250419_093000").first()
+    assert tuple(snapshot)[:3] == ("4", None, "5")
+    whole = landing("c.csv", "k,v,w", "7,8,9")
+    again = datetime(2025, 4, 20, 9, 30)
+    assert run_load(spark, job, whole, layout, again, infer=True, clock=lambda: END) == 1
+
+
+def test_a_failure_after_the_serving_write_leaves_no_rows(spark, landing, layout, monkeypatch):
+    def broken(*_):
+        raise OSError("no space")
+
+    monkeypatch.setattr("tidemark.plans.load.write_snapshot", broken)
+    path = landing("a.csv", BATSMEN_HEADER, *BATSMEN_ROWS)
+    with pytest.raises(OSError, match="no space"):
+        load(spark, BATSMEN, path, layout)
+    monkeypatch.undo()
+    table = Path(layout.table("batsmen"))
+    assert not list(table.glob("partition_name=*"))
+    assert load(spark, BATSMEN, path, layout) == len(BATSMEN_ROWS)

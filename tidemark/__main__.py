@@ -43,6 +43,7 @@ def _load(spark: SparkSession, args: argparse.Namespace) -> None:
         args.started_at,
         run_id=args.run_id,
         infer=args.infer,
+        replace=args.replace,
         relational=_relational(args),
     )
     print(f"{args.table}: {rows} rows inserted")
@@ -98,6 +99,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "load":
             sub.add_argument("--started-at", type=datetime.fromisoformat, default=datetime.now())
             sub.add_argument("--run-id")
+            sub.add_argument("--replace", action="store_true", help="replace a finished run")
             sub.add_argument("--infer", action="store_true", help="guess all types from the data")
         else:
             sub.add_argument("--checkpoint", required=True)

@@ -13,6 +13,8 @@ from tidemark.plans.layout import Layout
 from tidemark.sinks import (
     Relational,
     append_jdbc,
+    drop_partition,
+    fit_to_table,
     forget_snapshot,
     log_metric,
     log_run,
@@ -23,6 +25,7 @@ from tidemark.sinks import (
 from tidemark.sources import read_partition, scan_csv
 from tidemark.storage import (
     check_absent,
+    exists,
     input_files,
     move_into,
     new_folder,
@@ -49,22 +52,32 @@ def publish(
 
     Data comes first and the registry last, so a registered run is complete; a rerun is
     taken off the registry while it replaces its rows. The work of the plan is done once:
-    the snapshot and the database, if there is one, copy the rows just written.
+    the snapshot and the database, if there is one, copy the rows just written, with the
+    columns of the table. A failure takes its rows and snapshot away again, so a failed run
+    has none.
     """
-    staging = new_folder(spark, "staging")
+    staging, table = new_folder(spark, "staging"), layout.table(job.table)
+    snapshot = f"{layout.snapshots}/{partition_name}"
+    begun = done = False
     try:
         forget_snapshot(spark, layout.snapshot_log, partition_name)
         result = job.result(rows, staging).drop(*drop)
-        count = write_serving(result, layout.table(job.table), partition_name)
-        written = read_partition(spark, layout.table(job.table), partition_name, result.schema)
+        result = fit_to_table(result, table, partition_name)
+        begun = True
+        count = write_serving(result, table, partition_name)
+        written = read_partition(spark, table, partition_name, result.schema)
         if relational:
             append_jdbc(written, job.table, relational)
-        write_snapshot(written, f"{layout.snapshots}/{partition_name}")
+        write_snapshot(written, snapshot)
         log_metric(spark, layout.metrics, run_id, job.table, count)
         log_snapshot(
             spark, layout.snapshot_log, job.table, partition_name, layout.snapshots, moment
         )
+        done = True
     finally:
+        if begun and not done:
+            drop_partition(spark, table, partition_name)
+            remove_folder(spark, snapshot)
         remove_folder(spark, staging)
     return count
 
@@ -79,11 +92,13 @@ def run_load(
     infer: bool = False,
     clock: Clock = datetime.now,
     relational: Relational | None = None,
+    replace: bool = False,
 ) -> int:
     """Load one landing file or folder and archive it; return the rows inserted.
 
-    ``started_at`` names the partition, so a retry of the same run replaces its rows. A
-    failure is logged as ``Failed``, raised, and leaves the input where it is. Exactly the
+    ``started_at`` names the partition. A retry of a failed run takes its place; a name whose
+    input is archived already is refused before anything is written, unless ``replace`` says
+    that the new file's rows are to take the place of the old ones. A failure is logged as ``Failed``, raised, and leaves the input where it is. Exactly the
     files that were read go to the archive, into a folder named after the run.
     """
     name = run_name(job.table, started_at)
@@ -91,6 +106,8 @@ def run_load(
     archive = f"{layout.archive}/{name}"
     status = "Failed"
     try:
+        if not replace and exists(spark, archive):
+            raise FileExistsError(f"run {name} is loaded already; replace=True takes its place")
         rows = scan_csv(spark, landing, job.declared, infer=infer)
         files = input_files(rows)
         check_absent(spark, files, archive)

@@ -6,6 +6,7 @@ from tidemark.sinks.tables import (
     append_jdbc,
     drop_partition,
     write_runs,
+    fit_to_table,
     write_serving,
     write_snapshot,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "log_run",
     "log_snapshot",
     "write_runs",
+    "fit_to_table",
     "write_serving",
     "write_snapshot",
 ]

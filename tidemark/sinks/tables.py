@@ -76,6 +76,13 @@ def fit_columns(df: DataFrame, table: StructType) -> DataFrame:
     )
 
 
+def fit_to_table(df: DataFrame, path: str, partition_name: str) -> DataFrame:
+    """``df`` as `write_serving` writes it: with the columns of the table's other runs."""
+    rows = df.drop("partition_name")
+    table = _columns_of(df.sparkSession, path, partition_name)
+    return fit_columns(rows, table) if table else rows
+
+
 def write_serving(df: DataFrame, path: str, partition_name: str) -> int:
     """Write one run to the serving table and return its number of rows.
 
@@ -84,17 +91,13 @@ def write_serving(df: DataFrame, path: str, partition_name: str) -> int:
     pass and a retried task counts once. It comes before the stamp: a constant last column
     needs no sort by partition.
     """
-    spark = df.sparkSession
-    rows = df.drop("partition_name")
-    table = _columns_of(spark, path, partition_name)
-    if table:
-        rows = fit_columns(rows, table)
+    rows = fit_to_table(df, path, partition_name)
     written = Observation()
     counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     write_runs(stamp(counted, partition_name), path)
     count = written.get["rows"]
     if count == 0:
-        remove_folder(spark, partition_folder(path, partition_name))
+        remove_folder(df.sparkSession, partition_folder(path, partition_name))
     return count
 
 
