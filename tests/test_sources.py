@@ -105,3 +105,10 @@ def test_snapshot_listing(spark, tmp_path):
     assert rows(existing_snapshots(spark, str(tmp_path / "p"))) == [("x_1",)]
     with pytest.raises(Exception, match="FileNotFound"):
         existing_snapshots(spark, str(tmp_path / "none"))
+
+
+def test_guessed_files_with_another_header_order_fail(spark, landing):
+    landing("a.csv", "k,v,w", "1,2,3")
+    path = landing("b.csv", "v,k,w", "99,5,6")
+    with pytest.raises(Exception, match="header"):
+        scan_csv(spark, path.rpartition("/")[0], infer=True).collect()

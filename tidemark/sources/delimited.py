@@ -56,9 +56,11 @@ def scan_csv(
     from the data instead, at the price of a pass over it.
     """
     reader = spark.read.option("header", True).option("sep", sep)
-    if infer:
-        return reader.option("inferSchema", True).csv(path)
     names, comparable = header_of(spark, path, sep)
+    if infer:
+        guessed = reader.option("inferSchema", True).csv(path).schema
+        checked = spark.read.option("header", True).option("sep", sep).schema(guessed)
+        return checked.option("enforceSchema", not comparable).csv(path)
     text = reader.schema(_text_schema(names)).option("enforceSchema", not comparable).csv(path)
     return cast_declared(text, declared) if declared else text
 
