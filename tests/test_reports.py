@@ -16,7 +16,7 @@ from tidemark.operators import (
     with_status,
 )
 from tidemark.plans.reconcile import missing_snapshots, reconcile
-from tidemark.plans.report import report_for
+from tidemark.plans.report import report_for, table_counts
 from tidemark.sinks import log_metric, log_run, log_snapshot, write_serving, write_snapshot
 from tidemark.sources import read_serving, read_snapshots
 
@@ -132,3 +132,17 @@ def test_delete_rows_keeps_null_keys(spark):
     assert rows(delete_rows(facts, missing)) == [(2, "b"), (3, None)]
     assert delete_rows(facts, missing).columns == facts.columns
     assert rows(delete_rows(facts, missing.limit(0))) == rows(facts)
+
+
+def test_a_damaged_table_gets_an_error_line(spark, layout, tmp_path):
+    write_serving(frame(spark, 1, 2), layout.table("matches"), "matches_1")
+    broken = tmp_path / "broken"
+    write_serving(frame(spark, 1), str(broken), "b_1")
+    for part in broken.glob("partition_name=*/*"):
+        part.unlink()
+    for folder in broken.glob("partition_name=*"):
+        (folder / "part-0.parquet").write_bytes(b"not parquet")
+    counts = table_counts(spark, {"broken": str(broken), "matches": layout.table("matches")})
+    found = {row["table"]: (row["total_rows"], row["status"]) for row in counts.collect()}
+    assert found["matches"] == (2, "OK")
+    assert found["broken"][0] is None and found["broken"][1].startswith("Error fetching data - ")

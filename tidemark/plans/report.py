@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +21,19 @@ def table_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """``(position, script_name, table, total_rows, status)``, one row per table.
 
     ``tables`` gives the serving path of each table, in report order. A table that cannot
-    be opened gets its error as status; the others are counted all the same.
+    be opened or read gets its error as status; the others are counted all the same. Each table
+    is counted here, one number each, so that a damaged file cannot end the whole report.
     """
     frames = []
     for position, (table, path) in enumerate(tables.items()):
         try:
             if not exists(spark, path):
                 raise FileNotFoundError(path)
-            counted = row_count(read_serving(spark, path)).withColumn("status", F.lit("OK"))
-        except (PySparkException, FileNotFoundError) as error:
+            total = row_count(read_serving(spark, path)).first()["total_rows"]
+            counted = spark.range(0, 1, 1, 1).select(
+                F.lit(total).cast("bigint").alias("total_rows"), F.lit("OK").alias("status")
+            )
+        except (PySparkException, Py4JJavaError, FileNotFoundError) as error:
             reason = f"Error fetching data - {type(error).__name__}"
             counted = spark.range(0, 1, 1, 1).select(
                 F.lit(None).cast("bigint").alias("total_rows"), F.lit(reason).alias("status")
