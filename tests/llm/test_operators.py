@@ -173,9 +173,30 @@ def test_repeated_bytes_equal_brute_force(spark):
         expected.append(bytes(b for b, g in zip(text, gone) if not g))
     cut = repeats.without_repeated_bytes(frame, out="score")
     assert sorted(bytes(r.score.kept) for r in cut.collect()) == sorted(expected)
+    split = repeats.without_repeated_bytes(frame, out="score", most=1)
+    assert sorted(bytes(r.score.kept) for r in split.collect()) == sorted(expected)
     assert repeats.without_repeated_bytes(frame.limit(0)).count() == 0
 
 
+def test_a_line_that_is_everywhere_is_split(spark):
+    """Texts around one line of 150 bytes have one anchor; some share a neighbour of the line."""
+    rng = random.Random(6)
+    line = "".join(rng.choices("abcdefgh", k=150))
+    sides = ["".join(rng.choices("ijklmnop", k=120)) for _ in range(60)]
+    rows = [(i, sides[i] + line + sides[i - i % 7], "", "", "", 0) for i in range(60)]
+    rows += [(100 + i, sides[i][-30:] + line + sides[i][:25], "", "", "", 0) for i in range(60)]
+    texts = [row[1].encode() for row in rows]
+    count = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    expected = []
+    for row, text in zip(rows, texts):
+        gone = {k for i in range(len(text) - 199) if count[text[i : i + 200]] > 1 for k in range(i, i + 200)}
+        expected.append((row[0], bytes(b for k, b in enumerate(text) if k not in gone)))
+    assert any(len(kept) < len(text) for (_, kept), text in zip(expected, texts))
+    for most in (3, 50, repeats.LOT):
+        cut = repeats.without_repeated_bytes(spark.createDataFrame(rows, DOCS), out="out", most=most)
+        assert sorted((r.doc_id, bytes(r.out.kept)) for r in cut.collect()) == expected
+
+
 def test_repeated_sentences(spark, docs):
     passage = "Alpha beta gamma delta epsilon. Zeta eta theta iota kappa! Lambda mu nu xi omicron?"
     rows = [

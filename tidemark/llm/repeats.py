@@ -33,8 +33,11 @@ from tidemark.llm.common import free_name, kept, texts, utf8
 
 WINDOW = 200
 GRAM = 32
-# Stretches are inserted together in lots of about this many.
+# Stretches are inserted together in lots of about this many; an anchor with more kinds of
+# stretches is split.
 LOT = 8_192
+# Columns that the windows of a part of a split stretch start in, from split to split.
+PARTS = (64, 16, 4, 1)
 # Windows of a text handled at once; places within a lot of grams fit 16 bits.
 SEGMENT = (1 << 16) - WINDOW
 STEP = 0x9E3779B97F4A7C15 | 1
@@ -240,6 +243,11 @@ def _insert(window: int):
         held: list[pd.DataFrame] = []
         rows = 0
 
+        def joined() -> pd.DataFrame:
+            # Rows alike in id and text bring the same kind again.
+            lot = pd.concat(held, ignore_index=True)
+            return lot.drop_duplicates(["_anchor", "_digest"], ignore_index=True)
+
         def done(lot: pd.DataFrame) -> pd.DataFrame:
             places = lot["_place"].to_numpy(dtype=np.int64)
             equal = equal_windows(list(lot["_bytes"]), places, window)
@@ -256,7 +264,7 @@ def _insert(window: int):
             held.append(batch)
             rows += len(batch)
             if rows >= LOT:
-                lot = pd.concat(held, ignore_index=True)
+                lot = joined()
                 # The last anchor may go on in the next batch.
                 whole = (lot["_anchor"] != lot["_anchor"].iloc[-1]).to_numpy().nonzero()[0]
                 cut_at = whole[-1] + 1 if len(whole) else 0
@@ -264,11 +272,123 @@ def _insert(window: int):
                     yield done(lot.iloc[:cut_at])
                 held, rows = [lot.iloc[cut_at:].reset_index(drop=True)], len(lot) - cut_at
         if rows:
-            yield done(pd.concat(held, ignore_index=True))
+            yield done(joined())
 
     return insert
 
 
+def _inserted(kinds: DataFrame, window: int) -> DataFrame:
+    """``kinds`` compared within their anchors, a whole anchor in one lot."""
+    return (
+        kinds.repartition("_anchor")
+        .sortWithinPartitions("_anchor", "_digest")
+        .mapInPandas(_insert(window), "_anchor long, _digest long, _runs array<array<int>>")
+    )
+
+
+def _split(window: int, size: int):
+    reach = window - GRAM
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Parts of stretches: windows that start in one block of ``size`` columns. All windows
+        of a block hold the bytes from its last column to the end of its first window; these
+        make the key of the part."""
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            parts = []
+            for anchor, kind, windows, place, data in batch.itertuples(index=False):
+                begin = reach - place
+                end = begin + windows
+                for block in range(begin // size, (end - 1) // size + 1):
+                    low, high = block * size, (block + 1) * size
+                    first, last = max(begin, low) - begin, min(end, high) - begin
+                    core = data[high - 1 - begin : low + window - begin]
+                    own = data[first : last + window - 1]
+                    key = digest(b"%d %d " % (anchor, block) + core)
+                    sub = digest(own, place - first)
+                    parts.append((anchor, kind, first, key, sub, last - first, place - first, own))
+            out = pd.DataFrame(parts, columns=PART.names)
+            for name in ("_key", "_sub"):
+                out[name] = out[name].astype(np.uint64).to_numpy().view(np.int64)
+            yield out
+
+    return split
+
+
+PART = StructType(
+    [
+        StructField("_anchor", LongType()),
+        StructField("_digest", LongType()),
+        StructField("_first", IntegerType()),
+        StructField("_key", LongType()),
+        StructField("_sub", LongType()),
+        StructField("_windows", IntegerType()),
+        StructField("_place", IntegerType()),
+        StructField("_bytes", BinaryType()),
+    ]
+)
+
+
+def _crowded(kinds: DataFrame, most: int) -> DataFrame:
+    """Anchors with more than ``most`` kinds of stretches: there is at most one for so many."""
+    counts = kinds.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_kinds"))
+    return counts.where(F.col("_kinds") > most).select("_anchor")
+
+
+def _compared(
+    kinds: DataFrame, crowded: DataFrame, window: int, most: int, sizes: tuple[int, ...] = PARTS
+) -> DataFrame:
+    """For ``kinds`` (_anchor, _digest, _windows, _place, _bytes) the runs of windows that are in
+    another kind too: _anchor, _digest, _runs.
+
+    A crowded anchor does not go to one task. Its stretches are split into parts that get a
+    longer anchor each, the bytes that all windows of a part share; equal windows are in parts
+    of the same block with the same bytes there. Equal parts become one, and parts with one
+    anchor are compared like stretches, split again where they are still too many. The
+    last split leaves single windows, whose anchor is the whole window.
+    """
+    if not sizes or crowded.isEmpty():
+        return _inserted(kinds, window)
+    kinds = kept(kinds, "kinds")
+    calm = _inserted(kinds.join(crowded, "_anchor", "left_anti"), window)
+    hot = kinds.join(crowded, "_anchor", "left_semi")
+    hot = hot.select("_anchor", "_digest", "_windows", "_place", "_bytes")
+    parts = kept(hot.mapInPandas(_split(window, sizes[0]), PART), "parts")
+    subs = parts.groupBy("_key", "_sub").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.first("_windows").alias("_windows"),
+        F.first("_place").alias("_place"),
+        F.first("_bytes").alias("_bytes"),
+    )
+    several = parts.groupBy("_key").agg(F.min("_sub").alias("_low"), F.max("_sub").alias("_high"))
+    several = several.where("_low < _high").select("_key")
+    inner = subs.join(several, "_key", "left_semi").select(
+        F.col("_key").alias("_anchor"),
+        F.col("_sub").alias("_digest"),
+        "_windows",
+        "_place",
+        "_bytes",
+    )
+    inner = kept(inner, "kinds")
+    runs = _compared(inner, _crowded(inner, most), window, most, sizes[1:]).select(
+        F.col("_anchor").alias("_key"), F.col("_digest").alias("_sub"), "_runs"
+    )
+    copied = parts.groupBy("_key", "_sub").agg((F.count(F.lit(1)) > 1).alias("_copied"))
+    whole = F.array(F.array(F.lit(0), F.col("_windows")))
+    found = (
+        parts.drop("_bytes", "_place")
+        .join(copied, ["_key", "_sub"])
+        .join(runs, ["_key", "_sub"], "left")
+        .withColumn("_runs", F.when(F.col("_copied"), whole).otherwise(F.col("_runs")))
+        .where(F.col("_runs").isNotNull())
+    )
+    moved = F.transform(
+        "_runs", lambda run: F.transform(run, lambda place: place + F.col("_first"))
+    )
+    found = found.select("_anchor", "_digest", moved.alias("_runs")).groupBy("_anchor", "_digest")
+    return calm.unionByName(found.agg(F.flatten(F.collect_list("_runs")).alias("_runs")))
+
+
 def _merged(pairs: np.ndarray) -> np.ndarray:
     """Union of [start, end) runs as rows, in order, runs that touch made one."""
     if not len(pairs):
@@ -303,9 +423,10 @@ def _remove(window: int):
     return remove
 
 
-def repeated_runs(keyed: DataFrame, window: int) -> DataFrame:
+def repeated_runs(keyed: DataFrame, window: int, most: int = LOT) -> DataFrame:
     """For the rows of ``keyed`` (_id, _hash, _text) what of them repeats: _id, _hash, _kinds
-    (array of struct<_starts, _runs>: runs of windows that repeat, in each of the stretches)."""
+    (array of struct<_starts, _runs>: runs of windows that repeat, in each of the stretches).
+    Anchors with more than ``most`` kinds of stretches are split."""
     counted = keyed.select("_text").mapInArrow(
         _anchors(window), "_anchor long, _digest long, _n long"
     )
@@ -325,6 +446,7 @@ def repeated_runs(keyed: DataFrame, window: int) -> DataFrame:
         F.first("_windows").alias("_windows"),
         F.first("_place").alias("_place"),
     )
+    several = kept(several, "kinds")
     wanted = several.select("_one.*", "_anchor", "_digest", "_windows", "_place").groupBy(
         "_id", "_hash"
     )
@@ -347,10 +469,7 @@ def repeated_runs(keyed: DataFrame, window: int) -> DataFrame:
     cut = keyed.join(owners, same).select(
         F.explode(_cut(window, schema)(F.col("_text"), F.col("_wanted"))).alias("_kind")
     )
-    cut = cut.select("_kind.*").repartition("_anchor").sortWithinPartitions("_anchor")
-    runs = cut.mapInPandas(
-        _insert(window), "_anchor long, _digest long, _runs array<array<int>>"
-    ).groupBy("_anchor", "_digest").agg(F.first("_runs").alias("_runs"))
+    runs = _compared(cut.select("_kind.*"), _crowded(several, most), window, most)
 
     whole = F.array(F.array(F.lit(0), F.col("_windows")))
     single = found.where("not _many").select("_id", "_hash", "_starts", whole.alias("_runs"))
@@ -378,6 +497,7 @@ def without_repeated_bytes(
     text: str = "text",
     out: str = "deduplicated",
     window: int = WINDOW,
+    most: int = LOT,
 ) -> DataFrame:
     """``docs`` with ``out``: struct of removed ([start, end) in bytes, in order, apart) and kept
     (the bytes left, which may cut a character).
@@ -385,14 +505,15 @@ def without_repeated_bytes(
     Removed is every byte of the UTF-8 text inside a string of ``window`` bytes that starts
     anywhere else too, in the same text or another; strings are judged on the input. NULL and
     short texts have none; a row that comes twice is its own copy. Rows alike in ``key`` and
-    text are cut alike. Other columns stay; one named ``out`` is replaced.
+    text are cut alike. Other columns stay; one named ``out`` is replaced. ``most`` bounds the
+    kinds of stretches that one task compares at once, not the result.
     """
     keyed = docs.select(
         F.col(f"`{key}`").alias("_id"),
         F.xxhash64(F.col(f"`{text}`")).alias("_hash"),
         F.col(f"`{text}`").alias("_text"),
     )
-    runs = repeated_runs(keyed, window)
+    runs = repeated_runs(keyed, window, most)
     id_name, hash_name, kinds = (free_name(docs, n) for n in ("_id", "_hash", "_kinds"))
     runs = runs.select(
         F.col("_id").alias(id_name), F.col("_hash").alias(hash_name), F.col("_kinds").alias(kinds)
