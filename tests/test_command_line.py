@@ -11,7 +11,7 @@ from tidemark.session import MB, TB, sizing
 from tidemark.sinks import Relational
 
 HEADER = ",".join(BATSMEN.declared.names)
-ROW = "Ruturaj ,368,14,14,0,26,291,126.46,0,3,33,14"
+ROW = "Spaced ,210,12,11,0,19,175,120.5,0,1,20,5"
 
 
 def test_load_report_reconcile(spark, landing, tmp_path, capsys):
@@ -33,8 +33,8 @@ def test_ingest(spark, landing, tmp_path):
     root, folder = str(tmp_path), str(tmp_path / "files")
     args = ["ingest", "batsmen", "--root", root, "--landing", folder,
             "--checkpoint", str(tmp_path / "checkpoint")]
-    with pytest.raises(ValueError, match="columns"):
-        main(args)
+    main(args)
+    assert not Path(root, "partitions").exists()
     main([*args, "--columns", HEADER])
     landing("batsmen.csv", HEADER, ROW)
     main(args)
@@ -61,6 +61,18 @@ def test_sizing_follows_the_input():
     small, large = sizing(10 * 1024 * MB, 16), sizing(100 * TB, 8000)
     assert small["spark.sql.shuffle.partitions"] == "80"
     assert sizing(1, 16)["spark.sql.shuffle.partitions"] == "16"
-    assert int(large["spark.sql.shuffle.partitions"]) == 50_000
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * MB
-    assert int(sizing(5 * TB, 16)["spark.sql.files.maxPartitionBytes"]) == 512 * MB
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * MB
+    assert 1280 * MB <= int(large["spark.sql.files.maxPartitionBytes"]) <= 1281 * MB
+    assert 81_000 < int(large["spark.sql.shuffle.partitions"]) < 82_000
+    steps = [int(sizing(n * TB, 16)["spark.sql.files.maxPartitionBytes"]) for n in range(1, 50)]
+    assert steps == sorted(set(steps))
+
+
+def test_load_is_sized_by_its_files(spark, landing, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr("tidemark.__main__.sizing", lambda size, cores: seen.append(size) or {})
+    path = landing("b.csv", HEADER, ROW)
+    main(["load", "batsmen", "--root", str(tmp_path), "--landing", path])
+    assert seen == [len(HEADER) + len(ROW) + 2]
+    main(["--input-bytes", "7", "report", "--root", str(tmp_path), "--run-id", "none"])
+    assert seen[1:] == [7]

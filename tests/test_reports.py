@@ -16,9 +16,9 @@ from tidemark.operators import (
     with_status,
 )
 from tidemark.plans.reconcile import missing_snapshots, reconcile
-from tidemark.plans.report import report_for, table_counts
+from tidemark.plans.report import outcome_report, report_for, table_counts
 from tidemark.sinks import log_metric, log_run, log_snapshot, write_serving, write_snapshot
-from tidemark.sources import read_serving, read_snapshots
+from tidemark.sources import read_runs, read_serving, read_snapshots
 
 
 def frame(spark, *values):
@@ -116,6 +116,18 @@ def test_registered_name_without_rows(spark, layout):
     assert names_in(spark, layout, "matches") == ["matches_1", "matches_2"]
 
 
+def test_outcomes_of_runs(spark, layout):
+    for run_id, script, status in (
+        ("r1", "a_script", "Success"), ("r1", "c_script", "Failed"), ("r1", "b_script", "Failed"),
+        ("r1", "d_script", "Failed"), ("r2", "a_script", "Success"), ("r3", "d_script", "Failed"),
+    ):
+        log_run(spark, layout.run_log, run_id, script, START, START, status)
+    report = outcome_report(read_runs(spark, layout.run_log), without=("d_script",))
+    assert rows(report) == [
+        ("r1", True, True, "b_script,c_script"), ("r2", True, False, ""), ("r3", False, True, ""),
+    ]
+
+
 def test_failed_listing_deletes_nothing(spark, layout, tmp_path):
     runs_of(spark, layout)
     (tmp_path / "partitions").rename(tmp_path / "elsewhere")

@@ -31,6 +31,17 @@ def test_repeated_and_empty_headers_are_renamed_by_position(spark, landing):
     assert rows(scan_csv(spark, path)) == [("1", "2", "3", "4")]
 
 
+def test_files_with_repeated_headers_must_agree(spark, landing, tmp_path):
+    landing("a.csv", "k,a,v,a", "1,2,3,4")
+    landing("b.csv", "", "k,a,v,a", "5,6,7,8")
+    folder = str(tmp_path / "files")
+    assert rows(scan_csv(spark, folder)) == [("1", "2", "3", "4"), ("5", "6", "7", "8")]
+    landing("c.csv", "v,a,k,a", "9,9,9,9")
+    for infer in (False, True):
+        with pytest.raises(ValueError, match="header"):
+            scan_csv(spark, folder, infer=infer)
+
+
 def test_names_that_only_look_renamed_stay_checked(spark, landing):
     path = landing("x.csv", "q0,q1", "1,2")
     assert header_of(spark, path) == (["q0", "q1"], True)

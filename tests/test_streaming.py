@@ -89,13 +89,39 @@ def test_reordered_header_fails_and_is_logged(spark, landing, layout, tmp_path):
     assert read_serving(spark, layout.table("deliveries")).count() == 1
 
 
+def test_repeated_headers_load_and_must_stay(spark, landing, layout, tmp_path):
+    header = "match_id,inning,over,batter,total_runs,batter"
+    landing("a b.csv", header, "1,1,1,A,1,X", "1,1,1,B,4,Y")
+    run(spark, DELIVERIES, tmp_path, layout)
+    table = read_serving(spark, layout.table("deliveries"))
+    assert rows(table.select("batter3", "batter5", "runs_per_over")) == [("A", "X", 5), ("B", "Y", 5)]
+    landing("b.csv", "inning,match_id,over,batter,total_runs,batter", "1,2,1,A,1,X")
+    with pytest.raises(Exception, match="(?i)header"):
+        run(spark, DELIVERIES, tmp_path, layout)
+    assert read_serving(spark, layout.table("deliveries")).count() == 2
+
+
+def test_start_without_files_ends(spark, landing, layout, tmp_path):
+    files, checkpoint = str(tmp_path / "files"), str(tmp_path / "checkpoint")
+    assert ingest(spark, DELIVERIES, files, layout, checkpoint) is None
+    landing("a.csv", HEADER, "1,1,1,A,1")
+    run(spark, DELIVERIES, tmp_path, layout)
+    (tmp_path / "files" / "a.csv").rename(tmp_path / "gone.csv")
+    run(spark, DELIVERIES, tmp_path, layout)
+    assert read_serving(spark, layout.table("deliveries")).count() == 1
+    with pytest.raises(Exception, match="(?i)path"):
+        ingest(
+            spark, DELIVERIES, str(tmp_path / "nowhere"), layout, str(tmp_path / "c2"), prefix="p"
+        )
+
+
 def test_job_without_total(spark, landing, layout, tmp_path):
     header = ",".join(BATSMEN.declared.names)
-    landing("a.csv", header, "Ruturaj ,368,14,14,0,26,291,126.46,0,3,33,14")
+    landing("a.csv", header, "Spaced ,210,12,11,0,19,175,120.5,0,1,20,5")
     run(spark, BATSMEN, tmp_path, layout)
     table = read_serving(spark, layout.table("batsmen"))
     assert rows(table.select("player_name", "average", "partition_name")) == [
-        ("Ruturaj", 26, "batsmen_0")
+        ("Spaced", 19, "batsmen_0")
     ]
 
 

@@ -19,6 +19,7 @@ from tidemark.plans.reconcile import reconcile
 from tidemark.plans.report import report_for
 from tidemark.session import build_session, sizing
 from tidemark.sinks import Relational
+from tidemark.storage import total_bytes
 from tidemark.streaming import ingest
 
 TABLES = {job.table: job for job in JOBS}
@@ -50,7 +51,7 @@ def _load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    ingest(
+    query = ingest(
         spark,
         TABLES[args.table],
         args.landing,
@@ -59,7 +60,11 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         per_file=not args.per_batch,
         columns=args.columns.split(",") if args.columns else None,
         relational=_relational(args),
-    ).awaitTermination()
+    )
+    if query is None:
+        print(f"{args.table}: no file yet")
+    else:
+        query.awaitTermination()
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -77,8 +82,8 @@ def _reconcile(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tidemark")
-    parser.add_argument("--input-bytes", type=int, help="size of the input, to size the shuffles")
-    parser.add_argument("--cores", type=int, default=200, help="cores of the cluster")
+    parser.add_argument("--input-bytes", type=int, help="size of the input; of the landing files if not given")
+    parser.add_argument("--cores", type=int, help="cores of the cluster; Spark's own count if not given")
     actions = parser.add_subparsers(required=True)
 
     def action(name, function, help_text):
@@ -115,8 +120,13 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    sizes = sizing(args.input_bytes, args.cores) if args.input_bytes else {}
-    args.function(build_session("tidemark", sizes), args)
+    spark = build_session("tidemark")
+    landing = getattr(args, "landing", None)
+    size = args.input_bytes or (total_bytes(spark, landing) if landing else 0)
+    if size:
+        for key, value in sizing(size, args.cores or spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(key, value)
+    args.function(spark, args)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,8 @@ from tidemark.operators import missing_from
 from tidemark.plans.jobs import JOBS
 from tidemark.plans.layout import Layout
 from tidemark.sinks import drop_partition, forget_snapshot
-from tidemark.sources import existing_snapshots, read_snapshots
+from tidemark.sources import existing_snapshots, read_snapshots, stored_partitions
+from tidemark.storage import for_each, new_folder, stored
 
 
 def missing_snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -31,14 +33,19 @@ def reconcile(
 ) -> DataFrame:
     """Drop the missing runs from all tables and return their names.
 
-    A run is a partition folder, so no row is read or rewritten; the driver handles the
-    names of missing runs only. Registry rows stay, unless ``prune_log`` is set; then they
-    go after the data.
+    A run is a partition folder, so no row is read or rewritten, and only folders that are there
+    are deleted. The names are stored once and walked page by page. Registry rows stay, unless
+    ``prune_log`` is set; then they go after the data.
     """
-    names = [row[0] for row in missing_snapshots(spark, layout).toLocalIterator()]
-    for name in names:
-        for table in tables:
-            drop_partition(spark, layout.table(table), name)
-        if prune_log:
-            forget_snapshot(spark, layout.snapshot_log, name)
-    return spark.createDataFrame([(name,) for name in names], "partition_name string")
+    missing = stored(missing_snapshots(spark, layout), new_folder(spark, "missing"))
+    for table in tables:
+        path = layout.table(table)
+        gone = stored_partitions(spark, path).join(missing, "partition_name", "left_semi")
+        for_each(partial(drop_partition, spark, path), _names(gone))
+    if prune_log:
+        for_each(partial(forget_snapshot, spark, layout.snapshot_log), _names(missing))
+    return missing
+
+
+def _names(runs: DataFrame) -> Iterator[str]:
+    return (row["partition_name"] for row in runs.select("partition_name").toLocalIterator())

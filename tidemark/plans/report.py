@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import capitalise
-from tidemark.operators import concatenate, lookup, row_count, succeeded_only, with_status
+from tidemark.operators import (
+    concatenate,
+    lookup,
+    row_count,
+    run_outcome,
+    succeeded_only,
+    with_status,
+)
 from tidemark.sources import read_metrics, read_runs, read_serving
 from tidemark.plans.jobs import JOBS
 from tidemark.plans.layout import Layout
@@ -68,6 +75,18 @@ def row_count_report(counts: DataFrame, runs: DataFrame, metrics: DataFrame) ->
     )
 
 
+def outcome_report(runs: DataFrame, without: Collection[str] = ()) -> DataFrame:
+    """``(run_id, any_success, any_failed, failed_tasks)`` of the run registry.
+
+    ``failed_tasks`` are the names of the tasks that failed, in order and comma-joined, minus
+    those ``without``; empty if there is none.
+    """
+    failed = with_status(runs, "Failed", without).groupBy("run_id").agg(
+        F.array_join(F.sort_array(F.collect_set("script_name")), ",").alias("failed_tasks")
+    )
+    return lookup(run_outcome(runs), failed, "run_id", "failed_tasks", default="")
+
+
 def report_for(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
     """The report of one run over the tables of all jobs, in report order."""
     tables = {job.table: layout.table(job.table) for job in JOBS}

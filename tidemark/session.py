@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import SparkSession
 
-MB = 1024 * 1024
+KB = 1024
+MB = 1024 * KB
 TB = 1024 * 1024 * MB
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,16 +23,15 @@ DEFAULTS = {
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Split size and shuffle width for an input of ``input_bytes`` on ``cores``.
 
-    A shuffle partition holds about 128 MB and adaptive execution merges those that turn
-    out small. For very large inputs tasks grow instead of their number: the blocks of a
-    shuffle are map tasks times partitions, and the driver keeps track of all of them. At
-    100 TB there are 100,000 scan tasks and 50,000 partitions of 2 GB, sorted by spilling.
+    The blocks of a shuffle are map tasks times partitions, and the driver keeps track of all of
+    them, so tasks grow with the square root of the input, and their number does too: 128 MB
+    up to 1 TB, about 1.3 GB in 84,000 tasks at 100 TB, sorted by spilling. Adaptive
+    execution merges partitions that turn out small.
     """
-    split = 128 * MB if input_bytes <= TB else 512 * MB if input_bytes <= 20 * TB else 1024 * MB
-    width = max(cores, -(-input_bytes // (128 * MB)))
+    part = max(128 * MB, isqrt(input_bytes * 16 * KB))
     return {
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(min(width, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.files.maxPartitionBytes": str(part),
+        "spark.sql.shuffle.partitions": str(max(cores, -(-input_bytes // part))),
     }
 
 

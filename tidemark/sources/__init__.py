@@ -9,6 +9,7 @@ from tidemark.sources.tables import (
     read_runs,
     read_serving,
     read_snapshots,
+    stored_partitions,
 )
 
 __all__ = [
@@ -21,4 +22,5 @@ __all__ = [
     "read_serving",
     "read_snapshots",
     "scan_csv",
+    "stored_partitions",
 ]

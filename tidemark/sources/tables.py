@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark import schemas
 from tidemark.functions import check_name
 from tidemark.operators.projections import stamp
-from tidemark.storage import exists, folder_names
+from tidemark.storage import exists, folder_names, listed
 
 PARTITION = StructField("partition_name", StringType())
 
@@ -70,5 +70,12 @@ def read_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> D
 
 def existing_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """One row per folder below ``root``; a failed listing raises."""
-    rows = [(name,) for name in folder_names(spark, root)]
-    return spark.createDataFrame(rows, "partition_name string")
+    return listed(spark, folder_names(spark, root), "partition_name")
+
+
+def stored_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """The names of the runs that have a partition folder in a serving table."""
+    names = folder_names(spark, path) if exists(spark, path) else ()
+    prefix = "partition_name="
+    runs = (name.removeprefix(prefix) for name in names if name.startswith(prefix))
+    return listed(spark, runs, "partition_name")

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+# File system calls under way at once, and names handled at a time.
+THREADS = 16
+PAGE = 10_000
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -34,6 +40,32 @@ def folder_names(spark: SparkSession, root: str) -> Iterator[str]:
             yield entry.getPath().getName()
 
 
+def listed(spark: SparkSession, names: Iterable[str], name: str) -> DataFrame:
+    """``names`` as a stored table with the column ``name``, written page by page."""
+    schema, folder, any_page = f"{name} string", new_folder(spark, "listing"), False
+    for page in batched(names, PAGE):
+        rows = spark.createDataFrame([(value,) for value in page], schema)
+        rows.write.mode("append").parquet(folder)
+        any_page = True
+    if not any_page:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def for_each(action: Callable[[str], object], names: Iterable[str]) -> None:
+    """Run ``action`` on all names, THREADS at a time; an error is raised after its page."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        for page in batched(names, PAGE):
+            list(pool.map(action, page))
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below ``path``, which may be a pattern; 0 if there is nothing."""
+    files = _file_system(spark, path)
+    found = files.globStatus(_path(spark, path)) or ()
+    return sum(files.getContentSummary(entry.getPath()).getLength() for entry in found)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     if not _file_system(spark, path).mkdirs(_path(spark, path)):
         raise OSError(f"could not create {path}")
@@ -77,27 +109,32 @@ def _target(spark: SparkSession, path: str, folder: str) -> str:
 
 def check_absent(spark: SparkSession, paths: list[str], folder: str) -> None:
     """Raise unless all ``paths`` can go below ``folder`` under names of their own."""
-    targets = {_target(spark, path, folder) for path in paths}
-    if len(targets) < len(paths):
+    names = {path.rsplit("/", 1)[-1] for path in paths}
+    if len(names) < len(paths):
         raise FileExistsError(f"files of the same name can not all go to {folder}")
     if not exists(spark, folder):
         return
-    for target in targets:
-        if exists(spark, target):
-            raise FileExistsError(f"{target} is there already")
+    listing = _file_system(spark, folder).listStatusIterator(_path(spark, folder))
+    while listing.hasNext():
+        name = listing.next().getPath().getName()
+        if name in names:
+            raise FileExistsError(f"{folder}/{name} is there already")
 
 
 def move_into(spark: SparkSession, paths: list[str], folder: str) -> None:
     """Move files below ``folder``; raises unless every move took place."""
     check_absent(spark, paths, folder)
     make_folder(spark, folder)
-    for path in paths:
+
+    def move(path: str) -> None:
         files, target = _file_system(spark, path), _target(spark, path, folder)
         if not files.exists(_path(spark, path)):
             raise FileNotFoundError(path)
         if not files.rename(_path(spark, path), _path(spark, target)):
             raise OSError(f"could not move {path} to {target}")
 
+    for_each(move, paths)
+
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, ``spark.checkpoint.dir``.
