@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import decontamination, repeats, secrets, sentences, simhash
+from tidemark.llm.common import first_by_hash
 from tidemark.llm.language import fit_language, with_language
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.neighbours import nearest
@@ -178,6 +179,16 @@ def test_repeated_bytes_equal_brute_force(spark):
     assert repeats.without_repeated_bytes(frame.limit(0)).count() == 0
 
 
+def test_repeated_rows_do_not_use_up_a_sample(spark):
+    rows = spark.range(5000).selectExpr("id % 2 as g", "if(id < 4000, id % 2, id) as k")
+    first = first_by_hash(rows.withColumn("_rank", F.lit(1)), "g", "k", 100)
+    found = Counter(r.g for r in first.collect())
+    assert found == {0: 100, 1: 100} and first.distinct().count() == 200
+    hashed = rows.where("g = 1").distinct().orderBy(F.xxhash64("k"), "k").limit(100)
+    assert {r.k for r in hashed.collect()} == {r.k for r in first.where("g = 1").collect()}
+    assert first_by_hash(rows.limit(0), "g", "k", 3).count() == 0
+
+
 def test_a_line_that_is_everywhere_is_split(spark):
     """Texts around one line of 150 bytes have one anchor; some share a neighbour of the line."""
     rng = random.Random(6)

@@ -43,6 +43,20 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return kept(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
+def first_by_hash(rows: DataFrame, group: str, key: str, count: int) -> DataFrame:
+    """Of every ``group`` the ``count`` different keys whose hash comes first: group, key.
+
+    Two steps, so that a group with most of the rows is ranked in 2**8 parts and the last
+    window holds no more than ``count`` keys of each.
+    """
+    ranked = rows.select(group, key).distinct().withColumn("_hash", F.xxhash64(key))
+    ranked = ranked.withColumn("_part", F.pmod("_hash", F.lit(1 << GROUP_BITS)))
+    for parts in ([group, "_part"], [group]):
+        place = F.row_number().over(Window.partitionBy(*parts).orderBy("_hash", key))
+        ranked = ranked.withColumn("_rank", place).where(F.col("_rank") <= count)
+    return ranked.select(group, key)
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

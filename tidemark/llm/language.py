@@ -8,11 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import free_name, texts
+from tidemark.llm.common import first_by_hash, free_name, texts
 
 UNDETERMINED = "und"
 # The blended spectrum: presence of every run of 1 to GRAMS characters, hashed to DIMENSIONS.
@@ -161,16 +161,8 @@ def fit_language(
         F.col(lang).alias("_lang"), F.col(key).alias("_key"), F.col(text).alias("_text")
     )
     names = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES)
-    # The window sees languages and keys only, and drops most rows before its shuffle.
-    first = Window.partitionBy("_lang").orderBy(F.xxhash64("_key"), "_key")
-    chosen = (
-        rows.select("_lang", "_key")
-        .join(F.broadcast(names.select("_lang")), "_lang", "left_semi")
-        .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= sample)
-        .select("_lang", "_key")
-        .distinct()
-    )
+    learned = rows.join(F.broadcast(names.select("_lang")), "_lang", "left_semi")
+    chosen = first_by_hash(learned, "_lang", "_key", sample)
     found = rows.join(F.broadcast(chosen), ["_lang", "_key"], "left_semi")
     found = found.select("_lang", "_key", _presence("_text").alias("_seen"))
     found = found.groupBy("_lang", "_key").agg(F.min("_seen").alias("_seen"))

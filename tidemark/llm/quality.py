@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -19,7 +19,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import free_name, texts
+from tidemark.llm.common import first_by_hash, free_name, texts
 
 # A passage is PASSAGE words, longer where a text would have more than PASSAGES of them; so
 # the whole text is read and a text is at most PASSAGES rows of numbers.
@@ -256,9 +256,7 @@ def fit_quality(
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.groupBy(F.col(key).alias("_key")).agg(F.min(label).cast("int").alias("_label"))
     share = known.agg(F.coalesce(F.avg("_label"), F.lit(0.5))).first()[0]
-    first = Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key")
-    chosen = known.withColumn("_rank", F.row_number().over(first))
-    chosen = chosen.where(F.col("_rank") <= sample).select("_key", "_label")
+    chosen = first_by_hash(known, "_label", "_key", sample)
     found = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     found = found.join(F.broadcast(chosen), "_key")
     found = found.select("_key", "_label", _encode("_text").alias("_rows"))
