@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontamination, repeats, secrets, sentences, simhash
+from tidemark.llm import decontamination, passages, repeats, secrets, sentences, simhash
 from tidemark.llm.common import first_by_hash
 from tidemark.llm.language import fit_language, with_language
 from tidemark.llm.mixing import mix, word_count
@@ -224,6 +224,47 @@ def test_repeated_sentences(spark, docs):
     assert sentences.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeated_passages_without_sentences(spark, docs):
+    rng = random.Random(11)
+    vocabulary = [a + b + c for a in "bdklmn" for b in "aeiou" for c in "rstz"]
+    chinese = [chr(0x4E00 + i) for i in range(3000)]
+    own = lambda words=vocabulary, k=30: rng.choices(words, k=k)
+    shared = [own(k=50), [w + "." * (i % 17 == 9) for i, w in enumerate(own(k=50))]]
+    shared += [own(chinese, 50), ["word", "word", "and"] * 17]
+    rows = []
+    for i, passage in enumerate(shared):
+        around = chinese if i == 2 else vocabulary
+        space = "" if i == 2 else " "
+        for k in range(3):
+            middle = passage if k < 2 else [w + "\n" * (i != 2) for w in passage]
+            text = space.join(own(around)) + space + space.join(middle) + space
+            rows.append((10 * i + k, text + space.join(own(around)), "", "", "", 0))
+    frame = spark.createDataFrame(rows, DOCS)
+
+    def longest(a, b):
+        most, last = 0, [0] * (len(b) + 1)
+        for x in a:
+            last = [0] + [last[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+            most = max(most, *last)
+        return most
+
+    def cut(text):
+        return list(text) if "一" <= text[0] <= "鿿" else text.split()
+
+    made = passages.without_passages(frame, out="out").collect()
+    kept = {row.doc_id: cut(row.out.kept) for row in made}
+    for i in range(len(shared)):
+        # The last passage repeats within itself.
+        assert i == 3 or kept[10 * i] == cut(rows[3 * i][1])
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            assert longest(kept[10 * i + a], kept[10 * i + b]) < 20
+        assert min(len(kept[10 * i + k]) for k in (1, 2)) >= 60
+    odd = {r.doc_id: r.out for r in passages.without_passages(docs, out="out").collect()}
+    assert odd[1].kept is None and odd[2].kept == "" and odd[4].kept == ""
+    assert odd[None].kept == "one two three."
+    assert passages.without_passages(docs.limit(0)).count() == 0
+
+
 def test_language_and_quality(spark, docs):
     rng = random.Random(6)
     english, german = ["the", "house", "with", "green"], ["und", "größe", "straße", "nicht"]

@@ -13,6 +13,7 @@ from tidemark.llm.decontamination import hit_words, is_contaminated, with_contam
 from tidemark.llm.language import fit_language, with_language
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.neighbours import nearest
+from tidemark.llm.passages import without_passages
 from tidemark.llm.quality import fit_quality, with_quality
 from tidemark.llm.repeats import without_repeated_bytes
 from tidemark.llm.secrets import secret_spans
@@ -169,10 +170,7 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without repeated runs of sentences."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = without_repeats(docs, out="_cut")
+def _units_left(cut: DataFrame, units: str) -> DataFrame:
     gone = F.aggregate(
         "_cut.removed",
         F.struct(F.lit(0).alias("n"), F.lit(-1).alias("last")),
@@ -183,12 +181,24 @@ def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return cut.select(
         "doc_id",
-        F.col("_cut.n_sentences").alias("n_sentences"),
+        F.col("_cut.n_sentences").alias(units),
         gone["n"].cast("long").alias("n_removed"),
         F.sha2(F.coalesce("_cut.kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
 
+def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated runs of sentences."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _units_left(without_repeats(docs, out="_cut"), "n_sentences")
+
+
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated passages, in whole sentences or not."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _units_left(without_passages(docs, out="_cut"), "n_units")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -207,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_repeats,
         op10_sentences,
+        op10_passages,
         pipeline,
     )
 }

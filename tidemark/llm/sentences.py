@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import xxhash
@@ -127,6 +127,11 @@ def repeated_spans(
         F.xxhash64(F.col(text)).alias("_text_hash"),
         F.explode(_spans_of(least, words_least)(F.col(text))).alias("_span"),
     ).select("_key", "_text_hash", "_span.*")
+    return later_spans(found)
+
+
+def later_spans(found: DataFrame) -> DataFrame:
+    """The spans (_key, _text_hash, first, last, high, low) that are not the first of their kind."""
     place = F.struct("_key", "_text_hash", "first")
     firsts = found.groupBy("high", "low").agg(
         F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")
@@ -155,6 +160,18 @@ def without_repeats(
     Other columns stay; one named ``out`` is replaced. Whole texts, no cap on repeats.
     """
     removed = repeated_spans(docs, F.col(f"`{key}`"), text, least, words_least)
+    return cut_out(docs, removed, _without, key, text, out)
+
+
+def cut_out(
+    docs: DataFrame,
+    removed: DataFrame,
+    without: Callable[[Column, Column], Column],
+    key: str,
+    text: str,
+    out: str,
+) -> DataFrame:
+    """``docs`` with ``out``: what ``without`` makes of each text and its ``removed`` spans."""
     key_name, hash_name, gone = (free_name(docs, n) for n in ("_key", "_text_hash", "_removed"))
     removed = removed.select(
         F.col("_key").alias(key_name),
@@ -167,7 +184,7 @@ def without_repeats(
         & (F.xxhash64(F.col(f"docs.`{text}`")) == F.col(hash_name)),
         "left",
     )
-    made = _without(F.col(f"docs.`{text}`"), F.col(gone))
+    made = without(F.col(f"docs.`{text}`"), F.col(gone))
     names = [name for name in docs.columns if name.lower() != out.lower()]
     made_name = free_name(docs, "_made")
     rows = rows.select(*[F.col(f"docs.`{name}`") for name in names], gone, made.alias(made_name))
