@@ -19,7 +19,7 @@ from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.simhash import near_groups, with_fingerprint
 
-# A text that every language clearly disclaims is rejected; short or mixed ones stay.
+# A text that every language clearly disclaims is rejected, besides those that none claims.
 LEAST_SCORE = 0.25
 SHARDS = 24
 
@@ -28,11 +28,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the texts that are in one of the languages of the table.
 
     Learned from the stage's own documents with a language. NULL texts, texts without a letter
-    and texts that no language claims go; all other rows stay as they are.
+    and texts that no language claims go (less like the landmarks of their best language than
+    the bound that its own texts give); all other rows stay as they are.
     """
     marked = with_language(docs, fit_language(docs), out=(out := free_name(docs, "_language")))
     good = (F.col(f"{out}.lang") != UNDETERMINED) & (F.col(f"{out}.score") >= LEAST_SCORE)
-    return marked.where(good).drop(out)
+    return marked.where(good & F.col(f"{out}.claimed")).drop(out)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

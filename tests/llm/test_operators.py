@@ -297,6 +297,22 @@ def test_language_and_quality(spark, docs):
     assert {round(r.quality.score, 6) for r in untaught} == {0.5}
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    rng = random.Random(10)
+    english = "the house with green of and that this people water light morning could".split()
+    german = "und größe straße nicht der die das wasser leute morgen licht könnte haus".split()
+    rows = [
+        (i, random_text(rng, (english, german)[i % 2], 40) + " x", ("en", "de")[i % 2], "s", "", 0)
+        for i in range(200)
+    ]
+    consonants = " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(60))
+    strange = ["Это простой текст на русском языке о погоде", "这是一个简单的中文文本", consonants]
+    rows += [(1000 + i, text, None, "s", "", 0) for i, text in enumerate(strange)]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, DOCS), "").collect()
+    ids = {row.doc_id for row in kept}
+    assert not ids & {1000, 1001, 1002} and len(ids) >= 195
+
+
 def test_nearest_recalls_nine_tenths(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(900, 24))

@@ -10,7 +10,14 @@ import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tidemark.llm.common import first_by_hash, free_name, texts
 
@@ -24,11 +31,21 @@ LANGUAGES = 256
 TEXTS = 400
 LANDMARKS = 48
 RIDGE = 1e-2
+# A text is claimed by its language if it is at least LEAST_SHARE as like its landmarks as all but
+# the QUANTILE least like texts of the sample are.
+QUANTILE = 0.01
+LEAST_SHARE = 0.85
 # Presence rows multiplied at once, and characters looked at in one piece.
 ROWS = 128
 PIECE = 1 << 18
 
-PREDICTION = StructType([StructField("lang", StringType()), StructField("score", DoubleType())])
+PREDICTION = StructType(
+    [
+        StructField("lang", StringType()),
+        StructField("score", DoubleType()),
+        StructField("claimed", BooleanType()),
+    ]
+)
 
 
 @dataclass
@@ -36,6 +53,8 @@ class LanguageModel:
     languages: list[str]
     landmarks: np.ndarray  # DIMENSIONS x landmarks, presence over the root of its size
     weights: np.ndarray  # landmarks x languages
+    usual: np.ndarray  # DIMENSIONS x languages, share of the language's landmarks with the n-gram
+    bounds: np.ndarray  # languages, the least likeness that is claimed
 
 
 def presence(text: str | None) -> np.ndarray | None:
@@ -90,7 +109,8 @@ def trained(samples: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS) -
     for lang in languages:
         chosen += [seen for name, seen in samples if name == lang][:landmarks]
     if not languages:
-        return LanguageModel([], np.zeros((DIMENSIONS, 0), np.float32), np.zeros((0, 0), np.float32))
+        none = np.zeros((DIMENSIONS, 0), np.float32)
+        return LanguageModel([], none, np.zeros((0, 0), np.float32), none, np.zeros(0))
 
     def normal(rows: list[np.ndarray]) -> np.ndarray:
         stacked = np.stack(rows).astype(np.float32)
@@ -109,13 +129,36 @@ def trained(samples: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS) -
     inner = (columns.T @ columns).astype(np.float64)
     left = kernel.T @ (kernel * share) + RIDGE * inner + 1e-6 * np.eye(len(inner))
     weights = np.linalg.solve(left, kernel.T @ (wanted * share))
-    return LanguageModel(languages, columns, weights.astype(np.float32))
+    learned = [[seen for name, seen in samples if name == lang] for lang in languages]
+    usual = np.stack([np.mean(seen[:landmarks], axis=0) for seen in learned], axis=1)
+    bounds = np.array([_bound(seen, landmarks) for seen in learned])
+    return LanguageModel(
+        languages, columns, weights.astype(np.float32), usual.astype(np.float32), bounds
+    )
 
 
-def predicted(batch: list[str | None], model: LanguageModel) -> list[tuple[str, float]]:
-    """(language, score) of texts: the language of the largest regression value, which maps
-    from [-1, 1] to the score; `und` and 0 without a letter or a model."""
-    out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(batch)
+def _bound(samples: list[np.ndarray], landmarks: int) -> float:
+    """The least likeness that a language claims, from the likeness of its own ``samples``.
+
+    A text's likeness is the mean, over its n-grams, of the share of the landmarks that have
+    it; a landmark's own copy does not count. One text alone gives no bound.
+    """
+    chosen = samples[:landmarks]
+    if len(samples) < 2 or len(chosen) < 2:
+        return 0.0
+    counts = np.sum(chosen, axis=0, dtype=np.float64)
+    found = []
+    for i, seen in enumerate(samples):
+        itself = i < len(chosen)
+        found.append((counts[seen].mean() - itself) / (len(chosen) - itself))
+    return LEAST_SHARE * float(np.quantile(found, QUANTILE))
+
+
+def predicted(batch: list[str | None], model: LanguageModel) -> list[tuple[str, float, bool]]:
+    """(language, score, claimed) of texts: the language of the largest regression value, which
+    maps from [-1, 1] to the score, and whether the text is as like that language's landmarks as
+    its bound asks; `und`, 0 and False without a letter or a model."""
+    out: list[tuple[str, float, bool]] = [(UNDETERMINED, 0.0, False)] * len(batch)
     if not model.languages:
         return out
     for start in range(0, len(batch), ROWS):
@@ -128,8 +171,10 @@ def predicted(batch: list[str | None], model: LanguageModel) -> list[tuple[str,
         values = ((rows @ model.landmarks) / sizes) @ model.weights
         best = values.argmax(axis=1)
         scores = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
-        for i, k, score in zip(at, best, scores):
-            out[start + i] = (model.languages[k], float(score))
+        likeness = (rows @ model.usual)[np.arange(len(at)), best] / sizes[:, 0] ** 2
+        claimed = likeness >= model.bounds[best]
+        for i, k, score, own in zip(at, best, scores, claimed):
+            out[start + i] = (model.languages[k], float(score), bool(own))
     return out
 
 
@@ -176,9 +221,10 @@ def fit_language(
 def with_language(
     docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "language"
 ) -> DataFrame:
-    """``docs`` with ``out``: struct of lang and score (0 to 1), from the whole text alone.
+    """``docs`` with ``out``: struct of lang, score (0 to 1) and claimed (the text is as like that
+    language as nearly all of its sample), from the whole text alone.
 
-    A NULL text, or one without a letter, is ``und`` with score 0. Other columns stay; one
+    A NULL text, or one without a letter, is ``und`` with score 0, and not claimed. Other columns stay; one
     named ``out`` is replaced. Equal texts get equal answers. No shuffle.
     """
     shared: Broadcast = docs.sparkSession.sparkContext.broadcast(model)
