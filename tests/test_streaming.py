@@ -8,6 +8,7 @@ from conftest import START, rows
 from tidemark.plans.jobs import BATSMEN, DELIVERIES
 from tidemark.sources import read_metrics, read_runs, read_serving, read_snapshots
 from tidemark.streaming import ingest
+from workload import tables
 
 HEADER = "match_id,inning,over,batter,total_runs"
 
@@ -134,3 +135,16 @@ def test_backlog_can_be_split_into_runs(spark, landing, layout, tmp_path):
     assert rows(table.groupBy("partition_name").count()) == [
         ("deliveries_0", 2), ("deliveries_1", 2), ("deliveries_2", 2),
     ]
+
+
+def test_streams_take_events_of_every_type(spark, tmp_path):
+    kinds = ["a", None, "b", "c", None]
+    events = [(i, i % 2, kinds[i % 5], 1.0) for i in range(20)]
+    schema = "event_id long, user_id long, event_type string, value double"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    totals = tables.stream_per_type(spark, str(tmp_path))
+    assert totals.count() == 20
+    kept = {(r.event_type, r.user_id): r.user_cents for r in totals.collect()}
+    assert kept["a", 0] == 200 and kept[None, 0] == 400 and len(kept) == 8
+    archived = tables.stream_archived_types(spark, str(tmp_path))
+    assert sorted(r.event_id for r in archived.collect()) == list(range(20))

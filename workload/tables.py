@@ -237,6 +237,51 @@ def stream_archived_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.schema(schema).csv(layout.archive)
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return given(spark, sf_dir, "events").select(
+        "event_id",
+        "user_id",
+        "event_type",
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+    )
+
+
+def _land_types(events: DataFrame, landing: str) -> None:
+    """Land all events, each type (NULL too) as one file; there are few types."""
+    for (kind,) in events.select("event_type").distinct().collect():
+        land(events.where(F.col("event_type").eqNullSafe(F.lit(kind))).coalesce(1), landing)
+
+
+def stream_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in one run, a file for each type; totals stay within a file."""
+    root = new_folder(spark, "stream_per_type")
+    layout, landing = Layout.below(root), f"{root}/files"
+    _land_types(_events(spark, sf_dir), landing)
+    job = changed(EVENTS_JOB, total=GroupTotal(("user_id",), "cents", "user_cents"))
+    ingest(
+        spark, job, landing, layout, f"{root}/checkpoint", clock=lambda: RUN_START
+    ).awaitTermination()
+    return read_serving(spark, layout.table("events"))
+
+
+def stream_archived_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archive holds after a run of one more file: all events, from a file of each type."""
+    root = new_folder(spark, "stream_archived_types")
+    layout, landing = Layout.below(root), f"{root}/files"
+    events = _events(spark, sf_dir)
+    for last in (False, True):
+        if last:
+            land(events.limit(1).coalesce(1), landing)
+        else:
+            _land_types(events, landing)
+        ingest(
+            spark, EVENTS_JOB, landing, layout, f"{root}/checkpoint", clock=lambda: RUN_START
+        ).awaitTermination()
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+    schema = "event_id bigint, user_id bigint, event_type string, cents bigint"
+    return reader.schema(schema).csv(layout.archive)
+
+
 def stream_ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starting the stream again without new files changes nothing; no total is taken."""
     root = new_folder(spark, "stream_resumed")
@@ -272,6 +317,8 @@ QUERIES = {
     "stream_ingest_resumed": stream_ingest_resumed,
     "stream_per_file": stream_per_file,
     "stream_archived_input": stream_archived_input,
+    "stream_per_type": stream_per_type,
+    "stream_archived_types": stream_archived_types,
 }
 
 ORACLE = {
@@ -359,6 +406,16 @@ ORACLE = {
     "stream_archived_input": """
         SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents
         FROM events WHERE event_type = (SELECT min(event_type) FROM events)""",
+    "stream_per_type": """
+        WITH rows AS (
+            SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents
+            FROM events)
+        SELECT *, CAST(sum(cents) OVER (PARTITION BY event_type, user_id) AS BIGINT) AS user_cents,
+               'events_0' AS partition_name
+        FROM rows""",
+    "stream_archived_types": """
+        SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents
+        FROM events""",
     "stream_ingest_resumed": """
         SELECT o_orderkey, o_custkey, o_orderpriority, 'orders_0' AS partition_name FROM orders""",
 }
