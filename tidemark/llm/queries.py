@@ -18,6 +18,7 @@ from tidemark.llm.quality import fit_quality, with_quality
 from tidemark.llm.repeats import without_repeated_bytes
 from tidemark.llm.secrets import secret_spans
 from tidemark.llm.sentences import SENTENCES, WORDS, without_repeats
+from tidemark.llm.setsketch import with_near_group
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.simhash import near_groups, with_fingerprint
 from tidemark.llm.common import kept
@@ -199,6 +200,18 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _units_left(without_passages(docs, out="_cut"), "n_units")
 
 
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document by the similarity of its pairs of words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    near = with_near_group(docs, out="_near")
+    return near.select(
+        "doc_id",
+        F.col("_near.n").alias("n_shingles"),
+        F.col("_near.group").alias("component_id"),
+        F.col("doc_id").eqNullSafe(F.col("_near.group")).alias("kept"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -218,6 +231,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeats,
         op10_sentences,
         op10_passages,
+        op13_setsketch,
         pipeline,
     )
 }
