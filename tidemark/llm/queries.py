@@ -14,6 +14,7 @@ from tidemark.llm.language import fit_language, with_language
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.neighbours import nearest
 from tidemark.llm.passages import without_passages
+from tidemark.llm.phrases import collocations
 from tidemark.llm.quality import fit_quality, with_quality
 from tidemark.llm.repeats import without_repeated_bytes
 from tidemark.llm.secrets import secret_spans
@@ -200,6 +201,11 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _units_left(without_passages(docs, out="_cut"), "n_units")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document by the similarity of its pairs of words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -231,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeats,
         op10_sentences,
         op10_passages,
+        op11_phrases,
         op13_setsketch,
         pipeline,
     )
@@ -306,5 +313,43 @@ SELECT d.doc_id, count(c.i) AS n_sentences, count(g.i) AS n_removed,
   sha256(coalesce(string_agg(c.raw, '' ORDER BY c.i) FILTER (g.i IS NULL), '')) AS kept_sha256
 FROM docs AS d LEFT JOIN cut AS c ON c.row = d.row LEFT JOIN gone AS g ON g.row = c.row AND g.i = c.i
 GROUP BY d.row, d.doc_id
+""",
+    "op11_phrases": rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), f AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS n
+  FROM cut, (SELECT unnest(range(1, 6)) AS k), unnest(range(1, len(w) - k + 2)) AS t(i)
+  WHERE len(w) >= k GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(n) AS BIGINT) AS total FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS w, n AS a FROM f WHERE k > 1 AND n >= 100
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, t.total, c.k, i, x.n AS l, y.n AS r,
+    (1000::HUGEINT * c.a * t.total) // (x.n::HUGEINT * y.n) AS score
+  FROM candidates AS c, unnest(range(1, c.k)) AS u(i)
+    JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, i), ' ')
+    JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, i + 1, c.k), ' ')
+    JOIN totals AS t ON t.lang = c.lang
+), scored AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), inner_ones AS (
+  SELECT DISTINCT c.lang, array_to_string(list_slice(c.w, i, i + s - 1), ' ') AS phrase, c.a
+  FROM candidates AS c, (SELECT unnest(range(2, 5)) AS s), unnest(range(1, c.k - s + 2)) AS t(i)
+  WHERE s < c.k
+), free AS (
+  SELECT * FROM scored AS s WHERE NOT EXISTS (
+    SELECT 1 FROM inner_ones AS i
+    WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.a >= 100 * s.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, total AS n, CAST(score AS BIGINT) AS score
+FROM free QUALIFY rank <= 2000
 """,
 }
