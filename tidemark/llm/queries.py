@@ -12,6 +12,7 @@ from tidemark.llm.common import numbered, table
 from tidemark.llm.decontamination import hit_words, is_contaminated, with_contamination
 from tidemark.llm.language import fit_language, with_language
 from tidemark.llm.mixing import mix, word_count
+from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.neighbours import nearest
 from tidemark.llm.passages import without_passages
 from tidemark.llm.phrases import collocations
@@ -206,6 +207,13 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document by the similarity of its pairs of words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -238,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_sentences,
         op10_passages,
         op11_phrases,
+        op12_negatives,
         op13_setsketch,
         pipeline,
     )
@@ -351,5 +360,27 @@ WITH pieces AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
   phrase, a, l, r, total AS n, CAST(score AS BIGINT) AS score
 FROM free QUALIFY rank <= 2000
+""",
+    "op12_negatives": """
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows AS a JOIN rows AS b ON a.id % 100 = 0 AND a.id <> b.id
+), positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER)
+    AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives AS p JOIN scored AS n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
 """,
 }
