@@ -6,11 +6,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import phrases, tokens
-from tidemark.llm.phrases import PhraseTrie, collocations
+from tidemark.llm.phrases import PhraseTrie, collocations, summed
 
 ROWS = "lang string, text string, n string, phrase int, words int"
 
@@ -63,7 +64,7 @@ def test_equals_brute_force(spark, monkeypatch, held, best):
     """Also with spills after a few phrases and with tiny containers."""
     rng = random.Random(4)
     if held < 100:
-        monkeypatch.setattr(phrases, "BURST", 2)
+        monkeypatch.setattr(phrases, "BURST", 8)
         monkeypatch.setattr(tokens, "SLICE", 200)
     rows = [(rng.choice(["en", "fr", None, ""]), text, "n", 1, 2) for text in sample(rng, 300)]
     rows += [("en", None, None, None, None), ("xx", "", "n", 1, 1), (None, None, None, 0, 0)]
@@ -83,21 +84,30 @@ def test_empty_tables(spark):
 
 
 def test_trie_bursts_spills_and_keeps_counts():
-    rng = random.Random(8)
+    rng = np.random.default_rng(8)
     for words in (1, 2, 3, 5):
-        trie, expected, spilled = PhraseTrie(words, burst=3, held=50), Counter(), Counter()
-        for _ in range(3000):
-            phrase = b" ".join(rng.choices([b"a", b"b", b"c", b"d", b"\xc3\xa9"], k=words))
-            expected[phrase] += 2
-            trie.add(phrase, 2)
-            if trie.full():
-                run = trie.spilled(25)
-                assert run == sorted(run) and trie.size <= 25
-                spilled.update(dict(run))
-        run = trie.spilled()
-        assert run == sorted(run) and trie.size == 0
-        spilled.update(dict(run))
-        assert spilled == expected
+        trie, expected, spilled = PhraseTrie(words, burst=16), Counter(), Counter()
+
+        def take(least):
+            for rows, counts in trie.spilled(least):
+                for row, n in zip(rows.tolist(), counts.tolist()):
+                    spilled[tuple(row)] += n
+
+        for _ in range(60):
+            rows = rng.integers(0, 6, (40, words)).astype(np.int32)
+            # Hashes that meet are told apart by the words.
+            hashes = (rows.sum(axis=1) % 7).astype(np.uint64)
+            counts = np.full(40, 2, dtype=np.int64)
+            trie.add(*summed(hashes, rows, counts))
+            for row in rows.tolist():
+                expected[tuple(row)] += 2
+            if trie.size > 200:
+                take(50)
+                assert trie.size <= 50
+        assert len(trie.containers) > 1 or words == 1
+        assert (np.diff(trie.starts.astype(float)) > 0).all()
+        take(0)
+        assert spilled == expected and trie.size == 0
 
 
 def test_a_full_filter_only_lets_more_through(spark, monkeypatch):

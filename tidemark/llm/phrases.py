@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,11 +22,10 @@ LONGEST = 5
 LEAST = 100
 BEST = 2000
 NO_LANGUAGE = "und"
-# A container with more phrases bursts into one for every next word, down to DEPTH words.
-BURST = 4096
-DEPTH = 2
-# Phrases that the trie of a task holds before its largest subtrees are spilled.
-HELD = 400_000
+# A container with more phrases bursts into two. Phrases that the tries of a task hold before their
+# largest subtrees are spilled.
+BURST = 1 << 16
+HELD = 1_500_000
 # Bits of the filter of frequent phrases, in slices that are made side by side.
 FILTER_BITS = 26
 SLICE_BITS = 16
@@ -33,83 +33,141 @@ SLICE_BITS = 16
 RUN = "lang string, phrase string, n long"
 
 
-class Node:
-    """A word's node of the trie: children by next word, each a node or a container."""
-
-    __slots__ = ("children",)
+class Vocabulary:
+    """Numbers of the words that a task has met, told apart by their 64-bit hashes."""
 
     def __init__(self) -> None:
-        self.children: dict[bytes, Node | dict[bytes, int]] = {}
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.ids = np.zeros(0, dtype=np.int32)
+        self.words: list[bytes] = []
+
+    def numbers(self, cut: Words) -> np.ndarray:
+        found, first, inverse = np.unique(cut.hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, found)
+        known = np.zeros(len(found), dtype=bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == found[inside]
+        new = first[~known]
+        ids = np.arange(len(self.words), len(self.words) + len(new), dtype=np.int32)
+        data, starts, ends = cut.data.tobytes(), cut.starts[new].tolist(), cut.ends[new].tolist()
+        self.words += [data[s:e] for s, e in zip(starts, ends)]
+        self.hashes = np.insert(self.hashes, place[~known], found[~known])
+        self.ids = np.insert(self.ids, place[~known], ids)
+        return self.ids[np.searchsorted(self.hashes, found)][inverse]
+
+
+class Container:
+    """Phrases of one range of prefixes: word numbers and counts by the hash of the phrase."""
+
+    __slots__ = ("hashes", "words", "counts", "added", "waiting")
+
+    def __init__(self, hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
+        self.hashes, self.words, self.counts = hashes, words, counts
+        self.added: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
+        self.added.append((hashes, words, counts))
+        self.waiting += len(hashes)
+
+    def merge(self) -> None:
+        if self.waiting:
+            parts = [(self.hashes, self.words, self.counts), *self.added]
+            self.hashes, self.words, self.counts = summed(*map(np.concatenate, zip(*parts)))
+            self.added, self.waiting = [], 0
+
+
+def summed(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple:
+    """Each phrase once, with its count. Phrases of one hash are told apart by their words."""
+    order = np.argsort(hashes, kind="stable")
+    same = np.diff(hashes[order]) == 0
+    if np.any(same & (words[order[1:]] != words[order[:-1]]).any(axis=1)):
+        order = np.lexsort((*words.T, hashes))
+        same = np.diff(hashes[order]) == 0
+    hashes, words, counts = hashes[order], words[order], counts[order]
+    same &= (words[1:] == words[:-1]).all(axis=1)
+    heads = np.flatnonzero(np.append(True, ~same)[: len(hashes)])
+    if not len(heads):
+        return hashes, words, counts
+    return hashes[heads], words[heads], np.add.reduceat(counts, heads)
 
 
 class PhraseTrie:
-    """Counts of phrases of ``words`` words.
+    """Counts of phrases of ``words`` words, given by their numbers.
 
-    The upper levels are nodes with a child for each word; below, containers map the rest of a
-    phrase to its count by hash. A container that grows beyond ``burst`` becomes a node of smaller
-    containers. Beyond ``held`` phrases, the largest subtrees below the root leave as sorted runs.
+    The trie is shallow: it goes over the first two words of a phrase and is kept as the sorted
+    starts of its ranges of prefixes. Below each is a container that maps the phrases of the range
+    to their counts by hash. A container that grows beyond ``burst`` bursts into two at its middle
+    prefix, down to a single one. The largest containers can be taken out as runs.
     """
 
-    def __init__(self, words: int, burst: int = BURST, held: int = HELD) -> None:
-        self.depth, self.burst, self.held = min(words - 1, DEPTH), burst, held
-        self.root: Node | dict[bytes, int] = {}
+    def __init__(self, words: int, burst: int = BURST) -> None:
+        self.words, self.burst = words, burst
+        self.starts = np.zeros(1, dtype=np.uint64)
+        self.containers = [self._empty()]
         self.size = 0
 
-    def add(self, phrase: bytes, count: int) -> None:
-        parent, word, place, rest, depth = None, b"", self.root, phrase, 0
-        while type(place) is Node:
-            word, _, rest = rest.partition(b" ")
-            parent, depth = place, depth + 1
-            place = parent.children.get(word)
-            if place is None:
-                place = parent.children[word] = {}
-        before = len(place)
-        place[rest] = place.get(rest, 0) + count
-        if len(place) > before:
-            self.size += 1
-            if len(place) > self.burst and depth < self.depth:
-                node = self._burst(place)
-                if parent is None:
-                    self.root = node
-                else:
-                    parent.children[word] = node
-
-    def _burst(self, container: dict[bytes, int]) -> Node:
-        node = Node()
-        for rest, count in container.items():
-            word, _, rest = rest.partition(b" ")
-            node.children.setdefault(word, {})[rest] = count
-        return node
-
-    def full(self) -> bool:
-        return self.size > self.held
-
-    def spilled(self, least: int = 0) -> list[tuple[bytes, int]]:
-        """Take the largest subtrees out until no more than ``least`` phrases are left: (phrase,
-        count) of all of them, in the order of the phrases."""
-        out: list[tuple[bytes, int]] = []
-        if type(self.root) is dict:
-            out, self.root = list(self.root.items()), {}
-        else:
-            sizes = {word: _size(child) for word, child in self.root.children.items()}
-            for word in sorted(sizes, key=sizes.get, reverse=True):
-                if self.size - len(out) <= least:
-                    break
-                _walk(self.root.children.pop(word), word, out)
-        self.size -= len(out)
-        return sorted(out)
-
-
-def _size(place) -> int:
-    return len(place) if type(place) is dict else sum(map(_size, place.children.values()))
-
-
-def _walk(place, prefix: bytes, out: list[tuple[bytes, int]]) -> None:
-    if type(place) is dict:
-        out += [(prefix + b" " + rest, count) for rest, count in place.items()]
-        return
-    for word, child in place.children.items():
-        _walk(child, prefix + b" " + word, out)
+    def _empty(self) -> Container:
+        words = np.zeros((0, self.words), dtype=np.int32)
+        return Container(np.zeros(0, np.uint64), words, np.zeros(0, np.int64))
+
+    def _prefix(self, words: np.ndarray) -> np.ndarray:
+        first = words[:, 0].astype(np.uint64) << np.uint64(32)
+        return first | words[:, 1].astype(np.uint64) if self.words > 1 else first
+
+    def add(self, hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
+        prefix = self._prefix(words)
+        order = np.argsort(prefix, kind="stable")
+        ends = np.searchsorted(prefix[order], self.starts[1:])
+        places = np.split(order, ends)
+        for k in range(len(self.containers) - 1, -1, -1):
+            at, own = places[k], self.containers[k]
+            if not len(at):
+                continue
+            before = len(own.hashes) + own.waiting
+            own.add(hashes[at], words[at], counts[at])
+            if own.waiting > max(len(own.hashes), self.burst // 8):
+                own.merge()
+                if len(own.hashes) > self.burst:
+                    self._burst(k)
+            self.size += sum(len(c.hashes) + c.waiting for c in self._of(own, k)) - before
+
+    def _of(self, own: Container, k: int) -> list[Container]:
+        """``own`` at place ``k``, or the two that it has burst into."""
+        return [own] if self.containers[k] is own else self.containers[k : k + 2]
+
+    def _burst(self, k: int) -> None:
+        own = self.containers[k]
+        prefix = self._prefix(own.words)
+        middle = np.partition(prefix, len(prefix) // 2)[len(prefix) // 2]
+        if middle == prefix.min():
+            above = prefix[prefix > middle]
+            if not len(above):
+                return
+            middle = above.min()
+        parts = [
+            Container(own.hashes[at], own.words[at], own.counts[at])
+            for at in (prefix < middle, prefix >= middle)
+        ]
+        self.containers[k : k + 1] = parts
+        self.starts = np.insert(self.starts, k + 1, middle)
+
+    def merge(self) -> None:
+        for own in self.containers:
+            own.merge()
+        self.size = sum(len(own.hashes) for own in self.containers)
+
+    def spilled(self, least: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Take out the largest subtrees until no more than ``least`` phrases are left: the words
+        and counts of each."""
+        self.merge()
+        sizes = [len(own.hashes) for own in self.containers]
+        for k in np.argsort(sizes)[::-1]:
+            if self.size <= least:
+                break
+            own, self.containers[k] = self.containers[k], self._empty()
+            self.size -= len(own.hashes)
+            yield own.words, own.counts
 
 
 def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,63 +186,44 @@ def _language_keys(langs: list[str]) -> np.ndarray:
     return out
 
 
-def _joined(cut: Words, first: np.ndarray, count: int) -> list[bytes]:
-    """The phrases of ``count`` words from the words ``first`` on, one space between words."""
-    data, starts, ends = cut.data.tobytes(), cut.starts, cut.ends
-    begin, end = starts[first], ends[first + count - 1]
-    sizes = sum(ends[first + i] - starts[first + i] for i in range(count)) + count - 1
-    plain = (end - begin) == sizes
-    out = []
-    for i, b, e, whole in zip(first.tolist(), begin.tolist(), end.tolist(), plain.tolist()):
-        if whole:
-            out.append(data[b:e])
-        else:
-            out.append(b" ".join(data[starts[j] : ends[j]] for j in range(i, i + count)))
-    return out
-
-
 def phrase_counts(
-    langs: list[str], values: list[bytes], count: int, frequent: np.ndarray | None
-) -> Iterator[tuple[str, bytes, int]]:
-    """(language, phrase, occurrences) of the phrases of ``count`` words in some texts, of each
+    langs: list[str],
+    values: list[bytes],
+    count: int,
+    frequent: np.ndarray | None,
+    vocabulary: Vocabulary,
+) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """(language, hashes, words, counts) of the phrases of ``count`` words in some texts, of each
     slice of texts on its own. A phrase whose first or last ``count`` - 1 words are not in the
     filter ``frequent`` is left out."""
     names = sorted(set(langs))
-    own_keys = dict(zip(names, _language_keys(names)))
+    keys = _language_keys(names)
+    number = {name: k for k, name in enumerate(names)}
+    marks = np.zeros(256, dtype=bool)
+    marks[list(MARKS)] = True
     for begin, part in slices(values):
         cut = words_of(part, SPACE)
-        other = words_of(part, SPACE, seed=2).hashes
-        numbers = np.array([names.index(lang) for lang in langs[begin : begin + len(part)]])
-        keys = np.array([own_keys[name] for name in names], dtype=np.uint64)
-        lang = numbers[cut.texts]
         most = len(cut.starts) - count + 1
         if most <= 0:
             continue
+        lang = np.array([number[name] for name in langs[begin : begin + len(part)]])[cut.texts]
         # Words of one piece have no mark between them, and texts are joined by a mark.
-        marks = np.zeros(256, dtype=bool)
-        marks[list(MARKS)] = True
-        lower = np.cumsum(marks[np.frombuffer(b"\n".join(part), np.uint8)])
-        piece = lower[cut.starts]
+        piece = np.cumsum(marks[np.frombuffer(b"\n".join(part), np.uint8)])[cut.starts]
         whole = piece[:most] == piece[count - 1 :]
         if frequent is not None:
-            shorter = runs(cut.hashes, count - 1, keys[lang])
-            a, b = _bits(shorter)
+            a, b = _bits(runs(cut.hashes, count - 1, keys[lang]))
             known = _set_at(frequent, a) & _set_at(frequent, b)
             whole &= known[:most] & known[1 : most + 1]
         at = np.flatnonzero(whole)
-        # Two independent hashes: phrases are taken for one if 128 bits agree.
-        first = runs(cut.hashes, count, keys[lang])[at]
-        second = runs(other, count, keys[lang])[at]
-        order = np.argsort(first, kind="stable")
-        if np.any((np.diff(first[order]) == 0) & (np.diff(second[order]) != 0)):
-            order = np.lexsort((second, first))
-        first, second = first[order], second[order]
-        changes = np.append(True, (np.diff(first) != 0) | (np.diff(second) != 0))
-        heads = np.flatnonzero(changes[: len(first)])
-        amounts = np.diff(np.append(heads, len(first)))
-        one = at[order[heads]]
-        for k, phrase, n in zip(lang[one].tolist(), _joined(cut, one, count), amounts.tolist()):
-            yield names[k], phrase, n
+        if not len(at):
+            continue
+        hashes = runs(cut.hashes, count)[at]
+        ids = vocabulary.numbers(cut)
+        words = np.stack([ids[at + i] for i in range(count)], axis=1)
+        for k in np.unique(lang[at]):
+            own = lang[at] == k
+            ones = np.ones(int(own.sum()), dtype=np.int64)
+            yield names[k], *summed(hashes[own], words[own], ones)
 
 
 def _set_at(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -194,33 +233,35 @@ def _set_at(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 def _counter(count: int, held: int, shared: Broadcast | None):
     def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = None if shared is None else np.frombuffer(shared.value, np.uint8)
+        vocabulary = Vocabulary()
         tries: dict[str, PhraseTrie] = {}
 
         def run(lang: str, least: int) -> Iterator[pa.RecordBatch]:
-            entries = tries[lang].spilled(least)
-            for start in range(0, len(entries), 20_000):
-                part = entries[start : start + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), pa.string()),
-                        pa.array([phrase for phrase, _ in part], pa.binary()).cast(pa.string()),
-                        pa.array([n for _, n in part], pa.int64()),
-                    ],
-                    names=["lang", "phrase", "n"],
-                )
+            known = pa.array(vocabulary.words, pa.large_binary())
+            for words, counts in tries[lang].spilled(least):
+                for start in range(0, len(words), BURST):
+                    part = slice(start, start + BURST)
+                    columns = [known.take(pa.array(column)) for column in words[part].T]
+                    phrases = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))
+                    order = pc.sort_indices(phrases)
+                    rows = [
+                        pa.repeat(pa.scalar(lang, pa.string()), len(phrases)),
+                        phrases.take(order).cast(pa.large_string()).cast(pa.string()),
+                        pa.array(counts[part], pa.int64()).take(order),
+                    ]
+                    yield pa.RecordBatch.from_arrays(rows, names=["lang", "phrase", "n"])
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
             values = [v or b"" for v in batch.column(1).cast(pa.binary()).to_pylist()]
-            for lang, phrase, n in phrase_counts(langs, values, count, frequent):
-                own = tries.get(lang)
-                if own is None:
-                    own = tries[lang] = PhraseTrie(count)
-                before = own.size
-                own.add(phrase, n)
-                if own.size > before and sum(t.size for t in tries.values()) > held:
-                    largest = max(tries, key=lambda name: tries[name].size)
-                    yield from run(largest, tries[largest].size // 2)
+            for lang, *found in phrase_counts(langs, values, count, frequent, vocabulary):
+                tries.setdefault(lang, PhraseTrie(count)).add(*found)
+                if sum(own.size for own in tries.values()) > held:
+                    for own in tries.values():
+                        own.merge()
+                    while sum(own.size for own in tries.values()) > held // 2:
+                        largest = max(tries, key=lambda name: tries[name].size)
+                        yield from run(largest, tries[largest].size // 2)
         for lang in tries:
             yield from run(lang, 0)
 

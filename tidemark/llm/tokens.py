@@ -9,7 +9,7 @@ from functools import cache
 import numpy as np
 
 # Bytes of text handled at once; a longer text is handled alone.
-SLICE = 1 << 22
+SLICE = 1 << 19
 MASK = (1 << 64) - 1
 
 
