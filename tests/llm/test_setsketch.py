@@ -93,7 +93,8 @@ def test_a_bucket_of_unlinked_sets_goes_on_until_all_leaders_are_done(spark, mon
         words = [w if rng.random() < 0.85 else f"y{k}-{i}" for i, w in enumerate(base)]
         texts += [" ".join(words), " ".join(words[:-3])]
     rows = list(enumerate(texts))
-    monkeypatch.setattr(setsketch, "WIDER", 1)
+    monkeypatch.setattr(setsketch, "LEADERS", 1)
+    monkeypatch.setattr(setsketch, "WIDER", 2)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     grouped = setsketch.with_near_group(docs).collect()
     found = sorted(((r["doc_id"], r["near"]["n"], r["near"]["group"]) for r in grouped), key=str)

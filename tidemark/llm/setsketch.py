@@ -29,7 +29,8 @@ REGISTERS = BAND * BANDS
 NATS = 20.0
 GRID = 101
 # Leaders of a bucket in the first round; every round has WIDER times as many.
-WIDER = 8
+LEADERS = 4
+WIDER = 16
 
 SKETCH = StructType(
     [
@@ -152,30 +153,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * shared >= percent * union).select("_a", "_b").distinct()
 
 
-def near_links(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """Links (_a, _b) between the different sets of ``reps`` (stored; _id, _n, _registers, _key,
-    _hash): as many as connect all sets that share a band and are ``percent`` alike.
+def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """_node, _root for the sets of ``reps`` (stored; _id, _n, _registers, _key, _hash) that are
+    connected to a smaller one, over links of sets that share a band and are ``percent`` alike.
 
     Members of a bucket are not compared all with all. In every round some leaders of a bucket are
     compared with those of its members that are not yet connected to them; then the leaders are
     done with, and a bucket whose members are all connected is, too. A bucket of near copies takes
     one or two rounds. Only buckets of sets that are alike in a band, but not linked, go on, with
     WIDER times as many leaders each round. A hot bucket is the large side of a join whose other
-    side has its leaders, so adaptive execution splits it.
+    side has its leaders, so adaptive execution splits it. A round's links connect the roots of the
+    rounds before, so only they are looked at again.
     """
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda k: F.xxhash64(k, F.substring(F.col("_registers"), k * BAND + 1, F.lit(BAND))),
     )
     members = reps.select("_id", F.col("_id").alias("_root"), F.explode(bands).alias("_bucket"))
-    links = refuted = None
-    leaders, turn = 1, 0
+    roots = refuted = None
+    leaders, turn = LEADERS, 0
     while True:
-        mixed_up = members.groupBy("_bucket").agg(
+        apart = members.groupBy("_bucket").agg(
             F.min("_root").alias("_first"), F.max("_root").alias("_last")
         )
-        mixed_up = mixed_up.where("_first < _last").select("_bucket")
-        members = kept(members.join(mixed_up, "_bucket"), "members")
+        apart = apart.where("_first < _last").select("_bucket")
+        members = kept(members.join(apart, "_bucket"), "members")
         if members.isEmpty():
             break
         order = Window.partitionBy("_bucket").orderBy(F.xxhash64("_id", F.lit(turn)), "_id")
@@ -202,19 +204,28 @@ def near_links(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: i
         pairs = kept(pairs, "pairs")
         found = kept(_verified(pairs, _sets(pairs, reps, docs, key, text), percent), "found")
         lost = pairs.join(found, ["_a", "_b"], "left_anti")
-        refuted = lost if refuted is None else kept(refuted.unionByName(lost), "refuted")
-        links = found if links is None else kept(links.unionByName(found), "found")
-        roots = components(links)
-        members = (
-            members.drop("_root")
-            .join(first.select("_bucket", "_id"), ["_bucket", "_id"], "left_anti")
-            .join(roots, F.col("_id") == F.col("_node"), "left")
-            .select("_id", F.coalesce("_root", "_id").alias("_root"), "_bucket")
-        )
+        refuted = kept(lost if refuted is None else refuted.unionByName(lost), "refuted")
+        members = members.join(first.select("_bucket", "_id"), ["_bucket", "_id"], "left_anti")
+        if not found.isEmpty():
+            if roots is not None:
+                found = _named(_named(found, "_a", roots), "_b", roots)
+            newer = components(found)
+            if roots is not None:
+                older = _named(roots, "_root", newer.toDF("_from", "_to"))
+                newer = older.select("_node", "_root").unionByName(newer)
+            roots = kept(newer, "roots")
+            members = _named(members, "_root", roots)
         leaders, turn = leaders * WIDER, turn + 1
-    return links if links is not None else reps.select(
-        F.col("_id").alias("_a"), F.col("_id").alias("_b")
-    ).limit(0)
+    if roots is None:
+        return reps.select(F.col("_id").alias("_node"), F.col("_id").alias("_root")).limit(0)
+    return roots
+
+
+def _named(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
+    """``rows`` with every ``column`` that has a root replaced by it."""
+    own = roots.toDF("_from", "_to")
+    found = rows.join(own, F.col(column) == F.col("_from"), "left")
+    return found.withColumn(column, F.coalesce("_to", column)).drop("_from", "_to")
 
 
 def _sets(pairs: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -268,7 +279,7 @@ def with_near_group(
         F.col("_one._key").alias("_key"),
         F.col("_one._hash").alias("_hash"),
     )
-    roots = components(near_links(reps, docs, key, text, percent))
+    roots = near_roots(reps, docs, key, text, percent)
     named = sets.join(roots, F.col(number) == F.col("_node"), "left").select(
         "high", "low", "_least", F.coalesce("_root", number).alias("_root")
     )
