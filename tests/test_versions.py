@@ -1,0 +1,176 @@
+"""Tables of versions, row deletes by file rewrite, and totals kept across runs."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark import versions
+from tidemark.plans.totals import RunningTotals
+from tidemark.versions import VersionConflict, VersionedTable
+
+SCHEMA = "k bigint, v string"
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return VersionedTable(spark, str(tmp_path / "t"))
+
+
+def frame(spark, *values, schema=SCHEMA):
+    return spark.createDataFrame(list(values), schema).coalesce(1)
+
+
+def test_versions_stay_readable(spark, table):
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.append(frame(spark, (1, "a"), (None, None)), "x") == 1
+    assert table.append(frame(spark, (2, "b")), "y") == 2
+    assert table.replace(frame(spark, (3, "c")), "x") == 3
+    assert rows(table.read()) == [(2, "b"), (3, "c")]
+    assert rows(table.read(2)) == [(1, "a"), (2, "b"), (None, None)]
+    assert rows(table.read(tags=["y"])) == [(2, "b")]
+    assert table.replace(frame(spark), "x") == 4
+    assert rows(table.read()) == [(2, "b")] and table.read().columns == ["k", "v"]
+
+
+def test_an_empty_table_has_its_columns(spark, table):
+    table.append(frame(spark))
+    assert table.read().dtypes == [("k", "bigint"), ("v", "string")] and table.read().count() == 0
+
+
+def test_other_columns_are_refused_and_missing_ones_are_null(spark, table):
+    table.append(frame(spark, (1, "a")))
+    with pytest.raises(ValueError):
+        table.append(frame(spark, (1, "a"), schema="k bigint, w string"))
+    table.append(frame(spark, (2,), schema="k bigint"))
+    assert rows(table.read()) == [(1, "a"), (2, None)]
+
+
+@pytest.mark.parametrize("step", ["_write", "_publish", "rename"])
+def test_a_failure_at_any_step_leaves_the_old_version(spark, table, monkeypatch, step):
+    table.append(frame(spark, (1, "a")), "x")
+
+    def broken(*_):
+        raise OSError("lost")
+
+    if step == "rename":
+        monkeypatch.setattr(versions, "rename_new", broken)
+    else:
+        monkeypatch.setattr(VersionedTable, step, broken)
+    for change in (
+        lambda: table.replace(frame(spark, (2, "b")), "x"),
+        lambda: table.delete(frame(spark, (1, "a")), ["k"]),
+    ):
+        with pytest.raises(OSError):
+            change()
+    monkeypatch.undo()
+    assert table.version() == 1 and rows(table.read()) == [(1, "a")]
+    assert table.replace(frame(spark, (2, "b")), "x") == 2
+    assert rows(table.read()) == [(2, "b")]
+
+
+def test_two_writers_from_one_version_both_count(spark, table, monkeypatch):
+    table.append(frame(spark, (1, "a")), "x")
+    write, other = VersionedTable._write, VersionedTable(spark, table.root)
+
+    def slow(self, df, tag):
+        entries = write(self, df, tag)
+        if self is table and table.version() == 1:
+            other.append(frame(spark, (2, "b")), "y")
+        return entries
+
+    monkeypatch.setattr(VersionedTable, "_write", slow)
+    assert table.append(frame(spark, (3, "c")), "z") == 3
+    assert rows(table.read()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_delete_that_another_writer_overtakes_is_refused(spark, table, monkeypatch):
+    table.append(frame(spark, (1, "a")), "x")
+    write, other = VersionedTable._write, VersionedTable(spark, table.root)
+
+    def slow(self, df, tag):
+        entries = write(self, df, tag)
+        if self is table:
+            other.append(frame(spark, (1, "late")), "y")
+        return entries
+
+    monkeypatch.setattr(VersionedTable, "_write", slow)
+    with pytest.raises(VersionConflict):
+        table.delete(frame(spark, (1, "a")), ["k"])
+    assert rows(table.read()) == [(1, "a"), (1, "late")]
+
+
+def test_a_batch_counts_once(spark, table):
+    for _ in range(2):
+        table.append(frame(spark, (1, "a")), "x", batch="b1")
+    assert table.version() == 1 and table.read().count() == 1
+
+
+def test_delete_rewrites_only_files_with_a_key(spark, table):
+    for k in range(4):
+        table.append(frame(spark, (k, "a"), (k + 10, "b"), (None, "c")), f"run{k}")
+    before = {row["path"] for row in table.entries().where("kind = 'file'").collect()}
+    keys = frame(spark, (1, "z"), (2, "z"), (1, "z"), (None, "z"), (99, "z"))
+    version, rewritten = table.delete(keys, ["k"])
+    assert (version, rewritten) == (5, 2)
+    entries = table.entries().where("kind = 'file'").collect()
+    after = {row["path"] for row in entries}
+    assert len(before & after) == 2
+    assert sorted({row["tag"] for row in entries}) == ["run0", "run1", "run2", "run3"]
+    left = [(k, "a") for k in (0, 3)] + [(k + 10, "b") for k in range(4)] + [(None, "c")] * 4
+    assert sorted(map(tuple, table.read().collect()), key=str) == sorted(left, key=str)
+    assert rows(table.read(tags=["run1"])) == [(11, "b"), (None, "c")]
+    assert table.read(4).count() == 12
+    assert table.delete(frame(spark, (99, "z")), ["k"]) == (5, 0)
+    assert table.expire() == 2
+    assert table.read().count() == 10
+    files = [p for p in Path(table.root, "data").rglob("*.parquet")]
+    assert len(files) == 4
+
+
+def test_totals_across_runs(spark, tmp_path):
+    totals = RunningTotals(spark, str(tmp_path / "t"), ("k",), "n", buckets=8)
+    schema = "k string, n int"
+    first = frame(spark, ("a", 1), ("a", None), (None, 5), ("b", None), schema=schema)
+    hot = spark.createDataFrame([("a", 2)] * 500 + [(None, 1)], schema).repartition(4)
+    totals.apply(first, "f1")
+    for _ in range(3):
+        totals.apply(hot, "f2")
+    totals.apply(frame(spark, schema=schema), "f3")
+    assert rows(totals.read()) == [("a", 502, 1001), ("b", 1, None), (None, 2, 6)]
+    assert dict(totals.read().dtypes) == {"k": "string", "rows": "bigint", "total": "bigint"}
+    extra = frame(spark, ("a", 7, 0), (None, 1, 0), ("new", 1, 0), schema="k string, n int, total int")
+    assert rows(totals.on_rows(extra, "total")) == [("a", 7, 1001), ("new", 1, None), (None, 1, 6)]
+
+
+def test_totals_touch_only_the_buckets_of_a_batch(spark, tmp_path):
+    totals = RunningTotals(spark, str(tmp_path / "t"), ("k",), "n", buckets=16)
+    schema = "k bigint, n bigint"
+    totals.apply(spark.range(200).select(F.col("id").alias("k"), F.lit(1).cast("bigint").alias("n")), "f1")
+    before = {row["path"] for row in totals.table.entries().where("kind = 'file'").collect()}
+    totals.apply(frame(spark, (3, 10), schema=schema), "f2")
+    after = {row["path"] for row in totals.table.entries().where("kind = 'file'").collect()}
+    assert len(before & after) == 15
+    assert totals.read().where("k = 3").first()["total"] == 11
+    assert totals.read().agg(F.sum("total")).first()[0] == 210
+
+
+def test_a_failed_batch_counts_once_when_it_is_retried(spark, tmp_path, monkeypatch):
+    totals = RunningTotals(spark, str(tmp_path / "t"), ("k",), "n")
+    batch = frame(spark, (1, 5), schema="k bigint, n bigint")
+    totals.apply(batch, "f1")
+
+    def broken(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(versions, "rename_new", broken)
+    with pytest.raises(OSError):
+        totals.apply(batch, "f2")
+    monkeypatch.undo()
+    for _ in range(2):
+        totals.apply(batch, "f2")
+    assert rows(totals.read()) == [(1, 2, 10)]

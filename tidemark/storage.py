@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from itertools import batched
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # File system calls under way at once, and names handled at a time.
@@ -40,6 +41,50 @@ def folder_names(spark: SparkSession, root: str) -> Iterator[str]:
             yield entry.getPath().getName()
 
 
+def file_paths(spark: SparkSession, root: str) -> Iterator[str]:
+    """Paths, relative to ``root``, of the data files anywhere below it."""
+    whole = _file_system(spark, root).makeQualified(_path(spark, root)).toString().rstrip("/")
+    listing = _file_system(spark, root).listFiles(_path(spark, root), True)
+    while listing.hasNext():
+        path = listing.next().getPath()
+        if not path.getName().startswith(("_", ".")):
+            yield path.toString().removeprefix(whole).lstrip("/")
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder in one step; False if ``target`` is there already, which then stays."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.FileContext.getFileContext(
+        _path(spark, source).toUri(), spark._jsc.hadoopConfiguration()
+    ) if _path(spark, source).toUri().getScheme() else hadoop.FileContext.getFileContext(
+        spark._jsc.hadoopConfiguration()
+    )
+    if files.util().exists(_path(spark, target)):
+        return False
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
+    try:
+        files.rename(_path(spark, source), _path(spark, target), options)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getSimpleName():
+            return False
+        raise
+    return True
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a path that is free; False if there is no ``source``."""
+    files = _file_system(spark, source)
+    if not files.exists(_path(spark, source)):
+        return False
+    if files.exists(_path(spark, target)):
+        raise FileExistsError(target)
+    make_folder(spark, target.rsplit("/", 1)[0])
+    if not files.rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"could not move {source} to {target}")
+    return True
+
+
 def listed(spark: SparkSession, names: Iterable[str], name: str) -> DataFrame:
     """``names`` as a stored table with the column ``name``, written page by page."""
     schema, folder, any_page = f"{name} string", new_folder(spark, "listing"), False
