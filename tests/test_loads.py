@@ -17,16 +17,16 @@ from tidemark.storage import shared_root
 
 BATSMEN_HEADER = ",".join(BATSMEN.declared.names)
 BATSMEN_ROWS = (
-    "Adam Example,61,9,8,1,8.7,88,69.25,0,0,6,1",
-    "Ben Example,4,5,1,1,NULL,5,80,0,0,0,0",
-    "Spaced ,210,12,11,0,19.09,175,120.5,0,1,20,5",
-    "Whole Number,50,5,5,0,10,40,125,0,0,5,1",
+    "Decimal Text,1001,31,29,2,37.25,1300,77,4,2,80,13",
+    "Null Text,1002,32,30,30,NULL,1301,77.5,3,1,81,14",
+    "Trailing Space  ,1003,33,31,3,0.5,1302,78,2,0,82,15",
+    "Whole Number,1004,34,32,4,20,1303,78.5,1,0,83,16",
 )
 BOWLERS_HEADER = ",".join(BOWLERS.declared.names)
 BOWLERS_ROWS = (
-    "Cara Example ,1,14,3,4,49,49,12.25,24,0,0",
-    "Dan Example ,6,9,9,27.2,343,52.4,12.6,25.1,0,0",
-    "Tie ,1,1,1,2.5,1,3.5,0.5,x,0,0",
+    "Whole Numbers,501,71,61,90,2001,17,5,33,1,0",
+    "Below And Above Half ,502,72,62,90.25,2002,17.75,5.125,33.875,2,1",
+    "Ties And Text ,503,73,63,90.5,2003,18.5,6.5,text,3,2",
 )
 
 
@@ -48,10 +48,10 @@ def test_batsmen(spark, landing, layout, infer):
     assert table.columns == [*BATSMEN.declared.names, "partition_name"]
     assert dict(table.dtypes)["average"] == "int"
     assert rows(table.select("player_name", "average", "strike_rate", "partition_name")) == [
-        ("Adam Example", None, 69.25, "batsmen_20250418_093000"),
-        ("Ben Example", None, 80.0, "batsmen_20250418_093000"),
-        ("Spaced", None, 120.5, "batsmen_20250418_093000"),
-        ("Whole Number", 10, 125.0, "batsmen_20250418_093000"),
+        ("Decimal Text", None, 77.0, "batsmen_20250418_093000"),
+        ("Null Text", None, 77.5, "batsmen_20250418_093000"),
+        ("Trailing Space", None, 78.0, "batsmen_20250418_093000"),
+        ("Whole Number", 20, 78.5, "batsmen_20250418_093000"),
     ]
 
 
@@ -64,9 +64,9 @@ def test_bowlers(spark, landing, layout, infer):
     rounded = ["total_overs", "bowling_avg", "economy_rate", "strike_rate"]
     assert {kinds[name] for name in rounded} == {"decimal(10,0)"}
     assert rows(table.select("player_name", *rounded)) == [
-        ("Cara Example", *map(Decimal, (4, 49, 12, 24))),
-        ("Dan Example", *map(Decimal, (27, 52, 13, 25))),
-        ("Tie", *map(Decimal, (3, 4, 1)), None),
+        ("Below And Above Half", *map(Decimal, (90, 18, 5, 34))),
+        ("Ties And Text", *map(Decimal, (91, 19, 7)), None),
+        ("Whole Numbers", *map(Decimal, (90, 17, 5, 33))),
     ]
 
 
@@ -127,7 +127,7 @@ def test_deliveries_total_covers_this_load_only(spark, landing, layout):
 
 
 def test_hot_groups_of_a_load(spark, landing, layout):
-    """Half of the rows in one over, taken from the broadcast list; the others windowed."""
+    """Half of the rows in one over."""
     job = DELIVERIES
     lines = [f"1,1,1,A,{i % 7}" for i in range(200)] + [f"2,1,{i},B,{i % 7}" for i in range(200)]
     path = landing("d.csv", "match_id,inning,over,batter,total_runs", *lines)
@@ -145,7 +145,7 @@ def test_every_sink_gets_the_run(spark, landing, layout):
     snapshot = spark.read.csv(f"{layout.snapshots}/{name}")
     assert snapshot.count() == 4
     whole = snapshot.where("_c0 = 'Whole Number'").select("_c5", "_c12")
-    assert rows(whole) == [("10", name)]
+    assert rows(whole) == [("20", name)]
     entry = read_snapshots(spark, layout.snapshot_log).first()
     assert entry[:3] == ("batsmen", name, f"{layout.snapshots}/{name}")
     assert rows(read_metrics(spark, layout.metrics)) == [("run_1", "batsmen", 4)]
@@ -281,3 +281,82 @@ def test_a_failure_after_the_serving_write_leaves_no_rows(spark, landing, layout
     table = Path(layout.table("batsmen"))
     assert not list(table.glob("partition_name=*"))
     assert load(spark, BATSMEN, path, layout) == len(BATSMEN_ROWS)
+
+
+FAILING = ["write_serving", "write_snapshot", "move", "log_metric", "log_snapshot"]
+
+
+@pytest.mark.parametrize("step", FAILING)
+@pytest.mark.parametrize("kind", ["first", "retry", "replacement"])
+def test_a_failure_at_any_step_loses_nothing(spark, landing, layout, monkeypatch, step, kind):
+    """What an earlier good load has left stays: rows, snapshot, registry entry and metric."""
+    name = "batsmen_20250418_093000"
+    if kind == "replacement":
+        first = landing("b.csv", BATSMEN_HEADER, *BATSMEN_ROWS)
+        load(spark, BATSMEN, first, layout, run_id="run_1")
+    path = landing("b.csv", BATSMEN_HEADER, BATSMEN_ROWS[0])
+    module = "tidemark.plans.load"
+
+    def broken(*_):
+        raise OSError("lost")
+
+    def fail():
+        with pytest.raises(OSError, match="lost"):
+            load(spark, BATSMEN, path, layout, run_id="run_1", replace=kind == "replacement")
+
+    for times in range(2 if kind == "retry" else 1):
+        if step == "move":
+            from tidemark.plans import load as loading
+
+            move = loading.move_folder
+            calls = []
+
+            def second(spark, source, target):
+                calls.append(target)
+                if len(calls) == 4:
+                    raise OSError("lost")
+                return move(spark, source, target)
+
+            monkeypatch.setattr(f"{module}.move_folder", second)
+        elif step.startswith("log"):
+            real, calls = getattr(__import__(module, fromlist=[step]), step), []
+
+            def once(*args, real=real, calls=calls):
+                calls.append(1)
+                if len(calls) == 1:
+                    raise OSError("lost")
+                return real(*args)
+
+            monkeypatch.setattr(f"{module}.{step}", once)
+        else:
+            monkeypatch.setattr(f"{module}.{step}", broken)
+        fail()
+        monkeypatch.undo()
+    kept = len(BATSMEN_ROWS) if kind == "replacement" else 0
+    assert len(list(Path(layout.table("batsmen")).glob("partition_name=*"))) == (kept > 0)
+    assert not list(Path(layout.table("batsmen")).glob("_load*"))
+    assert read_snapshots(spark, layout.snapshot_log).count() == (kept > 0)
+    assert Path(layout.snapshots, name).is_dir() == (kept > 0)
+    if kept:
+        assert read_serving(spark, layout.table("batsmen")).count() == kept
+        assert spark.read.csv(f"{layout.snapshots}/{name}").count() == kept
+        assert rows(read_metrics(spark, layout.metrics)) == [("run_1", "batsmen", kept)]
+    assert Path(path).exists()
+    assert load(spark, BATSMEN, path, layout, run_id="run_1", replace=kept > 0) == 1
+    assert read_serving(spark, layout.table("batsmen")).count() == 1
+    assert rows(read_metrics(spark, layout.metrics)) == [("run_1", "batsmen", 1)]
+    archives = sorted(p.name for p in Path(layout.archive).iterdir())
+    assert archives == ([name, f"{name}.2"] if kept else [name])
+
+
+def test_a_killed_replacement_is_put_back(spark, landing, layout):
+    load(spark, BATSMEN, landing("b.csv", BATSMEN_HEADER, *BATSMEN_ROWS), layout)
+    name = "batsmen_20250418_093000"
+    table = Path(layout.table("batsmen"))
+    (table / f"_load-{name}").mkdir()
+    (table / f"partition_name={name}").rename(table / f"_load-{name}" / "old")
+    broken = landing("b.csv", "player_name,total_runs", "A,1")
+    with pytest.raises(ValueError):
+        load(spark, BATSMEN, broken, layout, replace=True)
+    again = landing("c.csv", BATSMEN_HEADER, "only,one,column")
+    assert load(spark, BATSMEN, again, layout, replace=True) == 1

@@ -1,8 +1,15 @@
 """DataFrame -> DataFrame operators."""
 
-from tidemark.operators.aggregates import concatenate, row_count, run_outcome
+from tidemark.operators.aggregates import concatenate, last_attempts, row_count, run_outcome
 from tidemark.operators.filters import with_status
 from tidemark.operators.joins import delete_rows, lookup, missing_from, succeeded_only
+from tidemark.operators.ordered import (
+    asof_join,
+    previous_value,
+    range_join,
+    range_overlaps,
+    running_total,
+)
 from tidemark.operators.projections import (
     add_label,
     add_season,
@@ -18,13 +25,19 @@ from tidemark.operators.windows import window_total
 __all__ = [
     "add_label",
     "add_season",
+    "asof_join",
     "concatenate",
     "delete_rows",
+    "last_attempts",
     "lookup",
     "missing_from",
+    "previous_value",
+    "range_join",
+    "range_overlaps",
     "replace",
     "row_count",
     "run_outcome",
+    "running_total",
     "stamp",
     "stamp_run",
     "succeeded_only",

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.projections import column
+
 
 def row_count(df: DataFrame, out: str = "total_rows") -> DataFrame:
     """One row with the number of rows; on Parquet it is answered from the footers."""
@@ -25,6 +27,26 @@ def run_outcome(
     )
 
 
+def last_attempts(
+    runs: DataFrame,
+    keys: Sequence[str] = ("run_id", "script_name"),
+    order: Sequence[str] = ("end_time", "start_time"),
+    status: str = "status",
+    success: str = "Success",
+) -> DataFrame:
+    """Of every task of a run its last attempt: the one that ended last, of these the one that
+    started last; of attempts alike in both a success. An attempt without an end counts as first.
+
+    One row of each task is kept while the attempts are read, so a task that was tried very often
+    enters the shuffle as one row for each part of the input.
+    """
+    place = F.struct(*[column(name) for name in order], (column(status) == success).alias("_won"))
+    rest = [name for name in runs.columns if name not in keys]
+    last = F.max_by(F.struct(*[column(name) for name in rest]), place).alias("_last")
+    found = runs.groupBy(*[column(key) for key in keys]).agg(last)
+    return found.select(*keys, "_last.*").select(*[column(name) for name in runs.columns])
+
+
 def concatenate(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of frames with the same columns, matched by name."""
     return reduce(DataFrame.unionByName, frames)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import capitalise
 from tidemark.operators import (
     concatenate,
+    last_attempts,
     lookup,
     row_count,
     run_outcome,
@@ -79,8 +80,10 @@ def outcome_report(runs: DataFrame, without: Collection[str] = ()) -> DataFrame:
     """``(run_id, any_success, any_failed, failed_tasks)`` of the run registry.
 
     ``failed_tasks`` are the names of the tasks that failed, in order and comma-joined, minus
-    those ``without``; empty if there is none.
+    those ``without``; empty if there is none. What counts of a task is its last attempt, so one
+    that failed and was then retried with success has not failed.
     """
+    runs = last_attempts(runs)
     failed = with_status(runs, "Failed", without).groupBy("run_id").agg(
         F.array_join(F.sort_array(F.collect_set("script_name")), ",").alias("failed_tasks")
     )
@@ -92,6 +95,6 @@ def report_for(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
     tables = {job.table: layout.table(job.table) for job in JOBS}
     return row_count_report(
         table_counts(spark, tables),
-        read_runs(spark, layout.run_log, run_id),
+        last_attempts(read_runs(spark, layout.run_log, run_id)),
         read_metrics(spark, layout.metrics, run_id),
     ).orderBy("position")
