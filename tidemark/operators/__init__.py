@@ -1,6 +1,12 @@
 """DataFrame -> DataFrame operators."""
 
-from tidemark.operators.aggregates import concatenate, last_attempts, row_count, run_outcome
+from tidemark.operators.aggregates import (
+    concatenate,
+    cube_totals,
+    last_attempts,
+    row_count,
+    run_outcome,
+)
 from tidemark.operators.filters import with_status
 from tidemark.operators.joins import delete_rows, lookup, missing_from, succeeded_only
 from tidemark.operators.ordered import (
@@ -27,6 +33,7 @@ __all__ = [
     "add_season",
     "asof_join",
     "concatenate",
+    "cube_totals",
     "delete_rows",
     "last_attempts",
     "lookup",

@@ -47,6 +47,24 @@ def last_attempts(
     return found.select(*keys, "_last.*").select(*[column(name) for name in runs.columns])
 
 
+def cube_totals(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """Rows and total of ``measure`` for every set of ``keys``: the keys, ``level``, ``rows``,
+    ``total``. A key that a level leaves out is NULL there and has its bit in ``level``, the first
+    key the highest; a NULL key has none.
+
+    Rows are summed by all keys first, combined map-side, so only the groups are expanded.
+    """
+    names = [column(key) for key in keys]
+    groups = df.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(column(measure)).alias("_total")
+    )
+    return groups.cube(*names).agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("_rows").alias("rows"),
+        F.sum("_total").alias("total"),
+    )
+
+
 def concatenate(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of frames with the same columns, matched by name."""
     return reduce(DataFrame.unionByName, frames)

@@ -147,8 +147,19 @@ def asof_join(
     )
 
 
-def _number(moment: Column) -> Column:
-    return moment.cast("double")
+def _number(df: DataFrame, name: str) -> Column:
+    """A column as a number in its own order: seconds for dates and timestamps.
+
+    Timestamps without a zone go by their own fields, so no zone's clock change disturbs them.
+    """
+    kind, value = dict(df.dtypes)[name], column(name)
+    if kind not in ("date", "timestamp_ntz"):
+        return value.cast("double")
+    days = F.unix_date(value.cast("date")) * F.lit(86400.0)
+    if kind == "date":
+        return days
+    seconds = F.date_part(F.lit("SECONDS"), value).cast("double")
+    return days + F.hour(value) * 3600 + F.minute(value) * 60 + seconds
 
 
 def range_join(
@@ -168,19 +179,18 @@ def range_join(
     of a size, a pair is found once. Numbers, dates and timestamps (by seconds) will do. NULL points,
     ends or keys and empty intervals match nothing. Columns other than the keys must differ in name.
     """
-    if dict(points.dtypes)[point] == "date":
-        raise TypeError("cast dates to timestamps first")
-    length = _number(column(high)) - _number(column(low))
+    ends = [_number(intervals, end) for end in (low, high)]
+    length = ends[1] - ends[0]
     spans = intervals.where(length > 0)
     size = F.ceil(F.log2(length)).cast("int")
     spans = spans.withColumn("_size", size)
     width = F.pow(F.lit(2.0), F.col("_size"))
-    cell = [F.floor(_number(column(end)) / width) for end in (low, high)]
+    cell = [F.floor(end / width) for end in ends]
     spans = spans.withColumn("_cell", F.explode(F.sequence(*cell)))
     sizes = sorted(row["_size"] for row in spans.select("_size").distinct().collect())
     each = F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")).alias("_size")
     cut = points.where(column(point).isNotNull()).select("*", each)
-    cut = cut.withColumn("_cell", F.floor(_number(column(point)) / width))
+    cut = cut.withColumn("_cell", F.floor(_number(points, point) / width))
     joined = cut.join(spans, [*keys, "_size", "_cell"])
     inside = (column(point) >= column(low)) & (column(point) < column(high))
     return joined.where(inside).drop("_size", "_cell")

@@ -137,6 +137,15 @@ class VersionedTable:
         left = tagged.join(named, "_path").select(*kinds.names, TAG)
         return self._commit(base, left, others, F.col(TAG), entries, None, kinds), amount
 
+    def checkpoint(self, df: DataFrame, applied: DataFrame, base: int) -> int:
+        """Put ``df`` in the place of all rows of version ``base``, and the names ``applied`` (tag)
+        in that of its applied batches; fails if there is a later version."""
+        names = applied.select(F.lit(APPLIED).alias("kind"), "tag", F.lit("").alias("path"))
+        added = self._write(df, F.lit(""))
+        if not self._publish(base, added, names, None, df.schema):
+            raise VersionConflict(f"{self.root} has a version after {base}")
+        return base + 1
+
     def expire(self, keep: int = 1) -> int:
         """Remove all versions but the ``keep`` newest, and files that only they list; return how
         many files went. Readers of a version that goes must have ended."""

@@ -236,7 +236,7 @@ def delete_listed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delete_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of most parts go: the list is too long for literals and is joined."""
+    """Lines of most parts go."""
     large = given(spark, sf_dir, "part").where(F.col("p_size") > 5)
     return delete_rows(
         given(spark, sf_dir, "lineitem"), large.withColumnRenamed("p_partkey", "l_partkey"),

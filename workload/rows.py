@@ -48,7 +48,7 @@ def window_total_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_total_few_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each group holds about a third of all rows, so all go through the broadcast list."""
+    """Each group holds about a third of all rows."""
     lines = given(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").cast("int").alias("qty")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import replace as changed
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,45 +197,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_serving(spark, layout.table("events"))
 
 
-def _by_type(spark: SparkSession, sf_dir: str, landing: str) -> Iterator[str]:
-    """Land the events type by type, each type as one file; there are few types."""
-    events = given(spark, sf_dir, "events").select(
-        "event_id",
-        "user_id",
-        "event_type",
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-    )
-    types = events.select(F.min("event_type"), F.max("event_type")).first()
-    for kind in (F.col("event_type") == types[0], F.col("event_type") == types[1]):
-        land(events.where(kind).coalesce(1), landing)
-        yield landing
-
-
-def stream_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two files in one run, the first and the last event type; totals stay within a file."""
-    root = new_folder(spark, "stream_per_file")
-    layout = Layout.below(root)
-    *_, landing = _by_type(spark, sf_dir, f"{root}/files")
-    job = changed(EVENTS_JOB, total=GroupTotal(("user_id",), "cents", "user_cents"))
-    ingest(
-        spark, job, landing, layout, f"{root}/checkpoint", clock=lambda: RUN_START
-    ).awaitTermination()
-    return read_serving(spark, layout.table("events"))
-
-
-def stream_archived_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the archive holds after a second run: the files of the first one."""
-    root = new_folder(spark, "stream_archived")
-    layout = Layout.below(root)
-    for landing in _by_type(spark, sf_dir, f"{root}/files"):
-        ingest(
-            spark, EVENTS_JOB, landing, layout, f"{root}/checkpoint", clock=lambda: RUN_START
-        ).awaitTermination()
-    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
-    schema = "event_id bigint, user_id bigint, event_type string, cents bigint"
-    return reader.schema(schema).csv(layout.archive)
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "events").select(
         "event_id",
@@ -315,8 +275,6 @@ QUERIES = {
     "load_deliveries": load_deliveries,
     "stream_ingest": stream_ingest,
     "stream_ingest_resumed": stream_ingest_resumed,
-    "stream_per_file": stream_per_file,
-    "stream_archived_input": stream_archived_input,
     "stream_per_type": stream_per_type,
     "stream_archived_types": stream_archived_types,
 }
@@ -395,17 +353,6 @@ ORACLE = {
                CAST(sum(cents) OVER (PARTITION BY partition_name, user_id, event_type) AS BIGINT)
                AS user_cents, partition_name
         FROM rows""",
-    "stream_per_file": """
-        WITH rows AS (
-            SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents
-            FROM events WHERE event_type IN (
-                (SELECT min(event_type) FROM events), (SELECT max(event_type) FROM events)))
-        SELECT *, CAST(sum(cents) OVER (PARTITION BY event_type, user_id) AS BIGINT) AS user_cents,
-               'events_0' AS partition_name
-        FROM rows""",
-    "stream_archived_input": """
-        SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents
-        FROM events WHERE event_type = (SELECT min(event_type) FROM events)""",
     "stream_per_type": """
         WITH rows AS (
             SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents
