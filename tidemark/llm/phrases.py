@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept
 from tidemark.llm.tokens import Words, mixed, runs, slices, words_of
+from tidemark.storage import new_folder, remove_folder
 
 # Pieces of a text end at these bytes; words in a piece lie between spaces and tabs.
 MARKS = b".,;:!?\n\x0b\x0c\r"
@@ -323,13 +324,18 @@ def frequent_phrases(
     )
     found = totals = shared = None
     for count in range(1, longest + 1):
-        counted = kept(rows.mapInArrow(_counter(count, held, shared), RUN), "phrase-runs")
+        folder = new_folder(spark, "llm-phrase-runs")
+        counted = rows.mapInArrow(_counter(count, held, shared), RUN)
+        counted.write.option("compression", "zstd").parquet(folder)
+        counted = spark.read.schema(RUN).parquet(folder)
         if count == 1:
             totals = kept(counted.groupBy("lang").agg(F.sum("n").alias("total")), "phrase-totals")
         merged = counted.repartitionByRange("lang", "phrase")
         merged = merged.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
         merged = merged.where(F.col("n") >= least)
         level = kept(merged.select("lang", F.lit(count).alias("words"), "phrase", "n"), "phrases")
+        # The runs are merged and stored.
+        remove_folder(spark, folder)
         found = level if found is None else found.unionByName(level)
         if count < longest:
             shared = spark.sparkContext.broadcast(_filter_of(level, count))
