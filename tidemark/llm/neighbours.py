@@ -201,8 +201,8 @@ def nearest(
     """For every row with ``is_query`` its ``count`` nearest others by cosine: query_id, rank,
     vec_id, score.
 
-    Vectors that are NULL, zero, of another width than the first key's or hold NULL or
-    non-finite components take no part; nor do rows without a key, and of rows alike in key
+    Vectors that are NULL, zero, of another width than most usable rows of the table (ties to
+    the larger) or hold NULL or non-finite components take no part; nor do rows without a key, and of rows alike in key
     only one. Ties go to the smaller key. Fewer others than ``count`` give fewer rows; an
     empty table gives none. Other columns are ignored.
 
@@ -218,10 +218,12 @@ def nearest(
         is_query.alias("_asked"),
     )
     rows = rows.where(F.col("_id").isNotNull() & _usable(F.col("_vector")))
-    chosen = rows.orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()
-    width = len(min(chosen, key=lambda row: row["_id"])["_vector"]) if chosen else 1
+    widths = rows.groupBy(F.size("_vector").alias("_width")).count()
+    most = widths.orderBy(F.desc("count"), F.desc("_width")).first()
+    width = most["_width"] if most else 1
     rows = rows.where(F.size("_vector") == width)
-    learn = [row["_vector"] for row in chosen if len(row["_vector"]) == width]
+    chosen = rows.orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()
+    learn = [row["_vector"] for row in chosen]
     learn = np.array(learn, dtype=np.float64).reshape(-1, width)
     units = learn / _norms(learn)[:, None]
     codes = spark.sparkContext.broadcast(learned(units, width))
