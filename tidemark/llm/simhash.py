@@ -8,18 +8,20 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
-from tidemark.llm.common import kept, popcount, texts, utf8
+from tidemark.llm.common import free_name, kept, popcount, texts, utf8
 
 SEED = 42
 BITS = 64
 HALF = 32
-# Depth down to which fingerprints are counted to cut the trie into subtrees for tasks.
+# Depth at which fingerprints are counted to cut the trie into subtrees for tasks, and the bits
+# by which a crowded prefix is followed further down each time.
 TOP = 16
-# A subtree of fewer fingerprints is not cut further.
+STEP = 4
+# The largest subtree.
 SUBTREE = 32_768
 # Pairs of nodes held at once, and pairs of fingerprints at which a pair of nodes is resolved.
 FRONTIER = 1 << 18
@@ -75,54 +77,82 @@ def with_fingerprint(docs: DataFrame, text: str, out: str, shingle: int) -> Data
     return docs.withColumn(out, prints(F.col(f"`{text}`")))
 
 
-def _subtrees(counts: np.ndarray, largest: int) -> list[tuple[int, int]]:
-    """The nodes (depth, prefix) at which the trie is cut: every path meets exactly one."""
-    cut: list[tuple[int, int]] = []
+def _subtrees(counts: np.ndarray, largest: int, root: tuple[int, int] = (0, 0)) -> list[tuple]:
+    """(node, size) at which the trie below ``root`` is cut: every path meets exactly one.
+
+    A node is (depth, prefix). ``counts`` holds the fingerprints of each of the root's lowest
+    nodes, whose size may still be over ``largest``.
+    """
+    levels = len(counts).bit_length() - 1
+    cut: list[tuple] = []
     open_nodes = [(0, 0)]
     sums = np.concatenate([[0], np.cumsum(counts)])
     while open_nodes:
         depth, prefix = open_nodes.pop()
-        width = 1 << (TOP - depth)
-        size = sums[(prefix + 1) * width] - sums[prefix * width]
-        if size > largest and depth < TOP:
+        width = 1 << (levels - depth)
+        size = int(sums[(prefix + 1) * width] - sums[prefix * width])
+        if size > largest and depth < levels:
             open_nodes += [(depth + 1, prefix * 2), (depth + 1, prefix * 2 + 1)]
         elif size:
-            cut.append((depth, prefix))
-    return sorted(cut, key=lambda node: node[1] << (TOP - node[0]))
-
-
-def _subtree_pairs(cut: list[tuple[int, int]], budget: int) -> list[tuple[int, int]]:
-    """Pairs of subtrees, a node with itself included, whose prefixes differ in at most
-    ``budget`` bits: the same descent that the tasks make further down."""
-    index = {node: k for k, node in enumerate(cut)}
-    inner = {(0, 0)}
-    for depth, prefix in cut:
-        while depth:
-            inner.add((depth, prefix))
-            depth, prefix = depth - 1, prefix >> 1
-    pairs = set()
-    todo = [((0, 0), (0, 0), 0)]
-    while todo:
-        a, b, differing = todo.pop()
-        if a not in inner and a not in index or b not in inner and b not in index:
-            continue
-        if a in index and b in index:
-            pairs.add((min(index[a], index[b]), max(index[a], index[b])))
-            continue
-        halves = lambda n: [(n[0] + 1, n[1] * 2), (n[0] + 1, n[1] * 2 + 1)]
-        if a in index:
-            todo += [(a, half, _off(a, half)) for half in halves(b)]
-        elif b in index:
-            todo += [(half, b, _off(half, b)) for half in halves(a)]
-        else:
-            todo += [(x, y, _off(x, y)) for x in halves(a) for y in halves(b) if a != b or x <= y]
-        todo = [pair for pair in todo if pair[2] <= budget]
-    return sorted(pairs)
+            cut.append(((root[0] + depth, root[1] << depth | prefix), size))
+    return cut
+
+
+def _prefix(depth: int) -> Column:
+    return F.shiftrightunsigned("_print", BITS - depth)
 
 
-def _off(a: tuple[int, int], b: tuple[int, int]) -> int:
-    depth = min(a[0], b[0])
-    return ((a[1] >> (a[0] - depth)) ^ (b[1] >> (b[0] - depth))).bit_count()
+def _cut(rows: DataFrame, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """First fingerprint and depth of the subtrees of ``rows`` (_print), in order, none of over
+    ``largest`` fingerprints.
+
+    Prefixes of ``TOP`` bits are counted first. Where one of them is crowded, the next ``STEP``
+    bits are counted, of these prefixes alone, and so on down the trie; so the driver sees a
+    few counts for every ``largest`` fingerprints.
+    """
+    counts = np.zeros(1 << TOP, dtype=np.int64)
+    for row in rows.groupBy(_prefix(TOP).alias("_prefix")).count().collect():
+        counts[row["_prefix"]] = row["count"]
+    depth, found, cut = TOP, _subtrees(counts, largest), []
+    while found:
+        crowded = [node[1] for node, size in found if size > largest and node[0] < BITS]
+        cut += [node for node, size in found if size <= largest or node[0] == BITS]
+        if not crowded:
+            break
+        signed = [[p - (1 << 64) if p >> 63 else p] for p in crowded]
+        these = rows.sparkSession.createDataFrame(signed, "_crowded long")
+        step = min(STEP, BITS - depth)
+        inside = rows.join(these, _prefix(depth) == F.col("_crowded"), "left_semi")
+        below = {prefix: np.zeros(1 << step, dtype=np.int64) for prefix in crowded}
+        for row in inside.groupBy(_prefix(depth + step).alias("_prefix")).count().collect():
+            prefix = row["_prefix"] % (1 << 64)
+            below[prefix >> step][prefix % (1 << step)] = row["count"]
+        found = [part for p in crowded for part in _subtrees(below[p], largest, (depth, p))]
+        depth += step
+    cut.sort(key=lambda node: node[1] << (BITS - node[0]))
+    starts = np.array([prefix << (BITS - depth) for depth, prefix in cut], dtype=np.uint64)
+    return starts, np.array([depth for depth, _ in cut], dtype=np.int64)
+
+
+def _near(own: int, starts: np.ndarray, depths: np.ndarray, first: int, budget: int) -> list[int]:
+    """The subtrees whose prefixes differ from that of number ``own`` in at most ``first`` bits of
+    the upper half and ``budget`` bits in all, itself included: a descent along sorted starts."""
+    path, end = int(starts[own]), int(depths[own])
+    near, todo = [], [(0, len(starts), 0, 0)]
+    while todo:
+        low, high, depth, off = todo.pop()
+        if depth == end or depths[low] == depth:
+            near += range(low, high)
+            continue
+        bit = 1 << (BITS - 1 - depth)
+        turn = (int(starts[low]) & ~(2 * bit - 1)) | bit
+        middle = low + int(np.searchsorted(starts[low:high], np.uint64(turn)))
+        allowed = first if depth < HALF else budget
+        for begin, stop, side in ((low, middle, 0), (middle, high, bit)):
+            differing = off + (path & bit != side)
+            if begin < stop and differing <= allowed:
+                todo.append((begin, stop, depth + 1, differing))
+    return near
 
 
 def _union(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -239,11 +269,11 @@ def near_links(prints: DataFrame, budget: int, subtree: int = SUBTREE) -> DataFr
 
     Two joins: with up to ``budget`` // 2 differing bits in the upper half; and, halves
     swapped, with fewer than the rest there. One of the two holds for every near pair. For
-    each, the trie is cut into subtrees of about ``subtree`` fingerprints by the counts of its
-    prefixes, at most 2**16 numbers. A subtree is gathered once, as one sorted block of 8
-    bytes a fingerprint; a copy of the block goes to every pair of subtrees that is near
-    enough, where a task descends further. So tasks hold two subtrees, never a group of
-    documents.
+    each, the trie is cut into subtrees of at most ``subtree`` fingerprints, at whatever depth
+    that takes. A subtree is gathered once, as one sorted block of 8 bytes a fingerprint; the
+    task that does finds the subtrees that are near enough, and a copy of the block goes to
+    every such pair, where a task descends further. So tasks hold two subtrees, never a group
+    of documents.
     """
     spark = prints.sparkSession
     joins = [(0, budget // 2), (HALF, budget - budget // 2 - 1)]
@@ -255,15 +285,9 @@ def near_links(prints: DataFrame, budget: int, subtree: int = SUBTREE) -> DataFr
         if turned:
             turn = F.shiftleft(turn, HALF).bitwiseOR(F.shiftrightunsigned(turn, HALF))
         rows = prints.select(turn.alias("_print"))
-        prefix = F.shiftrightunsigned("_print", BITS - TOP).alias("_prefix")
-        counts = np.zeros(1 << TOP, dtype=np.int64)
-        for row in rows.groupBy(prefix).count().collect():
-            counts[row["_prefix"]] = row["count"]
-        cut = _subtrees(counts, subtree)
-        pairs = _subtree_pairs(cut, first)
-        routes = spark.sparkContext.broadcast(_routes(cut, pairs))
-        blocks = rows.mapInPandas(_place(routes), PLACED)
-        blocks = blocks.groupBy("_subtree").applyInPandas(_gather(routes), ROUTED)
+        cut = spark.sparkContext.broadcast(_cut(rows, subtree))
+        blocks = rows.mapInPandas(_place(cut), PLACED)
+        blocks = blocks.groupBy("_subtree").applyInPandas(_gather(cut, first, budget), ROUTED)
         found = blocks.groupBy("_pair").applyInPandas(_join(first, budget), LINKS)
         if turned:
             found = found.select(
@@ -276,38 +300,28 @@ def near_links(prints: DataFrame, budget: int, subtree: int = SUBTREE) -> DataFr
     return out
 
 
-def _routes(cut, pairs) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Subtree of every prefix, and for every subtree twice the numbers of its pairs, plus one
-    where it is the second side."""
-    node = np.full(1 << TOP, -1, dtype=np.int32)
-    for k, (depth, prefix) in enumerate(cut):
-        width = 1 << (TOP - depth)
-        node[prefix * width : (prefix + 1) * width] = k
-    own: list[list[int]] = [[] for _ in cut]
-    for number, (a, b) in enumerate(pairs):
-        own[a].append(number * 2)
-        if a != b:
-            own[b].append(number * 2 + 1)
-    return node, [np.array(numbers, dtype=np.int64) for numbers in own]
-
-
-def _place(routes: Broadcast):
+def _place(cut: Broadcast):
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        node, _ = routes.value
+        starts, _ = cut.value
         for batch in batches:
-            prefix = batch["_print"].to_numpy().view(np.uint64) >> np.uint64(BITS - TOP)
-            yield pd.DataFrame({"_subtree": node[prefix], "_print": batch["_print"]})
+            prints = batch["_print"].to_numpy().view(np.uint64)
+            number = np.searchsorted(starts, prints, side="right") - 1
+            yield pd.DataFrame({"_subtree": number, "_print": batch["_print"]})
 
     return place
 
 
-def _gather(routes: Broadcast):
+def _gather(cut: Broadcast, first: int, budget: int):
     def gather(group: pd.DataFrame) -> pd.DataFrame:
-        _, own = routes.value
-        numbers = own[group["_subtree"].iloc[0]]
+        own = int(group["_subtree"].iloc[0])
+        near = np.array(_near(own, *cut.value, first, budget), dtype=np.int64)
         block = np.unique(group["_print"].to_numpy().view(np.uint64)).tobytes()
         return pd.DataFrame(
-            {"_pair": numbers >> 1, "_second": numbers % 2 == 1, "_block": [block] * len(numbers)}
+            {
+                "_pair": np.minimum(near, own) << 32 | np.maximum(near, own),
+                "_second": near < own,
+                "_block": [block] * len(near),
+            }
         )
 
     return gather
@@ -352,28 +366,34 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("_a").agg(F.min("_b").alias("_m"))
         small = large.join(least, "_a").select(F.col("_b").alias("_a"), F.col("_m").alias("_b"))
         small = small.unionByName(least.select("_a", F.col("_m").alias("_b")))
-        rows = kept(small.where("_a <> _b").distinct(), "links")
+        last, rows = rows, kept(small.where("_a <> _b").distinct(), "links")
         after = state(rows)
-        if after == before:
+        if after == before and rows.join(last, ["_a", "_b"], "left_anti").isEmpty():
             break
         before = after
     return rows.select(F.col("_a").alias("_node"), F.col("_b").alias("_root"))
 
 
-def near_groups(rows: DataFrame, key: str, print_column: str, budget: int = 4) -> DataFrame:
-    """``rows`` (a stored table) with ``_group``: the smallest non-NULL ``key`` among all rows
+def near_groups(
+    rows: DataFrame, key: str, print_column: str, budget: int = 4, out: str = "_group"
+) -> DataFrame:
+    """``rows`` (a stored table) with ``out``: the smallest non-NULL ``key`` among all rows
     reachable over links of at most ``budget`` differing bits, the row's own included.
 
     Equal fingerprints are one node, however many rows have it; the smallest key of a
     fingerprint and of a component is found map-side first. An empty table gives no rows;
-    if no row of a component has a key, its group is NULL.
+    if no row of a component has a key, its group is NULL. Other columns stay, whatever their
+    names; one named ``out`` is replaced.
     """
-    renamed = rows.withColumn("_print", F.col(print_column))
-    prints = kept(renamed.groupBy("_print").agg(F.min(key).alias("_least")), "prints")
+    own = free_name(rows, "_print")
+    marked = rows.withColumn(own, F.col(f"`{print_column}`"))
+    prints = marked.groupBy(F.col(own).alias("_print")).agg(F.min(f"`{key}`").alias("_least"))
+    prints = kept(prints, "prints")
     roots = components(near_links(prints.select("_print"), budget))
     named = prints.join(roots, F.col("_print") == F.col("_node"), "left").select(
         "_print", "_least", F.coalesce("_root", "_print").alias("_root")
     )
     least = named.groupBy("_root").agg(F.min("_least").alias("_group"))
-    groups = named.select("_print", "_root").join(least, "_root").select("_print", "_group")
-    return renamed.join(groups, "_print").drop("_print")
+    groups = named.select("_print", "_root").join(least, "_root")
+    groups = groups.select(F.col("_print").alias(own), F.col("_group").alias(out))
+    return marked.drop(out).join(groups, own).drop(own)
