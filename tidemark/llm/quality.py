@@ -21,10 +21,14 @@ from pyspark.sql.types import (
 
 from tidemark.llm.common import first_by_hash, free_name, texts
 
-# A passage is PASSAGE words, longer where a text would have more than PASSAGES of them; so
-# the whole text is read and a text is at most PASSAGES rows of numbers.
+# A passage is PASSAGE words, whatever the length of the text. A text's passages are made and
+# scored PIECE at a time (no more than 2**8).
 PASSAGE = 48
+PIECE = 256
+# Bound of the training sample: passages of a text, evenly spaced over all of it.
 PASSAGES = 32
+# Passages that are scored at once.
+LOT = 4096
 HASHED = 96
 STYLE = 12
 WIDTH = HASHED + STYLE
@@ -67,8 +71,9 @@ REACH = 1 << 12
 _powers = np.multiply.accumulate(np.append(1, np.full(REACH - 1, 0x100000001B3, np.uint64)).astype(np.uint64))
 
 
-def encoded(text: str | None) -> np.ndarray:
-    """One row for every passage of a text; a NULL or empty text is one row of zeros.
+def passages(text: str | None) -> Iterator[np.ndarray]:
+    """One row for every passage of a text, in pieces of at most ``PIECE``; a NULL or empty text
+    is one row of zeros.
 
     A row holds the roots of hashed word frequencies and the style of the passage: means over
     its words, the share of different words, the share of words that repeat the one before,
@@ -80,7 +85,8 @@ def encoded(text: str | None) -> np.ndarray:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], solid.view(np.int8), [0]])))
     first, last = edges[::2], edges[1::2] - 1
     if not len(first):
-        return np.zeros((1, WIDTH), dtype=np.float32)
+        yield np.zeros((1, WIDTH), dtype=np.float32)
+        return
     lengths = last - first + 1
     starts = np.cumsum(lengths) - lengths
     inside = np.arange(lengths.sum()) - np.repeat(starts, lengths)
@@ -109,9 +115,14 @@ def encoded(text: str | None) -> np.ndarray:
         ],
         axis=1,
     )
-    length = max(PASSAGE, -(-len(words) // PASSAGES))
-    where = np.arange(len(words)) // length
-    begins = np.arange(0, len(words), length)
+    for begin in range(0, len(words), PIECE * PASSAGE):
+        end = begin + PIECE * PASSAGE
+        yield _rows(words[begin:end], style[begin:end])
+
+
+def _rows(words: np.ndarray, style: np.ndarray) -> np.ndarray:
+    where = np.arange(len(words)) // PASSAGE
+    begins = np.arange(0, len(words), PASSAGE)
     rows = len(begins)
     sizes = np.bincount(where)[:, None]
     out = np.zeros((rows, WIDTH), dtype=np.float32)
@@ -122,10 +133,18 @@ def encoded(text: str | None) -> np.ndarray:
     kind = np.sort((words >> np.uint64(8)) | (where.astype(np.uint64) << np.uint64(56)))
     fresh = kind[np.append(True, kind[1:] != kind[:-1])] >> np.uint64(56)
     out[:, -2] = np.bincount(fresh.astype(np.int64)) / sizes[:, 0]
-    out[:, -1] = np.minimum(sizes[:, 0], PASSAGE) / PASSAGE
+    out[:, -1] = sizes[:, 0] / PASSAGE
     return out
 
 
+def sampled(text: str | None) -> np.ndarray:
+    """At most ``PASSAGES`` passages of a text, evenly spaced from the first to the last."""
+    rows = np.concatenate(list(passages(text)))
+    if len(rows) <= PASSAGES:
+        return rows
+    return rows[np.arange(PASSAGES) * (len(rows) - 1) // (PASSAGES - 1)]
+
+
 @dataclass
 class QualityModel:
     """Gated attention: passages x become h = tanh(x E + e); their weights are the softmax of
@@ -133,16 +152,23 @@ class QualityModel:
 
     parts: dict[str, np.ndarray]
 
-    def forward(self, rows: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> dict:
+    def hidden(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """h, tanh and sigmoid gates, and the unscaled weight of every passage."""
         p = self.parts
         h = np.tanh((rows - p["mean"]) / p["scale"] @ p["E"] + p["e"])
         t, g = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
-        a = (t * g) @ p["w"]
+        return h, t, g, (t * g) @ p["w"]
+
+    def score(self, z: np.ndarray) -> np.ndarray:
+        return _sigmoid(z @ self.parts["c"] + self.parts["b"])
+
+    def forward(self, rows: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> dict:
+        h, t, g, a = self.hidden(rows)
         top = np.maximum.reduceat(a, begins)
         x = np.exp(a - np.repeat(top, sizes))
         a = x / np.repeat(np.add.reduceat(x, begins), sizes)
         z = np.add.reduceat(a[:, None] * h, begins, axis=0)
-        return {"h": h, "t": t, "g": g, "a": a, "z": z, "y": _sigmoid(z @ p["c"] + p["b"])}
+        return {"h": h, "t": t, "g": g, "a": a, "z": z, "y": self.score(z)}
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -217,24 +243,58 @@ def trained(bags: list[np.ndarray], labels: list[int], share: float, seed: int =
     return model
 
 
+def _lots(batch: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Pieces of texts with the numbers of their texts, about ``LOT`` passages at a time."""
+    owners: list[int] = []
+    pieces: list[np.ndarray] = []
+    held = 0
+    for number, text in enumerate(batch):
+        for piece in passages(text):
+            owners.append(number)
+            pieces.append(piece)
+            held += len(piece)
+            if held >= LOT:
+                yield owners, pieces
+                owners, pieces, held = [], [], 0
+    if owners:
+        yield owners, pieces
+
+
 def scored(batch: list[str | None], model: QualityModel) -> list[tuple]:
-    """(score, attention of each passage) for every text."""
-    out: list[tuple] = []
-    for start in range(0, len(batch), 256):
-        bags = [encoded(text) for text in batch[start : start + 256]]
-        if not bags:
-            break
-        sizes = np.array([len(bag) for bag in bags])
-        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        f = model.forward(np.concatenate(bags), begins, sizes)
-        weights = np.split(f["a"].astype(np.float32), begins[1:])
-        out += [(float(y), a) for y, a in zip(f["y"], weights)]
-    return out
+    """(score, attention of each passage) for every text.
+
+    A text's pieces go through the softmax one after another: its largest weight so far, and
+    the sums of weights and of weighted passages below that, are all that is carried on.
+    """
+    top = np.full(len(batch), -np.inf)
+    total = np.zeros(len(batch))
+    z = np.zeros((len(batch), HIDDEN))
+    unscaled: list[list[np.ndarray]] = [[] for _ in batch]
+    for owners, pieces in _lots(batch):
+        sizes = np.array([len(piece) for piece in pieces])
+        begins = np.cumsum(sizes) - sizes
+        h, _, _, a = model.hidden(np.concatenate(pieces))
+        most = np.maximum.reduceat(a, begins)
+        x = np.exp(a - np.repeat(most, sizes))
+        weights = np.add.reduceat(x, begins)
+        weighted = np.add.reduceat(x[:, None] * h, begins, axis=0)
+        for k, number in enumerate(owners):
+            high = max(top[number], most[k])
+            before, now = np.exp(top[number] - high), np.exp(most[k] - high)
+            total[number] = total[number] * before + weights[k] * now
+            z[number] = z[number] * before + weighted[k] * now
+            top[number] = high
+            unscaled[number].append(a[begins[k] : begins[k] + sizes[k]])
+    scores = model.score(z / total[:, None])
+    return [
+        (float(y), (np.exp(np.concatenate(a) - high) / whole).astype(np.float32))
+        for y, a, high, whole in zip(scores, unscaled, top, total)
+    ]
 
 
 @F.pandas_udf(BinaryType())
 def _encode(batch: pd.Series) -> pd.Series:
-    return pd.Series([encoded(text).tobytes() for text in texts(batch)], dtype=object)
+    return pd.Series([sampled(text).tobytes() for text in texts(batch)], dtype=object)
 
 
 def fit_quality(
@@ -247,8 +307,8 @@ def fit_quality(
 ) -> QualityModel:
     """Learn from the texts of ``docs`` whose ``key`` has a ``label`` of 0 or 1 in ``labels``.
 
-    The sample is bounded: of each label the ``sample`` keys that come first by hash, whole
-    texts, each at most ``PASSAGES`` rows of ``WIDTH`` numbers. That list of keys, of known
+    The sample is bounded: of each label the ``sample`` keys that come first by hash, of each
+    text at most ``PASSAGES`` passages of ``WIDTH`` numbers, evenly spaced over all of it. That list of keys, of known
     size, is broadcast, so texts are read once and not shuffled. Labels without a text are
     left out, a NULL text counts as an empty one, repeated labels and texts of a key count
     once. Without labels every score is one half.
