@@ -18,7 +18,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import free_name, texts
+from tidemark.llm.common import free_name, texts, utf8
 
 # A span is the shortest run of at least SENTENCES sentences with at least WORDS words.
 SENTENCES = 2
@@ -26,8 +26,7 @@ WORDS = 10
 
 # A sentence with the marks and line ends after it; the sentences of a text add up to it.
 _sentence = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
-_lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
-_space = re.compile(r"[\x20\x09-\x0D]+")
+_sentence_bytes = re.compile(rb"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 
 SPANS = ArrayType(
     StructType(
@@ -46,9 +45,13 @@ def sentences(text: str | None) -> list[str]:
     return _sentence.findall(text or "")
 
 
-def words(sentence: str) -> list[str]:
-    """Words of a sentence as compared: A-Z lowered, apart at ASCII white space."""
-    return [word for word in _space.split(sentence.translate(_lower)) if word]
+def compared(text: str | None) -> list[list[bytes]]:
+    """The words of every sentence as compared: A-Z lowered, apart at ASCII white space.
+
+    The text is lowered and cut once, as UTF-8: its marks and white space are ASCII, and on
+    bytes ``lower`` and ``split`` know no others.
+    """
+    return [sentence.split() for sentence in _sentence_bytes.findall(utf8(text).lower())]
 
 
 def spans(text: str | None, least: int = SENTENCES, words_least: int = WORDS) -> list[tuple]:
@@ -59,9 +62,9 @@ def spans(text: str | None, least: int = SENTENCES, words_least: int = WORDS) ->
     A text too short for any span is one span as a whole, unless it has no words. high and
     low are a 128-bit hash of the words.
     """
-    cut = [words(sentence) for sentence in sentences(text)]
+    cut = compared(text)
     sizes = [len(part) for part in cut]
-    joined = [" ".join(part).encode("utf-8", "surrogatepass") for part in cut]
+    joined = [b" ".join(part) for part in cut]
     found, last, held = [], -1, 0
     for first in range(len(cut)):
         while last + 1 < len(cut) and (last - first + 1 < least or held < words_least):
