@@ -18,7 +18,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import free_name, texts, utf8
+from tidemark.llm.common import free_name, kept, texts, utf8
 
 # A span is the shortest run of at least SENTENCES sentences with at least WORDS words.
 SENTENCES = 2
@@ -139,7 +139,8 @@ def later_spans(found: DataFrame) -> DataFrame:
     firsts = found.groupBy("high", "low").agg(
         F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    firsts = firsts.where("_n > 1").drop("_n")
+    # Stored, so that the join deals both sides anew; adaptive execution splits only such joins.
+    firsts = kept(firsts.where("_n > 1").drop("_n"), "spans")
     later = found.join(firsts, ["high", "low"]).where(~place.eqNullSafe(F.col("_first")))
     return later.groupBy("_key", "_text_hash").agg(
         F.collect_set(F.array("first", "last")).alias("_removed")
