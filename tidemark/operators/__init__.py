@@ -26,6 +26,12 @@ from tidemark.operators.projections import (
     to_numeric,
     trim_strings,
 )
+from tidemark.operators.sketches import (
+    distinct_counts,
+    distinct_estimate,
+    distinct_sketch,
+    distinct_sketches,
+)
 from tidemark.operators.windows import window_total
 
 __all__ = [
@@ -35,6 +41,10 @@ __all__ = [
     "concatenate",
     "cube_totals",
     "delete_rows",
+    "distinct_counts",
+    "distinct_estimate",
+    "distinct_sketch",
+    "distinct_sketches",
     "last_attempts",
     "lookup",
     "missing_from",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import capitalise
 from tidemark.operators import (
     concatenate,
+    distinct_counts,
     last_attempts,
     lookup,
     row_count,
@@ -90,6 +91,15 @@ def outcome_report(runs: DataFrame, without: Collection[str] = ()) -> DataFrame:
     return lookup(run_outcome(runs), failed, "run_id", "failed_tasks", default="")
 
 
+def distinct_report(sketches: DataFrame) -> DataFrame:
+    """``(run_id, table_name, column_name, distinct_values)`` of the sketch registry: a row for
+    every run, and one with a NULL run for all runs together, where a value counts once. Rows
+    of the runs are not read."""
+    by_run = distinct_counts(sketches, ["run_id", "table_name", "column_name"])
+    overall = distinct_counts(sketches, ["table_name", "column_name"])
+    return concatenate([by_run, overall.withColumn("run_id", F.lit(None).cast("string"))])
+
+
 def report_for(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
     """The report of one run over the tables of all jobs, in report order."""
     tables = {job.table: layout.table(job.table) for job in JOBS}

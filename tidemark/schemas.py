@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     DataType,
     DateType,
     DayTimeIntervalType,
@@ -75,3 +76,4 @@ RUNS = table(
     status=TEXT,
 )
 METRICS = table(run_id=TEXT, table_name=TEXT, inserted_rows=LONG)
+SKETCHES = table(run_id=TEXT, table_name=TEXT, column_name=TEXT, sketch=BinaryType())

@@ -1,6 +1,12 @@
 """Sinks: serving table, snapshot, registries, relational append, archive."""
 
-from tidemark.sinks.registries import forget_snapshot, log_metric, log_run, log_snapshot
+from tidemark.sinks.registries import (
+    forget_snapshot,
+    log_metric,
+    log_run,
+    log_sketches,
+    log_snapshot,
+)
 from tidemark.sinks.tables import (
     Relational,
     append_jdbc,
@@ -8,6 +14,7 @@ from tidemark.sinks.tables import (
     write_runs,
     fit_to_table,
     write_serving,
+    write_serving_sketched,
     write_snapshot,
 )
 
@@ -18,9 +25,11 @@ __all__ = [
     "forget_snapshot",
     "log_metric",
     "log_run",
+    "log_sketches",
     "log_snapshot",
     "write_runs",
     "fit_to_table",
     "write_serving",
+    "write_serving_sketched",
     "write_snapshot",
 ]

@@ -8,6 +8,7 @@ report reads a single run.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,3 +107,13 @@ def log_metric(spark: SparkSession, path: str, run_id: str, table: str, rows: in
     entry.write.mode("overwrite").parquet(folder)
 
 
+def log_sketches(
+    spark: SparkSession, path: str, run_id: str, table: str, sketches: Mapping[str, bytes]
+) -> None:
+    """One row for each column's sketch; a rerun of the run replaces them."""
+    entries = spark.createDataFrame(
+        [(name, bytearray(sketch)) for name, sketch in sketches.items()],
+        "column_name string, sketch binary",
+    )
+    folder = f"{path}/run_id={check_name(run_id)}/table_name={check_name(table)}"
+    entries.coalesce(1).write.mode("overwrite").parquet(folder)

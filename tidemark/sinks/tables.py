@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
 
 from tidemark.functions import check_name
 from tidemark.operators.projections import column, stamp
+from tidemark.operators.sketches import distinct_sketch
 from tidemark.storage import exists, folder_names, remove_folder
 
 
@@ -91,14 +92,31 @@ def write_serving(df: DataFrame, path: str, partition_name: str) -> int:
     pass and a retried task counts once. It comes before the stamp: a constant last column
     needs no sort by partition.
     """
+    return _written(df, path, partition_name, [])["rows"]
+
+
+def write_serving_sketched(
+    df: DataFrame, path: str, partition_name: str, columns: Sequence[str]
+) -> tuple[int, dict[str, bytes]]:
+    """`write_serving`, and a sketch of the distinct values of each of ``columns``.
+
+    The sketches ride on the write like the count; their size is bounded, and merging a retried
+    task's changes nothing.
+    """
+    sketches = [distinct_sketch(column(c)).alias(f"sketch{i}") for i, c in enumerate(columns)]
+    found = _written(df, path, partition_name, sketches)
+    return found["rows"], {c: bytes(found[f"sketch{i}"]) for i, c in enumerate(columns)}
+
+
+def _written(df: DataFrame, path: str, partition_name: str, metrics: list[Column]) -> dict:
     rows = fit_to_table(df, path, partition_name)
     written = Observation()
-    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"), *metrics)
     write_runs(stamp(counted, partition_name), path)
-    count = written.get["rows"]
-    if count == 0:
+    found = written.get
+    if found["rows"] == 0:
         remove_folder(df.sparkSession, partition_folder(path, partition_name))
-    return count
+    return found
 
 
 def drop_partition(spark: SparkSession, path: str, partition_name: str) -> bool:

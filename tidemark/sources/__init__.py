@@ -8,6 +8,7 @@ from tidemark.sources.tables import (
     read_partition,
     read_runs,
     read_serving,
+    read_sketches,
     read_snapshots,
     stored_partitions,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "read_partition",
     "read_runs",
     "read_serving",
+    "read_sketches",
     "read_snapshots",
     "scan_csv",
     "stored_partitions",

@@ -68,6 +68,10 @@ def read_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> D
     return _registry(spark, path, schemas.METRICS, run_id)
 
 
+def read_sketches(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    return _registry(spark, path, schemas.SKETCHES, run_id)
+
+
 def existing_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """One row per folder below ``root``; a failed listing raises."""
     return listed(spark, folder_names(spark, root), "partition_name")
