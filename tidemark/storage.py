@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from itertools import batched
 from urllib.parse import unquote
 
@@ -16,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 THREADS = 16
 PAGE = 10_000
 
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -198,7 +202,26 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a new, unused folder below the shared root."""
-    return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
+    return path
+
+
+@contextmanager
+def passing_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end, after a failure too, what `new_folder` has named inside.
+
+    For steps whose result is stored elsewhere before the end. Folders named by other threads
+    stay.
+    """
+    token = _passing.set([])
+    try:
+        yield
+    finally:
+        names = _passing.get()
+        _passing.reset(token)
+        for_each(lambda path: remove_folder(spark, path), names)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
