@@ -18,6 +18,7 @@ from tidemark.llm.language import UNDETERMINED, fit_language, with_language
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.simhash import near_groups, with_fingerprint
+from tidemark.storage import new_folder, passing_folders, remove_folder, stored
 
 # A text that every language clearly disclaims is rejected, besides those that none claims.
 LEAST_SCORE = 0.25
@@ -108,8 +109,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each one's result is stored and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply all stages to ``documents``; each one's result is stored and read again.
+
+    What a stage stored on its way goes once its result is stored, and that result once the next
+    one's is; only the last stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), name)
+        after = new_folder(spark, f"llm-{name}")
+        with passing_folders(spark):
+            docs = stored(stage(spark, docs, sf_dir), after)
+        if before:
+            remove_folder(spark, before)
+        before = after
     return docs
