@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import free_name, kept, texts
+from tidemark.llm.common import free_name, kept, numbered, texts
 
 # Fixed by the data contract: a word is a run of anything but these ASCII characters.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -273,24 +273,42 @@ def with_contamination(
     The items' words are cut into pieces of at most ``piece_words`` that share ``window`` - 1
     words, and dealt by hash to blocks of about ``block_words``. Only one block at a time
     reaches the driver and, as an automaton, the tasks; documents are streamed past it without
-    a shuffle. With more than one block the marked documents are stored between blocks, so
-    memory is that of one block however many items there are.
+    a shuffle. With more than one block the documents are stored once, with a number; of a block
+    only the spans of the documents that it hits are stored, and joined by number to the last
+    pass. So memory is that of one block and texts are stored once, however many items there are.
     """
     spark = docs.sparkSession
     pieces = kept(_pieces(items, item, item_text, window, piece_words), "pieces")
     total = pieces.agg(F.coalesce(F.sum(F.size("_piece")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_words))
     block = F.pmod(F.xxhash64("_item", "_piece"), F.lit(blocks))
-    before = free_name(docs, "_before")
-    marked = docs.withColumn(before, F.lit(None).cast(MATCHED))
-    for k in range(blocks):
+
+    def match(k: int, spans: F.Column, ids: F.Column) -> F.Column:
         own = pieces.where(block == k).select("_item", "_piece", "_short").collect()
         automaton = built([(row[0], list(row[1]), row[2]) for row in own], window)
-        match = _matcher(spark.sparkContext.broadcast(automaton), window)
-        marked = marked.withColumn(before, match(F.col(f"`{text}`"), F.col(f"{before}.spans"), F.col(f"{before}.items")))
-        if k + 1 < blocks:
-            marked = kept(marked, "marked")
-    return marked.drop(*([out] if out in docs.columns else [])).withColumnRenamed(before, out)
+        return _matcher(spark.sparkContext.broadcast(automaton), window)(F.col(f"`{text}`"), spans, ids)
+
+    none = F.lit(None).cast(MATCHED)
+    rows, row, earlier = docs, None, None
+    if blocks > 1:
+        rows, row = numbered(docs)
+    for k in range(1, blocks):
+        hits = rows.select(row, match(k, none["spans"], none["items"]).alias("_hit"))
+        hits = kept(hits.where(F.size("_hit.spans") > 0), "hits")
+        earlier = hits if earlier is None else earlier.unionByName(hits)
+    if earlier is None:
+        spans, ids = none["spans"], none["items"]
+    else:
+        # A document has at most one row of each block.
+        spans, ids = (free_name(rows, name) for name in ("_spans", "_items"))
+        earlier = earlier.groupBy(row).agg(
+            F.flatten(F.collect_list("_hit.spans")).alias(spans),
+            F.flatten(F.collect_list("_hit.items")).alias(ids),
+        )
+        rows = rows.join(earlier, row, "left")
+        spans, ids = F.col(spans), F.col(ids)
+    names = [F.col(f"`{name}`") for name in docs.columns if name != out]
+    return rows.select(*names, match(0, spans, ids).alias(out))
 
 
 def hit_words(contamination: str) -> F.Column:
