@@ -132,6 +132,35 @@ def test_delete_rewrites_only_files_with_a_key(spark, table):
     assert len(files) == 4
 
 
+@pytest.mark.parametrize("branch", ["few keys", "many keys", "more keys than rows"])
+def test_a_delete_sorts_rows_only_if_keys_are_too_many_to_hold(spark, tmp_path, monkeypatch, branch):
+    """The rows of a task are streamed past its keys, however many rows it has."""
+    if branch != "few keys":
+        monkeypatch.setattr(versions, "BROADCAST_KEYS", 10)
+    table = VersionedTable(spark, str(tmp_path / "data" / "t"))
+    lines = spark.range(4000).selectExpr("id % 1000 AS k", "string(id) AS v")
+    table.append(lines, "x")
+    table.append(lines.where("k < 500"), "y")
+    write, plans = VersionedTable._write, []
+
+    def noted(self, df, tag):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(self, df, tag)
+
+    monkeypatch.setattr(VersionedTable, "_write", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keys = spark.range(5000 if branch == "more keys than rows" else 2000).where("id % 3 = 0")
+    try:
+        assert table.delete(keys.selectExpr("id AS k"), ["k"])[0] == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = {"few keys": "BroadcastHashJoin", "many keys": "ShuffledHashJoin"}
+    assert f"{join.get(branch, 'SortMergeJoin')} [k" in plans[0] and "LeftAnti" in plans[0]
+    left = lines.union(lines.where("k < 500")).where("k % 3 <> 0")
+    assert rows(table.read()) == rows(left)
+    assert rows(table.read(tags=["y"])) == rows(lines.where("k < 500 AND k % 3 <> 0"))
+
+
 def test_totals_across_runs(spark, tmp_path):
     totals = RunningTotals(spark, str(tmp_path / "t"), ("k",), "n", buckets=8)
     schema = "k string, n int"

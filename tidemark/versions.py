@@ -26,14 +26,23 @@ from tidemark.storage import (
     for_each,
     listed,
     make_folder,
+    new_folder,
     remove_folder,
     rename_new,
+    stored,
 )
 
 # One entry of a manifest: a file with its tag, the columns (as JSON), or an applied batch.
 ENTRY = "kind string, tag string, path string"
 FILE, COLUMNS, APPLIED = "file", "columns", "applied"
 TAG = "_version_tag"
+# The end of a file's path that a manifest lists: data, folder, tag and file.
+PATH_PARTS = -4
+# Keys of a delete that every task holds, and that one task holds of those that are dealt out,
+# which are few beside the rows.
+BROADCAST_KEYS = 1 << 17
+TASK_KEYS = 1 << 21
+ROWS_A_KEY = 4
 
 
 class VersionConflict(RuntimeError):
@@ -109,17 +118,22 @@ class VersionedTable:
         number of files rewritten.
 
         Only the columns are read to find the files that hold a key; only these files are rewritten.
-        NULL is no key. Without such a file nothing is committed.
+        NULL is no key. Without such a file nothing is committed. Files are told apart by a hash of
+        their path while they are looked for; two that had the same would both be rewritten.
         """
         base = self.version()
         entries = self.entries(base)
         kinds = self._columns(entries)
         files = entries.where(F.col("kind") == FILE)
         wanted = keys.select(*columns).dropna().distinct()
-        path = F.expr("regexp_extract(_metadata.file_path, '(data/[^/]+/.*)$', 1)")
-        held = self._rows(files, kinds).withColumn("_path", path)
-        held = held.join(wanted, list(columns), "left_semi").select("_path").distinct()
-        touched = listed(self.spark, [row["_path"] for row in held.collect()], "path")
+        wanted = stored(wanted, new_folder(self.spark, "keys"))
+        rows = self._rows(files, kinds)
+        wanted = self._streamed_past(wanted, rows)
+        path = F.substring_index(F.col("_metadata.file_path"), "/", PATH_PARTS)
+        held = rows.select(*columns, F.xxhash64(path).alias("_file"))
+        held = held.join(wanted, list(columns), "left_semi").select("_file").distinct()
+        touched = files.withColumn("_file", F.xxhash64("path")).join(held, "_file", "left_semi")
+        touched = stored(touched.select("path"), new_folder(self.spark, "touched"))
         amount = touched.count()
         if not amount:
             return base, 0
@@ -130,7 +144,7 @@ class VersionedTable:
         if len(tags) == 1:
             return self._commit(base, left, others, F.lit(tags[0]), entries, None, kinds), amount
         # A row keeps the tag of the file that it comes from.
-        path = F.regexp_extract(F.col("_from"), "(data/[^/]+/.*)$", 1)
+        path = F.substring_index("_from", "/", PATH_PARTS)
         tagged = self._rows(hit, kinds).withColumn("_from", F.col("_metadata.file_path"))
         tagged = tagged.join(wanted, list(columns), "left_anti").withColumn("_path", path)
         named = hit.select(F.col("path").alias("_path"), F.col("tag").alias(TAG))
@@ -167,6 +181,22 @@ class VersionedTable:
         for_each(lambda path: remove_folder(self.spark, f"{self.root}/{path}"), gone)
         return len(gone)
 
+    def _streamed_past(self, wanted: DataFrame, rows: DataFrame) -> DataFrame:
+        """``wanted`` (stored, distinct) marked so that a join of ``rows`` keeps it in memory and
+        sorts none of ``rows``, whose sort takes the memory of a task for all rows dealt to it.
+
+        Few keys go to all tasks. Others are dealt out with the rows, and a task holds its part,
+        which adaptive execution merges to no more than a share of its target size. Where this part
+        would be large, both sides are sorted, which spills.
+        """
+        count = wanted.count()
+        if count <= BROADCAST_KEYS:
+            return F.broadcast(wanted)
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if count <= TASK_KEYS * parts and ROWS_A_KEY * count <= rows.count():
+            return wanted.hint("shuffle_hash")
+        return wanted.hint("merge")
+
     def _manifest(self, version: int) -> str:
         return f"{self.root}/manifests/v{version:012d}"
 
