@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -161,7 +161,9 @@ def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     compared with those of its members that are not yet connected to them; then the leaders are
     done with, and a bucket whose members are all connected is, too. A bucket of near copies takes
     one or two rounds. Only buckets of sets that are alike in a band, but not linked, go on, with
-    WIDER times as many leaders each round. A hot bucket is the large side of a join whose other
+    WIDER times as many leaders each round; before a round, sets leave that have too few shingles
+    in common with any other that is left, and pairs that can not be alike enough by these counts
+    are not formed. A hot bucket is the large side of a join whose other
     side has its leaders, so adaptive execution splits it. A round's links connect the roots of the
     rounds before, so only they are looked at again.
     """
@@ -169,8 +171,11 @@ def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: i
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda k: F.xxhash64(k, F.substring(F.col("_registers"), k * BAND + 1, F.lit(BAND))),
     )
-    members = reps.select("_id", F.col("_id").alias("_root"), F.explode(bands).alias("_bucket"))
-    roots = refuted = None
+    members = reps.select(
+        "_id", F.col("_id").alias("_root"), "_n", F.col("_n").alias("_common"),
+        F.explode(bands).alias("_bucket"),
+    )
+    roots = refuted = sets = None
     leaders, turn = LEADERS, 0
     while True:
         apart = members.groupBy("_bucket").agg(
@@ -178,15 +183,25 @@ def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: i
         )
         apart = apart.where("_first < _last").select("_bucket")
         members = kept(members.join(apart, "_bucket"), "members")
+        if turn and not members.isEmpty():
+            sets = _sets(members.select("_id").distinct(), reps, docs, key, text)
+            members = kept(_linkable(members, sets, percent), "linkable")
         if members.isEmpty():
             break
         order = Window.partitionBy("_bucket").orderBy(F.xxhash64("_id", F.lit(turn)), "_id")
-        first = members.withColumn("_place", F.row_number().over(order))
-        first = kept(first.where(F.col("_place") <= leaders).drop("_place"), "leaders")
+        ranked = kept(members.withColumn("_place", F.row_number().over(order)), "ranked")
+        first = ranked.where(F.col("_place") <= leaders).drop("_place")
         other = members.select(
-            "_bucket", F.col("_id").alias("_other"), F.col("_root").alias("_other_root")
+            "_bucket",
+            F.col("_id").alias("_other"),
+            F.col("_root").alias("_other_root"),
+            F.col("_n").alias("_other_n"),
+            F.col("_common").alias("_other_common"),
         )
-        pairs = first.join(other, "_bucket").where("_root <> _other_root")
+        common = F.least("_common", "_other_common")
+        able = _enough(common, F.col("_n") + F.col("_other_n"), percent)
+        pairs = first.join(other, "_bucket").where(F.col("_root") != F.col("_other_root"))
+        pairs = pairs.where(able)
         pairs = pairs.select(
             F.least("_id", "_other").alias("_a"), F.greatest("_id", "_other").alias("_b")
         ).distinct()
@@ -202,10 +217,13 @@ def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: i
         if refuted is not None:
             pairs = pairs.join(refuted, ["_a", "_b"], "left_anti")
         pairs = kept(pairs, "pairs")
-        found = kept(_verified(pairs, _sets(pairs, reps, docs, key, text), percent), "found")
+        if sets is None:
+            both = pairs.select(F.col("_a").alias("_id")).union(pairs.select("_b")).distinct()
+            sets = _sets(both, reps, docs, key, text)
+        found = kept(_verified(pairs, sets, percent), "found")
         lost = pairs.join(found, ["_a", "_b"], "left_anti")
         refuted = kept(lost if refuted is None else refuted.unionByName(lost), "refuted")
-        members = members.join(first.select("_bucket", "_id"), ["_bucket", "_id"], "left_anti")
+        members = ranked.where(F.col("_place") > leaders).drop("_place")
         if not found.isEmpty():
             if roots is not None:
                 found = _named(_named(found, "_a", roots), "_b", roots)
@@ -214,7 +232,7 @@ def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: i
                 older = _named(roots, "_root", newer.toDF("_from", "_to"))
                 newer = older.select("_node", "_root").unionByName(newer)
             roots = kept(newer, "roots")
-            members = _named(members, "_root", roots)
+            members = kept(_named(members, "_root", roots), "named")
         leaders, turn = leaders * WIDER, turn + 1
     if roots is None:
         return reps.select(F.col("_id").alias("_node"), F.col("_id").alias("_root")).limit(0)
@@ -228,9 +246,30 @@ def _named(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     return found.withColumn(column, F.coalesce("_to", column)).drop("_from", "_to")
 
 
-def _sets(pairs: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The full sets (_id, _set) of all that are in ``pairs``, from the texts; stored."""
-    needed = pairs.select(F.col("_a").alias("_id")).union(pairs.select("_b")).distinct()
+def _enough(common: Column, sizes: Column, percent: int) -> Column:
+    """Whether two sets of the sum of sizes ``sizes`` that share at most ``common`` may be linked."""
+    return (100 + percent) * common >= percent * sizes
+
+
+def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members`` without those that no other one of their bucket can be linked to, with
+    _common: how many shingles of the set others of ``sets`` (those of all members) have, too.
+
+    Two sets share no more than either has in common with any. A near copy with enough words of its
+    own is thereby told apart from all sets of about its size at once, not pair by pair.
+    """
+    held = sets.select("_id", F.explode("_set").alias("_shingle")).groupBy("_shingle")
+    alone = held.agg(F.count(F.lit(1)).alias("_sets"), F.min("_id").alias("_id"))
+    alone = alone.where("_sets = 1").groupBy("_id").agg(F.count(F.lit(1)).alias("_alone"))
+    common = (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common")
+    members = members.join(alone, "_id", "left").select("_id", "_root", "_n", common, "_bucket")
+    least = members.groupBy("_bucket").agg(F.min("_n").alias("_least"))
+    able = _enough(F.col("_common"), F.col("_n") + F.col("_least"), percent)
+    return members.join(least, "_bucket").where(able).drop("_least")
+
+
+def _sets(needed: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The full sets (_id, _set) of the different _id ``needed``, from the texts; stored."""
     places = reps.join(needed, "_id").select("_id", "_key", F.col("_hash").alias("_text_hash"))
     rows = docs.select(
         F.col(f"`{key}`").alias("_own"),
