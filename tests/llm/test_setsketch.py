@@ -129,6 +129,34 @@ def test_near_copies_with_words_of_their_own_do_not_meet_pair_by_pair(spark, mon
     assert sum(pairs[1:]) <= 1
 
 
+def test_near_copies_a_little_too_far_from_each_other_do_not_meet_pair_by_pair(spark, monkeypatch):
+    """No set has enough words of its own to be told from all others by them alone."""
+    rng = random.Random(6)
+    texts = []
+    for k in range(80):
+        words = [f"w{i}" for i in range(150)]
+        for place in rng.sample(range(2, 148, 2), 8):
+            words[place] = f"own{k}-{place}"
+        texts.append(" ".join(words))
+    texts.append(texts[7] + " end")
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(setsketch, "LEADERS", 1)
+    pairs, kept = [], setsketch.kept
+
+    def counted(df, purpose):
+        out = kept(df, purpose)
+        if purpose == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(setsketch, "kept", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    grouped = setsketch.with_near_group(docs).collect()
+    found = sorted(((r["doc_id"], r["near"]["n"], r["near"]["group"]) for r in grouped), key=str)
+    assert found == brute_force(rows)
+    assert sum(pairs[1:]) <= 2 * len(rows)
+
+
 def test_registers_merge_and_agree_as_the_likelihood_says():
     rng = np.random.default_rng(3)
     a, b = (rng.integers(0, 1 << 64, 700, dtype=np.uint64) for _ in range(2))

@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tidemark.llm.common import free_name, kept, numbered, texts, utf8
+from tidemark.llm.common import first_by_hash, free_name, kept, numbered, texts, utf8
 from tidemark.llm.simhash import components
 from tidemark.llm.tokens import SLICE, mixed, runs, slices, words_of
 
@@ -28,9 +28,10 @@ REGISTERS = BAND * BANDS
 # this many nats, which a linked pair reaches with a probability under 1e-9.
 NATS = 20.0
 GRID = 101
-# Leaders of a bucket in the first round; every round has WIDER times as many.
+# Leaders of a bucket, which are compared with all its members. Among what is left, a cell of
+# WIDER times as many members is compared pair by pair.
 LEADERS = 4
-WIDER = 16
+WIDER = 4
 
 SKETCH = StructType(
     [
@@ -153,90 +154,67 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * shared >= percent * union).select("_a", "_b").distinct()
 
 
+def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (_a, _b) that may be alike enough by their registers; stored."""
+    for side in ("_a", "_b"):
+        own = reps.select(
+            F.col("_id").alias(side),
+            F.col("_registers").alias(f"{side}_registers"),
+            F.col("_n").alias(f"{side}_n"),
+        )
+        pairs = pairs.join(own, side)
+    alike = _plausible(percent)("_a_registers", "_b_registers", "_a_n", "_b_n")
+    return kept(pairs.where(alike).select("_a", "_b"), "pairs")
+
+
 def near_roots(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """_node, _root for the sets of ``reps`` (stored; _id, _n, _registers, _key, _hash) that are
     connected to a smaller one, over links of sets that share a band and are ``percent`` alike.
 
-    Members of a bucket are not compared all with all. In every round some leaders of a bucket are
-    compared with those of its members that are not yet connected to them; then the leaders are
-    done with, and a bucket whose members are all connected is, too. A bucket of near copies takes
-    one or two rounds. Only buckets of sets that are alike in a band, but not linked, go on, with
-    WIDER times as many leaders each round; before a round, sets leave that have too few shingles
-    in common with any other that is left, and pairs that can not be alike enough by these counts
-    are not formed. A hot bucket is the large side of a join whose other
-    side has its leaders, so adaptive execution splits it. A round's links connect the roots of the
-    rounds before, so only they are looked at again.
+    Members of a bucket are not compared all with all. First some leaders of a bucket are compared
+    with all its members, which connects most near copies. A bucket whose members are all connected
+    then, or that has only one member besides its leaders, is done. The members of the others are
+    taken together over the buckets they share, and `_candidates` names the pairs that are left.
+    Whatever pair is named goes through the registers and is counted on full sets. A hot bucket is
+    the large side of a join whose other side has its leaders, so adaptive execution splits it.
     """
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda k: F.xxhash64(k, F.substring(F.col("_registers"), k * BAND + 1, F.lit(BAND))),
     )
-    members = reps.select(
-        "_id", F.col("_id").alias("_root"), "_n", F.col("_n").alias("_common"),
-        F.explode(bands).alias("_bucket"),
+    members = reps.select("_id", "_n", F.explode(bands).alias("_bucket"))
+    shared = members.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_members"))
+    members = kept(members.join(shared.where("_members > 1"), "_bucket"), "members")
+    first = members.select("_bucket", F.struct("_id", "_n").alias("_one"))
+    first = first_by_hash(first, "_bucket", "_one", LEADERS).select("_bucket", "_one.*")
+    other = members.select("_bucket", F.col("_id").alias("_other"), F.col("_n").alias("_other_n"))
+    able = 100 * F.least("_n", "_other_n") >= percent * F.greatest("_n", "_other_n")
+    pairs = first.join(other, "_bucket").where(F.col("_id") != F.col("_other")).where(able)
+    pairs = _estimated(pairs.select(*_ordered("_id", "_other")).distinct(), reps, percent)
+    both = pairs.select(F.col("_a").alias("_id")).union(pairs.select("_b")).distinct()
+    found = _verified(pairs, _sets(both, reps, docs, key, text), percent)
+    roots = kept(components(kept(found, "found")), "roots")
+
+    members = members.where(F.col("_members") > LEADERS + 1).drop("_members")
+    members = _named(members.withColumn("_root", F.col("_id")), "_root", roots)
+    apart = members.groupBy("_bucket").agg(
+        F.min("_root").alias("_first"), F.max("_root").alias("_last")
     )
-    roots = refuted = sets = None
-    leaders, turn = LEADERS, 0
-    while True:
-        apart = members.groupBy("_bucket").agg(
-            F.min("_root").alias("_first"), F.max("_root").alias("_last")
-        )
-        apart = apart.where("_first < _last").select("_bucket")
-        members = kept(members.join(apart, "_bucket"), "members")
-        if turn and not members.isEmpty():
-            sets = _sets(members.select("_id").distinct(), reps, docs, key, text)
-            members = kept(_linkable(members, sets, percent), "linkable")
-        if members.isEmpty():
-            break
-        order = Window.partitionBy("_bucket").orderBy(F.xxhash64("_id", F.lit(turn)), "_id")
-        ranked = kept(members.withColumn("_place", F.row_number().over(order)), "ranked")
-        first = ranked.where(F.col("_place") <= leaders).drop("_place")
-        other = members.select(
-            "_bucket",
-            F.col("_id").alias("_other"),
-            F.col("_root").alias("_other_root"),
-            F.col("_n").alias("_other_n"),
-            F.col("_common").alias("_other_common"),
-        )
-        common = F.least("_common", "_other_common")
-        able = _enough(common, F.col("_n") + F.col("_other_n"), percent)
-        pairs = first.join(other, "_bucket").where(F.col("_root") != F.col("_other_root"))
-        pairs = pairs.where(able)
-        pairs = pairs.select(
-            F.least("_id", "_other").alias("_a"), F.greatest("_id", "_other").alias("_b")
-        ).distinct()
-        for side in ("_a", "_b"):
-            own = reps.select(
-                F.col("_id").alias(side),
-                F.col("_registers").alias(f"{side}_registers"),
-                F.col("_n").alias(f"{side}_n"),
-            )
-            pairs = pairs.join(own, side)
-        alike = _plausible(percent)("_a_registers", "_b_registers", "_a_n", "_b_n")
-        pairs = pairs.where(alike).select("_a", "_b")
-        if refuted is not None:
-            pairs = pairs.join(refuted, ["_a", "_b"], "left_anti")
-        pairs = kept(pairs, "pairs")
-        if sets is None:
-            both = pairs.select(F.col("_a").alias("_id")).union(pairs.select("_b")).distinct()
-            sets = _sets(both, reps, docs, key, text)
-        found = kept(_verified(pairs, sets, percent), "found")
-        lost = pairs.join(found, ["_a", "_b"], "left_anti")
-        refuted = kept(lost if refuted is None else refuted.unionByName(lost), "refuted")
-        members = ranked.where(F.col("_place") > leaders).drop("_place")
-        if not found.isEmpty():
-            if roots is not None:
-                found = _named(_named(found, "_a", roots), "_b", roots)
-            newer = components(found)
-            if roots is not None:
-                older = _named(roots, "_root", newer.toDF("_from", "_to"))
-                newer = older.select("_node", "_root").unionByName(newer)
-            roots = kept(newer, "roots")
-            members = kept(_named(members, "_root", roots), "named")
-        leaders, turn = leaders * WIDER, turn + 1
-    if roots is None:
-        return reps.select(F.col("_id").alias("_node"), F.col("_id").alias("_root")).limit(0)
-    return roots
+    members = kept(members.join(apart.where("_first < _last"), "_bucket"), "members")
+    if members.isEmpty():
+        return roots
+    sets = _sets(members.select("_id").distinct(), reps, docs, key, text)
+    pairs = _estimated(_candidates(members, sets, percent), reps, percent)
+    found = kept(_verified(pairs, sets, percent), "found")
+    if found.isEmpty():
+        return roots
+    newer = components(_named(_named(found, "_a", roots), "_b", roots))
+    older = _named(roots, "_root", newer.toDF("_from", "_to"))
+    return kept(older.select("_node", "_root").unionByName(newer), "roots")
+
+
+def _ordered(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("_a"), F.greatest(one, other).alias("_b")]
 
 
 def _named(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
@@ -246,26 +224,119 @@ def _named(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     return found.withColumn(column, F.coalesce("_to", column)).drop("_from", "_to")
 
 
-def _enough(common: Column, sizes: Column, percent: int) -> Column:
-    """Whether two sets of the sum of sizes ``sizes`` that share at most ``common`` may be linked."""
-    return (100 + percent) * common >= percent * sizes
+def _candidates(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Different pairs (_a, _b) that connect all that links between ``members`` (_id, _n, _root,
+    and _bucket, which has _first, its smallest root) connect; few others.
 
+    Members connected over buckets are a cell. A set is kept as what tells it from the usual set
+    of its cell (the shingles that more than half of the cell have): the difference of two sets is
+    that of what is kept of them. A pair is linked if its difference is at most
+    (100 - percent) / (100 + percent) of the sum of its sizes; in (100 + percent)ths, _over is what
+    a set's distance from the usual one is above its part of that, so a pair is linked exactly if
+    its two _over sum up to no more than 2 * (100 + percent) for each shingle kept of both.
 
-def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``members`` without those that no other one of their bucket can be linked to, with
-    _common: how many shingles of the set others of ``sets`` (those of all members) have, too.
+    - Sets whose _over and the least one are not above 0 together are all linked to the set with
+      the least: one pair each.
+    - Any other pair has a shingle kept of both. Those that only one set keeps are only counted.
+      The others are ordered by how few keep them, and as many of the last are left out as a set
+      must have in common with a partner, less one: a pair still meets in one of the rest.
 
-    Two sets share no more than either has in common with any. A near copy with enough words of its
-    own is thereby told apart from all sets of about its size at once, not pair by pair.
+    Who keeps the same shingle is a new cell. One of at most WIDER times as many members as a bucket
+    has leaders gives its pairs; a larger one goes on in the same way, with a usual set of its own.
+    A kept shingle is one of half of a cell at most, so every time cells are halved at least.
     """
-    held = sets.select("_id", F.explode("_set").alias("_shingle")).groupBy("_shingle")
-    alone = held.agg(F.count(F.lit(1)).alias("_sets"), F.min("_id").alias("_id"))
-    alone = alone.where("_sets = 1").groupBy("_id").agg(F.count(F.lit(1)).alias("_alone"))
-    common = (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common")
-    members = members.join(alone, "_id", "left").select("_id", "_root", "_n", common, "_bucket")
-    least = members.groupBy("_bucket").agg(F.min("_n").alias("_least"))
-    able = _enough(F.col("_common"), F.col("_n") + F.col("_least"), percent)
-    return members.join(least, "_bucket").where(able).drop("_least")
+    edges = members.select(F.col("_root").alias("_a"), F.col("_first").alias("_b")).distinct()
+    rows = members.select("_id", "_n", "_root", F.col("_root").alias("_cell")).distinct()
+    rows = _named(rows, "_cell", components(edges)).join(sets, "_id")
+    rows = rows.withColumn("_own", F.lit(0).cast("long")).withColumnRenamed("_set", "_kept")
+    whole, step = 2 * (100 + percent), LEADERS * WIDER
+    out = None
+    while True:
+        rows = kept(rows, "cells")
+        if rows.isEmpty():
+            return out.distinct()
+        rows = kept(_told_apart(rows), "apart")
+        count = F.size("_kept").cast("long")
+        rows = rows.withColumn(
+            "_over", (100 + percent) * (F.col("_own") + count) - (100 - percent) * F.col("_n")
+        )
+        # A pair is linked only if the _over of each is in the _reach of the other.
+        rows = rows.withColumn("_reach", whole * count - F.col("_over"))
+        best = rows.groupBy("_cell").agg(
+            F.min(F.struct("_over", "_id", "_root")).alias("_best"), F.max("_reach").alias("_far")
+        )
+        rows = rows.join(best, "_cell")
+        near = F.col("_over") + F.col("_best._over") <= 0
+        linked = rows.where(near).where(F.col("_root") != F.col("_best._root"))
+        linked = linked.select("_id", F.col("_best._id").alias("_other"))
+        rows = rows.withColumn("_near", near)
+        rows = rows.withColumn("_root", F.when(near, F.col("_best._root")).otherwise(F.col("_root")))
+        possible = (F.col("_over") <= F.col("_far")) & (F.col("_best._over") <= F.col("_reach"))
+        rows = rows.where(F.col("_near") | possible)
+        rest = rows.where(~F.col("_near")).groupBy("_cell").agg(
+            F.min("_over").alias("_low"), F.max("_reach").alias("_high")
+        )
+        rows = rows.join(rest, "_cell")
+        possible = (F.col("_over") <= F.col("_high")) & (F.col("_low") <= F.col("_reach"))
+        rows = rows.where(~F.col("_near") | possible)
+        least = F.when(F.col("_near"), F.col("_low")).otherwise(F.col("_best._over"))
+        needed = F.greatest(F.ceil((F.col("_over") + least) / whole), F.lit(1)).cast("int")
+        head = F.slice("_kept", F.lit(1), F.size("_kept") - needed + 1)
+        rows = rows.withColumn("_head", F.when(F.size("_kept") >= needed, head))
+        parts = rows.select(
+            F.explode("_head").alias("_shingle"), "_cell", "_id", "_root", "_over", "_reach"
+        )
+        parts = kept(parts, "parts")
+        sizes = parts.groupBy("_cell", "_shingle").agg(
+            F.count(F.lit(1)).alias("_size"),
+            F.min("_root").alias("_least"),
+            F.max("_root").alias("_most"),
+        )
+        sizes = kept(sizes.where("_least < _most").drop("_least", "_most"), "sizes")
+        few = parts.join(sizes.where(F.col("_size") <= step), ["_cell", "_shingle"])
+        other = few.select(
+            "_cell", "_shingle",
+            *[F.col(x).alias(f"_other{x}") for x in ("_id", "_root", "_over", "_reach")],
+        )
+        pairs = few.join(other, ["_cell", "_shingle"]).where(
+            (F.col("_id") < F.col("_other_id"))
+            & (F.col("_root") != F.col("_other_root"))
+            & (F.col("_over") <= F.col("_other_reach"))
+            & (F.col("_other_over") <= F.col("_reach"))
+        )
+        pairs = pairs.select("_id", F.col("_other_id").alias("_other")).unionByName(linked)
+        pairs = kept(pairs.select(*_ordered("_id", "_other")).distinct(), "named")
+        out = pairs if out is None else out.unionByName(pairs)
+        many = parts.join(sizes.where(F.col("_size") > step), ["_cell", "_shingle"])
+        many = many.select("_cell", "_id", "_root", F.xxhash64("_cell", "_shingle").alias("_part"))
+        held = rows.select("_cell", "_id", "_n", "_own", "_kept")
+        rows = many.join(held, ["_cell", "_id"]).drop("_cell").withColumnRenamed("_part", "_cell")
+
+
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` (stored; _cell, _id, _kept, _own, others) with what is not the same in _kept and in
+    the usual shingles of its _cell: in _kept what other rows of the cell have, too, rarest first;
+    what no other one has is added to the count _own."""
+    each = rows.select("_cell", F.explode("_kept").alias("_shingle"))
+    often = each.groupBy("_cell", "_shingle").agg(F.count(F.lit(1)).alias("_sets"))
+    sizes = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
+    usual = often.where("_sets > 1").join(sizes, "_cell").where("2 * _sets > _size")
+    usual = usual.groupBy("_cell").agg(F.collect_list("_shingle").alias("_usual"))
+    rows = rows.join(usual, "_cell", "left")
+    differing = F.concat(F.array_except("_kept", "_usual"), F.array_except("_usual", "_kept"))
+    rows = rows.withColumn("_kept", F.coalesce(differing, "_kept")).drop("_usual")
+    rows = kept(rows, "differing")
+    each = rows.select("_cell", "_id", F.explode("_kept").alias("_shingle"))
+    often = each.groupBy("_cell", "_shingle").agg(F.count(F.lit(1)).alias("_sets"))
+    each = each.join(often.where("_sets > 1"), ["_cell", "_shingle"])
+    several = each.groupBy("_cell", "_id").agg(
+        F.sort_array(F.collect_list(F.struct("_sets", "_shingle"))).alias("_several")
+    )
+    rows = rows.join(several, ["_cell", "_id"], "left")
+    none = F.array().cast("array<bigint>")
+    several = F.coalesce(F.col("_several._shingle"), none)
+    own = F.col("_own") + F.size("_kept") - F.size(several)
+    return rows.withColumn("_own", own).withColumn("_kept", several).drop("_several")
 
 
 def _sets(needed: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
