@@ -31,7 +31,7 @@ GRID = 101
 # Leaders of a bucket, which are compared with all its members. Among what is left, a cell of
 # WIDER times as many members is compared pair by pair.
 LEADERS = 4
-WIDER = 4
+WIDER = 16
 
 SKETCH = StructType(
     [
@@ -236,10 +236,12 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     its two _over sum up to no more than 2 * (100 + percent) for each shingle kept of both.
 
     - Sets whose _over and the least one are not above 0 together are all linked to the set with
-      the least: one pair each.
-    - Any other pair has a shingle kept of both. Those that only one set keeps are only counted.
-      The others are ordered by how few keep them, and as many of the last are left out as a set
-      must have in common with a partner, less one: a pair still meets in one of the rest.
+      the least: one pair each. Only pairs with a set that is not connected to that one then,
+      an _outer one, are still of use.
+    - Such a pair has a shingle kept of both. Sets that keep too few in common with others leave;
+      then shingles that only one set keeps, or no outer one, are only counted. The others are
+      ordered by how few keep them, and as many of the last are left out as a set must have in
+      common with a partner, less one: a pair still meets in one of the rest.
 
     Who keeps the same shingle is a new cell. One of at most WIDER times as many members as a bucket
     has leaders gives its pairs; a larger one goes on in the same way, with a usual set of its own.
@@ -255,31 +257,26 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         rows = kept(rows, "cells")
         if rows.isEmpty():
             return out.distinct()
-        rows = kept(_told_apart(rows), "apart")
+        rows = kept(_differing(rows), "differing")
         count = F.size("_kept").cast("long")
         rows = rows.withColumn(
             "_over", (100 + percent) * (F.col("_own") + count) - (100 - percent) * F.col("_n")
         )
-        # A pair is linked only if the _over of each is in the _reach of the other.
-        rows = rows.withColumn("_reach", whole * count - F.col("_over"))
-        best = rows.groupBy("_cell").agg(
-            F.min(F.struct("_over", "_id", "_root")).alias("_best"), F.max("_reach").alias("_far")
-        )
-        rows = rows.join(best, "_cell")
+        best = rows.groupBy("_cell").agg(F.min(F.struct("_over", "_id", "_root")).alias("_best"))
+        rows = rows.join(best, "_cell").join(_alone(rows), ["_cell", "_id"], "left")
         near = F.col("_over") + F.col("_best._over") <= 0
-        linked = rows.where(near).where(F.col("_root") != F.col("_best._root"))
-        linked = linked.select("_id", F.col("_best._id").alias("_other"))
-        rows = rows.withColumn("_near", near)
-        rows = rows.withColumn("_root", F.when(near, F.col("_best._root")).otherwise(F.col("_root")))
-        possible = (F.col("_over") <= F.col("_far")) & (F.col("_best._over") <= F.col("_reach"))
-        rows = rows.where(F.col("_near") | possible)
-        rest = rows.where(~F.col("_near")).groupBy("_cell").agg(
-            F.min("_over").alias("_low"), F.max("_reach").alias("_high")
-        )
-        rows = rows.join(rest, "_cell")
-        possible = (F.col("_over") <= F.col("_high")) & (F.col("_low") <= F.col("_reach"))
-        rows = rows.where(~F.col("_near") | possible)
-        least = F.when(F.col("_near"), F.col("_low")).otherwise(F.col("_best._over"))
+        apart = F.col("_root") != F.col("_best._root")
+        # A pair is linked only if the _over of each is in the _reach of the other.
+        common = count - F.coalesce("_alone", F.lit(0))
+        rows = rows.withColumn("_reach", whole * common - F.col("_over")).drop("_alone")
+        rows = rows.withColumn("_joins", near & apart).withColumn("_outer", ~near & apart)
+        root = F.when(F.col("_outer"), F.col("_root")).otherwise(F.col("_best._root"))
+        rows = kept(rows.withColumn("_root", root), "marked")
+        linked = rows.where("_joins").select("_id", F.col("_best._id").alias("_other"))
+        rows = kept(_shared(kept(_able(rows), "able")), "apart")
+        count = F.size("_kept").cast("long")
+        rows = _able(rows.withColumn("_reach", whole * count - F.col("_over")))
+        least = F.when(F.col("_outer"), F.col("_best._over")).otherwise(F.col("_low"))
         needed = F.greatest(F.ceil((F.col("_over") + least) / whole), F.lit(1)).cast("int")
         head = F.slice("_kept", F.lit(1), F.size("_kept") - needed + 1)
         rows = rows.withColumn("_head", F.when(F.size("_kept") >= needed, head))
@@ -313,10 +310,9 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         rows = many.join(held, ["_cell", "_id"]).drop("_cell").withColumnRenamed("_part", "_cell")
 
 
-def _told_apart(rows: DataFrame) -> DataFrame:
-    """``rows`` (stored; _cell, _id, _kept, _own, others) with what is not the same in _kept and in
-    the usual shingles of its _cell: in _kept what other rows of the cell have, too, rarest first;
-    what no other one has is added to the count _own."""
+def _differing(rows: DataFrame) -> DataFrame:
+    """``rows`` (stored; _cell, _kept, others) with what is not the same in _kept and in the
+    usual shingles of its _cell, as _kept."""
     each = rows.select("_cell", F.explode("_kept").alias("_shingle"))
     often = each.groupBy("_cell", "_shingle").agg(F.count(F.lit(1)).alias("_sets"))
     sizes = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
@@ -324,11 +320,43 @@ def _told_apart(rows: DataFrame) -> DataFrame:
     usual = usual.groupBy("_cell").agg(F.collect_list("_shingle").alias("_usual"))
     rows = rows.join(usual, "_cell", "left")
     differing = F.concat(F.array_except("_kept", "_usual"), F.array_except("_usual", "_kept"))
-    rows = rows.withColumn("_kept", F.coalesce(differing, "_kept")).drop("_usual")
-    rows = kept(rows, "differing")
+    return rows.withColumn("_kept", F.coalesce(differing, "_kept")).drop("_usual")
+
+
+def _alone(rows: DataFrame) -> DataFrame:
+    """_cell, _id and how many shingles no other row of the cell keeps: _alone, if there are any."""
     each = rows.select("_cell", "_id", F.explode("_kept").alias("_shingle"))
-    often = each.groupBy("_cell", "_shingle").agg(F.count(F.lit(1)).alias("_sets"))
-    each = each.join(often.where("_sets > 1"), ["_cell", "_shingle"])
+    often = each.groupBy("_cell", "_shingle").agg(
+        F.count(F.lit(1)).alias("_sets"), F.min("_id").alias("_id")
+    )
+    often = often.where("_sets = 1")
+    return often.groupBy("_cell", "_id").agg(F.count(F.lit(1)).alias("_alone"))
+
+
+def _able(rows: DataFrame) -> DataFrame:
+    """``rows`` (_cell, _best, _over, _reach, _outer, others) without those that can not be linked
+    to any other one, with the least _over of those of the cell that are _outer: _low."""
+    rows = rows.drop("_low")
+    rows = rows.join(rows.groupBy("_cell").agg(F.max("_reach").alias("_far")), "_cell")
+    able = (F.col("_over") <= F.col("_far")) & (F.col("_best._over") <= F.col("_reach"))
+    rows = rows.where(~F.col("_outer") | able).drop("_far")
+    outer = rows.where("_outer").groupBy("_cell").agg(
+        F.min("_over").alias("_low"), F.max("_reach").alias("_high")
+    )
+    rows = rows.join(outer, "_cell")
+    able = (F.col("_over") <= F.col("_high")) & (F.col("_low") <= F.col("_reach"))
+    return rows.where(F.col("_outer") | able).drop("_high")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """``rows`` (stored; _cell, _id, _kept, _own, _outer, others) with in _kept only what several
+    rows of the cell keep, one with _outer among them, rarest first; the rest is added to _own."""
+    each = rows.select("_cell", "_id", "_outer", F.explode("_kept").alias("_shingle"))
+    often = each.groupBy("_cell", "_shingle").agg(
+        F.count(F.lit(1)).alias("_sets"), F.max("_outer").alias("_any")
+    )
+    often = often.where("_any and _sets > 1").drop("_any")
+    each = each.drop("_outer").join(often, ["_cell", "_shingle"])
     several = each.groupBy("_cell", "_id").agg(
         F.sort_array(F.collect_list(F.struct("_sets", "_shingle"))).alias("_several")
     )
