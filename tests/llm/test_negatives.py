@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +135,102 @@ def test_products_are_exact_beyond_floats():
     large = np.array([[float(1 << 27), 3.0]])
     other = np.array([[float(1 << 27), 1.0]] * 2)
     assert products(large, other).tolist() == [[(1 << 54) + 3] * 2]
+
+
+@pytest.mark.parametrize("scale", [1, 100, 110_000], ids=["32 bits", "64 bits", "whole"])
+def test_cut_cells_and_large_components_equal_brute_force(spark, monkeypatch, scale):
+    rng = random.Random(8)
+    rows = [
+        (i, v and [x and x * scale for x in v], label) for i, v, label in sample(rng, 200)
+    ]
+    sizes = {"FIRST": 20, "WIDER": 2, "CELL": 40, "CHUNK": 8, "BLOCK": 20, "CELLS": 2}
+    for name, value in sizes.items():
+        monkeypatch.setattr(negatives, name, value)
+    docs = spark.createDataFrame([(*row, "r", 1) for row in rows], ROWS).repartition(3)
+    found = hard_negatives(docs, F.col("vec_id") % 10 == 0)
+    expected = brute_force(rows, 10)
+    assert len(expected) > 50
+    assert max(row[4] for row in expected) > {1: 0, 100: 1 << 24, 110_000: 1 << 53}[scale]
+    assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_anchors_of_round_keys_go_to_all_chunks_without_a_vector_for_each_cell(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=16).tolist(), i % 3) for i in range(1200)]
+    asked = []
+    monkeypatch.setattr(
+        negatives, "kept",
+        lambda df, purpose, kept=negatives.kept: asked.append(kept(df, purpose)) or asked[-1]
+        if purpose == "asked" else kept(df, purpose),
+    )
+    monkeypatch.setattr(negatives, "CHUNK", 12)
+    monkeypatch.setattr(negatives, "CELL", 12)
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    hard_negatives(docs, F.col("vec_id") % 10 == 0)
+    assert len(asked) >= 2
+    for df in asked:
+        if not df.isEmpty():
+            assert df.select("_chunk").distinct().count() > 5
+            assert not any("array" in kind for _, kind in df.dtypes)
+    assert any(not df.isEmpty() for df in asked)
+
+
+def test_a_plan_holds_few_visits_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(negatives, "VISITS", 5000)
+    words = tuple(rng.normal(size=(20, 4)) for _ in range(2))
+    sizes = np.full(400, 10)
+    first, parts = negatives._cut(sizes, 100)
+    wide = np.full(20, 1e6)  # bounds that say nothing
+    index = SimpleNamespace(value=Index(4, words, (wide, wide), sizes, first, parts))
+    anchors = pd.DataFrame({
+        "_chunk": np.arange(500) % 2,
+        "_at": np.arange(500) // 2,
+        "_vector": list(rng.normal(size=(500, 8))),
+        "_limits": [np.array([0])] * 500,
+        "_held": [np.array([negatives.LEAST])] * 500,
+    })
+    plan = negatives._planner(index, 0, 1 << 40, True, 0, 0)
+    visits = []
+    for frame in plan(iter([anchors])):
+        assert frame["_at"].map(len).sum() <= 4 * (5000 + 400)
+        for row in frame.itertuples():
+            cells, at = np.frombuffer(row[3], np.int32), np.frombuffer(row[4], np.int32)
+            assert (first[cells] == row[2]).all()
+            visits += [(row[1], a, c) for a, c in zip(at.tolist(), cells.tolist())]
+    assert len(visits) == len(set(visits)) == 500 * 400
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_a_search_holds_few_scores_at_once(monkeypatch, same):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(negatives, "SCORES", 1 << 16)
+    rows, count = np.floor(rng.normal(size=(3000, 8)) * 256), 3000
+    ids, labels, cells = np.arange(count), np.zeros(count, dtype=int), np.arange(count) // 1500
+    labels[1400:] = 0 if same else 1
+    limits = [np.array([1 << 40])] * 2000
+    block = {"_cells": cells.astype(np.int32).tobytes(), **negatives._packed(ids, labels, rows)}
+    anchors = pd.DataFrame({
+        "_chunk": 0, "_at": np.arange(2000), "_anchor": np.arange(2000) + count, "_label": 0,
+        "_vector": list(rows[:2000]), "_limits": limits, "_held": [np.array([-1 << 40])] * 2000,
+    })
+    chunk = negatives._chunker(same, -100, 100)(anchors).iloc[0].to_dict()
+    asked = pd.DataFrame({
+        "_chunk": 0, "_block": 0,
+        "_cells": [np.full(2000, c, dtype=np.int32).tobytes() for c in range(2)],
+        "_at": [np.arange(2000, dtype=np.int32).tobytes()] * 2,
+    })
+    packed = pd.DataFrame([block, chunk])
+    tracemalloc.start()
+    found = negatives._searcher(same, 4)(asked, packed)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20  # all scores at once are 48 MB
+    scores = rows[:2000] @ rows.T
+    scores[:, labels != 0 if same else labels == 0] = -np.inf
+    best = np.sort(scores, axis=1)[:, :-5:-1]
+    found = found.sort_values(["_anchor", "_score"], ascending=[True, False])
+    assert found["_anchor"].tolist() == np.repeat(np.arange(2000) + count, 4).tolist()
+    assert found["_score"].to_numpy().reshape(2000, 4).tolist() == best.astype(int).tolist()
+    part_without_rows = pd.DataFrame([chunk | {"_cells": None}])
+    assert negatives._searcher(same, 4)(asked, part_without_rows).empty
