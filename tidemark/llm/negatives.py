@@ -22,8 +22,8 @@ CELL = 1024
 MOST_WORDS = 1024
 # Rows of a block, and anchors that meet it at once (about, both); components of either (about),
 # and cells of a block at most.
-BLOCK = 16384
-CHUNK = 8192
+BLOCK = 32768
+CHUNK = 16384
 COMPONENTS = 1 << 22
 CELLS = 64
 # Scores, and visits of anchors to cells, that a task holds at once.
@@ -460,9 +460,14 @@ def built(rows: DataFrame, sample: int) -> tuple[DataFrame, Index | None]:
     rows is cut into blocks of its own, small cells that are neighbours share one.
     """
     spark = rows.sparkSession
-    chosen = rows.orderBy(F.xxhash64("_vector"), "_id").limit(sample).collect()
-    if not chosen:
+    # Every task gives as many rows as are chosen, so it gives their places first, then vectors.
+    place = F.struct(F.xxhash64("_vector").alias("hash"), F.col("_id").alias("id"))
+    places = rows.select(place.alias("_place")).orderBy("_place").limit(sample)
+    last = places.agg(F.max("_place")).first()[0]
+    if last is None:
         return rows, None
+    last = F.struct(F.lit(last["hash"]).alias("hash"), F.lit(last["id"]).alias("id"))
+    chosen = rows.where(place <= last).orderBy(place).limit(sample).collect()
     learn = np.array([row["_vector"] for row in chosen], dtype=np.float64)
     half = learn.shape[1] // 2
     count = int(np.clip(np.sqrt(rows.count() / CELL), 2, MOST_WORDS))
@@ -488,7 +493,7 @@ def built(rows: DataFrame, sample: int) -> tuple[DataFrame, Index | None]:
     places = [(k, int(first[k]), int(parts[k])) for k in np.flatnonzero(sizes).tolist()]
     places = spark.createDataFrame(places, "_cell int, _first int, _parts int")
     block = F.col("_first") + F.pmod(F.xxhash64(number), F.col("_parts")).cast("int")
-    placed = coded.join(places, "_cell").select(
+    placed = coded.join(F.broadcast(places), "_cell").select(
         block.alias("_block"), "_cell", "_id", "_label", "_vector"
     )
     blocks = kept(placed.groupBy("_block").applyInPandas(_gathered, BLOCKED), "blocks")
